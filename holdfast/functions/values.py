@@ -47,7 +47,10 @@ def ratio(numerator: Column, denominator: Column) -> Column:
 
 
 def round_half_even(column: Column, digits: int = 0) -> Column:
-    return F.bround(column.cast("double"), digits)
+    """Scale, round to the even whole number, scale back: binary rounding of doubles, not
+    decimal rounding of their printed form."""
+    scale = float(10**digits)
+    return F.rint(column.cast("double") * scale) / scale
 
 
 def to_whole(column: Column) -> Column:
