@@ -4,17 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from holdfast.catalog import sales as s
 from holdfast.functions import predicates as pred
 from holdfast.functions import values as val
-from holdfast.functions.hashing import digest_number, key_digest
 from holdfast.operators import activity as act
 from holdfast.operators import assign, features, joins, margins, metrics, model, prepare
 from holdfast.operators import publish, quantiles, ranking, risk, rollup, sampling, targeting
-from holdfast.session import scratch_path
+from holdfast.session import scratch_path, store
 from holdfast.sources.contacts import distinct_contacts
 from holdfast.sources.feedback import NOTE_COLUMNS, read_feedback
 from holdfast.sources.tables import TableRef, period_slice, read_table
@@ -27,9 +26,9 @@ LINE = ("order_no", "line_no")
 SALES_COLUMNS = (*LINE, "client_id", "product", "branch", "sale_date", "amount", "volume")
 
 
-def query(fn: Query) -> Query:
-    QUERIES[fn.__name__] = fn
-    return fn
+def query(step: Callable[[s.Tables], DataFrame], name: str | None = None):
+    QUERIES[name or step.__name__] = lambda spark, folder: step(s.Tables(spark, folder))
+    return step
 
 
 def rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
@@ -44,18 +43,18 @@ def longs(df: DataFrame, *columns: str) -> DataFrame:
 
 
 @query
-def src_sales(spark, d):
-    return s.sales_lines(spark, d).select(*SALES_COLUMNS)
+def src_sales(m):
+    return m.lines.select(*SALES_COLUMNS)
 
 
 @query
-def src_window_27m(spark, d):
-    return s.raw_lines(spark, d).select(*SALES_COLUMNS)
+def src_window_27m(m):
+    return m.raw.select(*SALES_COLUMNS)
 
 
 @query
-def src_contacts_distinct(spark, d):
-    orders, customer = s.table(spark, d, "orders"), s.table(spark, d, "customer")
+def src_contacts_distinct(m):
+    orders, customer = m.table("orders"), m.table("customer")
     raw = orders.join(customer, F.col("o_custkey") == F.col("c_custkey")).select(
         F.col("o_custkey").cast("string").alias("client_id"),
         F.col("c_name").alias("Compa__a"),
@@ -65,8 +64,8 @@ def src_contacts_distinct(spark, d):
     return distinct_contacts(raw, renames, "client_id")
 
 
-def _monthly_results(spark, d) -> DataFrame:
-    rows = s.activity(spark, d)
+def _monthly_results(m) -> DataFrame:
+    rows = m.activity_plan
     return rows.select(
         "client_id",
         "product",
@@ -77,12 +76,12 @@ def _monthly_results(spark, d) -> DataFrame:
 
 
 @query
-def src_period_slice(spark, d):
-    path = scratch_path(spark, "results")
-    publish.write_result(_monthly_results(spark, d), path)
+def src_period_slice(m):
+    path = scratch_path(m.spark, "results")
+    publish.write_result(_monthly_results(m), path)
     # Partition values are text, not numbers.
     stored = read_table(
-        spark, TableRef(path, schema=_monthly_results(spark, d).schema)
+        m.spark, TableRef(path, schema=_monthly_results(m).schema)
     )
     return period_slice(stored, "200107")
 
@@ -91,8 +90,8 @@ def src_period_slice(spark, d):
 
 
 @query
-def proj_period(spark, d):
-    rows = s.sales_lines(spark, d)
+def proj_period(m):
+    rows = m.lines
     period = val.period_from(F.col("sale_date"))
     return rows.select(
         *LINE, period.alias("period"), val.period_text(period).alias("period_text")
@@ -100,9 +99,9 @@ def proj_period(spark, d):
 
 
 @query
-def proj_period_formats(spark, d):
+def proj_period_formats(m):
     date = F.col("o_orderdate")
-    raw = s.table(spark, d, "orders").select(
+    raw = m.table("orders").select(
         "o_orderkey",
         F.concat(F.lit("  "), F.date_format(date, "dd/MM/yyyy"), F.lit(" ")).alias("as_text"),
         F.date_format(date, "yyyyMMdd").cast("int").alias("as_key"),
@@ -119,23 +118,23 @@ def proj_period_formats(spark, d):
 
 
 @query
-def proj_code_override(spark, d):
+def proj_code_override(m):
     rules = (
         CodeOverride("product", "size_code", (1, 2, 3), "CLASS A"),
         CodeOverride("product", "size_code", (10,), "CLASS B"),
         CodeOverride("product", "size_code", (3, 20), "CLASS C"),
         CodeOverride("segment", "size_code", (10, 20), "PACKAGED"),
     )
-    rows = prepare.apply_overrides(s.sales_lines(spark, d), rules)
+    rows = prepare.apply_overrides(m.lines, rules)
     return rows.select(*LINE, "product", "segment")
 
 
 @query
-def proj_trim_key(spark, d):
-    rows = s.sales_lines(spark, d).withColumn(
+def proj_trim_key(m):
+    rows = m.lines.withColumn(
         "branch", F.concat(F.lit("  "), F.col("branch"), F.lit(" "))
     )
-    region = s.table(spark, d, "region")
+    region = m.table("region")
     return (
         rows.withColumn("branch", F.trim("branch"))
         .join(region, F.col("branch") == F.col("r_name"))
@@ -153,44 +152,44 @@ REPAIRS = {
 
 
 @query
-def proj_label_repair(spark, d):
+def proj_label_repair(m):
     product = val.repair_text(F.col("product"), REPAIRS).alias("product")
-    return s.sales_lines(spark, d).select(*LINE, product)
+    return m.lines.select(*LINE, product)
 
 
 @query
-def proj_map_override(spark, d):
+def proj_map_override(m):
     remap = Remap("remap", ("product_code", "code"), "product", "product_new")
     new_names = (
-        s.table(spark, d, "part")
+        m.table("part")
         .where(F.col("p_size") > 25)
         .select(
             F.col("p_partkey").alias("code"),
             F.concat(F.lit("NEW "), "p_type").alias("product_new"),
         )
     )
-    rows = prepare.remap_values(s.sales_lines(spark, d), new_names, remap)
+    rows = prepare.remap_values(m.lines, new_names, remap)
     return rows.select(*LINE, "product_code", "product")
 
 
 @query
-def proj_prefix_class(spark, d):
+def proj_prefix_class(m):
     prefix = F.when(F.col("c_nationkey") < 10, "DNI").otherwise("20")
     document = F.concat(prefix, F.col("c_custkey").cast("string"))
-    rows = s.table(spark, d, "customer").select("c_custkey", document.alias("document"))
+    rows = m.table("customer").select("c_custkey", document.alias("document"))
     kind = val.class_from_prefix(F.col("document"), "DNI", "DNI", "RUC")
     return rows.withColumn("document_kind", kind)
 
 
 @query
-def proj_flag(spark, d):
-    rows = prepare.set_flags(s.sales_lines(spark, d), ("flag_a", "flag_b"))
+def proj_flag(m):
+    rows = prepare.set_flags(m.lines, ("flag_a", "flag_b"))
     return longs(rows.select(*LINE, "flag_a", "flag_b"), "flag_a", "flag_b")
 
 
 @query
-def proj_fill(spark, d):
-    rows = s.table(spark, d, "lineitem").select(
+def proj_fill(m):
+    rows = m.table("lineitem").select(
         F.col("l_orderkey").alias("order_no"),
         F.col("l_linenumber").cast("long").alias("line_no"),
         F.nullif(F.col("l_discount"), F.lit(0.05)).alias("discount"),
@@ -201,9 +200,9 @@ def proj_fill(spark, d):
 
 
 @query
-def proj_round_even(spark, d):
+def proj_round_even(m):
     half, price = F.col("l_quantity") / 2, F.col("l_extendedprice") * (1 - F.col("l_discount"))
-    return s.table(spark, d, "lineitem").select(
+    return m.table("lineitem").select(
         F.col("l_orderkey").alias("order_no"),
         F.col("l_linenumber").cast("long").alias("line_no"),
         val.to_whole(half).alias("half_quantity"),
@@ -212,8 +211,8 @@ def proj_round_even(spark, d):
 
 
 @query
-def buy_probability(spark, d):
-    rows = risk.buy_probability(s.risk(spark, d))
+def buy_probability(m):
+    rows = risk.buy_probability(m.risk_plan)
     return rows.select(*KEYS, "risk_level", "churn_probability", "buy_probability")
 
 
@@ -221,47 +220,47 @@ def buy_probability(spark, d):
 
 
 @query
-def filter_not_in_keep_null(spark, d):
+def filter_not_in_keep_null(m):
     keep = pred.not_in_keep_null(F.col("product"), ["SMALL", "LARGE"])
     other = pred.differs_keep_null(F.nullif(F.col("segment"), F.lit("BUILDING")), "MACHINERY")
-    return s.sales_lines(spark, d).where(keep & other).select(*LINE, "product", "segment")
+    return m.lines.where(keep & other).select(*LINE, "product", "segment")
 
 
 @query
-def filter_in_or_null(spark, d):
+def filter_in_or_null(m):
     keep = pred.in_list_or_null(F.col("product"), ["SMALL", "LARGE"])
-    return s.sales_lines(spark, d).where(keep).select(*LINE, "product")
+    return m.lines.where(keep).select(*LINE, "product")
 
 
 @query
-def filter_period_windows(spark, d):
-    end, period = s.training_end(spark, d), F.col("period")
+def filter_period_windows(m):
+    end, period = m.training_end, F.col("period")
     marks = {
         "in_older": pred.in_closed_window(period, F.add_months(end, -12), 12),
         "in_recent": pred.in_closed_window(period, end, 11),
         "in_features": pred.in_half_open_window(period, end, 12),
     }
-    rows = s.activity(spark, d).select(
+    rows = m.activity.select(
         *KEYS, "period", *[m.cast("long").alias(n) for n, m in marks.items()]
     )
     return rows.where(F.col("in_older") + F.col("in_recent") + F.col("in_features") > 0)
 
 
 @query
-def history_view(spark, d):
-    return publish.history_view(s.sales_lines(spark, d), "2001-08-15").select(*SALES_COLUMNS)
+def history_view(m):
+    return publish.history_view(m.lines, "2001-08-15").select(*SALES_COLUMNS)
 
 
 @query
-def distinct_rows(spark, d):
-    return s.sales_lines(spark, d).select(*KEYS, "segment").distinct()
+def distinct_rows(m):
+    return m.lines.select(*KEYS, "segment").distinct()
 
 
 # Joins
 
 
-def _managers(spark, d) -> DataFrame:
-    region = s.table(spark, d, "region").where(F.col("r_name") != "ASIA")
+def _managers(m) -> DataFrame:
+    region = m.table("region").where(F.col("r_name") != "ASIA")
     manager = F.concat(F.lit("M"), F.col("r_regionkey").cast("string"))
     return region.select(F.col("r_name").alias("zone"), manager.alias("manager"))
 
@@ -270,91 +269,94 @@ BY_ZONE = Lookup("managers", (("branch", "zone"),), {"manager": "manager"})
 
 
 @query
-def join_left_dim(spark, d):
-    rows = joins.lookup(s.sales_lines(spark, d), _managers(spark, d), BY_ZONE)
+def join_left_dim(m):
+    rows = joins.lookup(m.lines, _managers(m), BY_ZONE)
     return rows.select(*LINE, "branch", "manager")
 
 
 @query
-def join_multi_dim(spark, d):
+def join_multi_dim(m):
     units = (
-        s.table(spark, d, "customer")
-        .join(s.table(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-        .join(s.table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+        m.table("customer")
+        .join(m.table("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+        .join(m.table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
         .groupBy("r_name", "c_mktsegment")
         .agg(F.count(F.lit(1)).alias("n"))
     )
     two_keys = Lookup("units", (("branch", "r_name"), ("segment", "c_mktsegment")), {"unit": "n"})
     by_code = Lookup("parts", (("product_code", "p_partkey"),), {"brand": "p_brand"})
     replaced = Lookup("managers", (("branch", "zone"),), {"seller": "manager"})
-    rows = joins.lookup(s.sales_lines(spark, d), _managers(spark, d), replaced)
+    rows = joins.lookup(m.lines, _managers(m), replaced)
     rows = joins.lookup(rows, units, two_keys)
-    rows = joins.lookup(rows, s.table(spark, d, "part"), by_code)
+    rows = joins.lookup(rows, m.table("part"), by_code)
     return rows.select(*LINE, "seller", "unit", "brand")
 
 
 @query
-def join_cast_keys(spark, d):
-    names = s.table(spark, d, "supplier").select(
+def join_cast_keys(m):
+    names = m.table("supplier").select(
         F.concat(F.lit(" "), F.col("s_suppkey").cast("string")).alias("client_id"),
         F.col("s_name").alias("name"),
     )
-    rows = s.sales_lines(spark, d).select(*LINE, "client_id")
+    rows = m.lines.select(*LINE, "client_id")
     return joins.join_same_type(rows, names, ["client_id"], "left", "long")
 
 
 @query
-def join_inner_attrs(spark, d):
+def join_inner_attrs(m):
+    m.share_raw()
     attributes = joins.latest_values(
-        s.raw_lines(spark, d), ["client_id", "product"], s.MARKET.attributes, "sale_date"
+        m.raw, ["client_id", "product"], s.MARKET.attributes, "sale_date"
     )
-    rows = s.features(spark, d).join(
+    rows = m.features.join(
         prepare.set_flags(attributes, s.MARKET.flags), ["client_id", "product"]
     )
     return longs(rows.select(*KEYS, "frequency", *s.MARKET.attributes), *s.MARKET.flags)
 
 
 @query
-def label_training(spark, d):
-    return longs(s.training(spark, d).select(*KEYS, "frequency", "target"), "target")
+def label_training(m):
+    return longs(m.training.select(*KEYS, "frequency", "target"), "target")
 
 
 @query
-def join_semi(spark, d):
-    ids = s.risk(spark, d).where(risk.at_risk()).select("client_id").distinct()
-    return joins.keep_members(s.sales_lines(spark, d), ids, "client_id").select(
+def join_semi(m):
+    ids = m.risk_plan.where(risk.at_risk()).select("client_id").distinct()
+    return joins.keep_members(m.lines, ids, "client_id").select(
         *LINE, "client_id"
     )
 
 
 @query
-def join_anti(spark, d):
-    ids = s.risk(spark, d).where(risk.at_risk()).select("client_id").distinct()
-    return joins.drop_members(s.sales_lines(spark, d), ids, "client_id").select(
+def join_anti(m):
+    ids = m.risk_plan.where(risk.at_risk()).select("client_id").distinct()
+    return joins.drop_members(m.lines, ids, "client_id").select(
         *LINE, "client_id"
     )
 
 
 @query
-def share_of_client(spark, d):
-    rows = rollup.share_of_client(s.risk(spark, d))
+def share_of_client(m):
+    rows = rollup.share_of_client(m.risk)
     return rounded(rows.select(*KEYS, "total_value", "client_value", "share"), 6, "share")
 
 
 @query
-def join_margin(spark, d):
-    rows = margins.join_margin(s.features(spark, d), s.margins(spark, d))
+def join_margin(m):
+    m.share_raw()
+    rows = margins.join_margin(m.features, m.margins)
     return rounded(rows.select(*KEYS, "monetary_value", "margin"), 6, "margin")
 
 
 @query
-def risk_view(spark, d):
-    raw, scoped = s.raw_lines(spark, d), s.scoped_lines(spark, d)
+def risk_view(m):
+    m.share_raw()
+    raw, scoped = m.raw, m.scoped
     attributes = joins.latest_values(scoped, KEYS, s.MARKET.view_columns, "sale_date")
     totals = act.sales_total(raw)
     flags = joins.latest_values(raw, ["client_id", "product"], s.MARKET.flags, "sale_date")
     view = publish.risk_view(
-        s.risk(spark, d), attributes, totals, prepare.set_flags(flags, s.MARKET.flags)
+        m.risk_plan, attributes, totals, prepare.set_flags(flags, s.MARKET.flags)
     )
     return longs(
         view.select(
@@ -381,131 +383,131 @@ def _feature_columns(df: DataFrame) -> DataFrame:
 
 
 @query
-def activity(spark, d):
-    return longs(s.activity(spark, d), "frequency")
+def activity(m):
+    return longs(m.activity_plan, "frequency")
 
 
 @query
-def activity_multi_measure(spark, d):
+def activity_multi_measure(m):
     measures = {"monetary_value_usd": "amount_usd", "monetary_value": "amount"}
-    rows = act.monthly_activity(s.scoped_lines(spark, d), measures)
+    rows = act.monthly_activity(m.scoped, measures)
     return longs(rows, "frequency")
 
 
 @query
-def win_gap_months(spark, d):
-    return longs(s.gaps(spark, d).select(*KEYS, "period", "max_gap"), "max_gap")
+def win_gap_months(m):
+    return longs(m.gaps.select(*KEYS, "period", "max_gap"), "max_gap")
 
 
 @query
-def past_reference(spark, d):
-    return act.past_reference(s.activity(spark, d), s.production_end(spark, d))
+def past_reference(m):
+    return act.past_reference(m.activity, m.end)
 
 
 @query
-def agg_last_transaction(spark, d):
-    end = s.production_end(spark, d)
-    return act.reference_period(s.activity(spark, d), end, 12, 12, "max")
+def agg_last_transaction(m):
+    end = m.end
+    return act.reference_period(m.activity, end, 12, 12, "max")
 
 
-def production_features(spark, d):
-    return _feature_columns(s.features(spark, d))
+def production_features(m):
+    return _feature_columns(m.features)
 
 
-QUERIES["features"] = production_features  # the name ``features`` is the module here
+query(production_features, "features")  # the name itself is the module here
 
 
 @query
-def features_training(spark, d):
-    return _feature_columns(s.training_features(spark, d))
+def features_training(m):
+    return _feature_columns(m.training_features)
 
 
 @query
-def label_window(spark, d):
-    return longs(s.labels(spark, d), "target")
+def label_window(m):
+    return longs(m.labels, "target")
 
 
 @query
-def agg_sales_12m(spark, d):
-    return act.sales_total(s.raw_lines(spark, d))
+def agg_sales_12m(m):
+    return act.sales_total(m.raw)
 
 
 @query
-def agg_sales_12m_filtered(spark, d):
+def agg_sales_12m_filtered(m):
     rules = (
         pred.Rule("data_kind", "not_in", ("O",)),
         pred.Rule("doc_type", "not_in", ("R", "A")),
     )
-    return act.sales_total(s.raw_lines(spark, d), rules=rules)
+    return act.sales_total(m.raw, rules=rules)
 
 
 @query
-def distinct_pairs(spark, d):
-    return joins.distinct_pairs(s.sales_lines(spark, d), "product", "segment", "branch")
+def distinct_pairs(m):
+    return joins.distinct_pairs(m.lines, "product", "segment", "branch")
 
 
 @query
-def agg_client_name(spark, d):
-    return rollup.client_names(s.sales_lines(spark, d))
+def agg_client_name(m):
+    return rollup.client_names(m.lines)
 
 
 @query
-def client_churn(spark, d):
-    rows = rollup.client_churn(s.risk(spark, d))
+def client_churn(m):
+    rows = rollup.client_churn(m.risk_plan)
     return rounded(rows, 6, "client_churn_probability", "client_margin_est")
 
 
 @query
-def client_opportunity(spark, d):
-    return rollup.client_opportunity(s.risk(spark, d))
+def client_opportunity(m):
+    return rollup.client_opportunity(m.risk_plan)
 
 
 @query
-def agg_risk_counts(spark, d):
-    return rollup.risk_counts(s.clients(spark, d))
+def agg_risk_counts(m):
+    return rollup.risk_counts(m.clients)
 
 
 @query
-def agg_seller_load(spark, d):
-    return assign.seller_load(s.clients(spark, d))
+def agg_seller_load(m):
+    return assign.seller_load(m.clients)
 
 
 @query
-def band_client(spark, d):
-    rows = rollup.band_clients(s.clients(spark, d), s.risk(spark, d), ["client_id"])
+def band_client(m):
+    rows = rollup.band_clients(m.clients, m.risk, ["client_id"])
     return rows.select("client_id", "branch", "band")
 
 
 @query
-def band_client_branch(spark, d):
+def band_client_branch(m):
     keys = ["client_id", "branch"]
     text = {c: F.col(c).cast("string") for c in keys}
     rows = rollup.band_clients(
-        s.clients(spark, d).withColumns(text), s.risk(spark, d).withColumns(text), keys
+        m.clients.withColumns(text), m.risk.withColumns(text), keys
     )
     return rows.select("client_id", "branch", "band")
 
 
 @query
-def latest_per_key(spark, d):
+def latest_per_key(m):
     columns = ["seller", "segment", "email"]
-    return joins.latest_values(s.raw_lines(spark, d), ["client_id", "branch"], columns, "sale_date")
+    return joins.latest_values(m.raw, ["client_id", "branch"], columns, "sale_date")
 
 
 # Reshaping and features
 
 
 @query
-def union_tagged(spark, d):
-    end = s.production_end(spark, d)
+def union_tagged(m):
+    end = m.end
     cuts = {"Training": F.add_months(end, -3), "Production": end}
-    rows = features.features_for_cuts(s.gaps(spark, d), cuts)
+    rows = features.features_for_cuts(m.gaps, cuts)
     return rows.select("data_type", *KEYS, "monetary_value", "frequency", "recency", "max_gap")
 
 
 @query
-def unpivot_margin(spark, d):
-    wide = s.margins(spark, d).groupBy("product").pivot("branch", list(s.REGIONS)).agg(
+def unpivot_margin(m):
+    wide = m.margins.groupBy("product").pivot("branch", list(s.REGIONS)).agg(
         F.max("margin")
     )
     table = wide.withColumnRenamed("product", "Prod_Family_level3")
@@ -513,8 +515,8 @@ def unpivot_margin(spark, d):
 
 
 @query
-def one_hot(spark, d):
-    rows = s.sales_lines(spark, d).select(*LINE, "product", "branch")
+def one_hot(m):
+    rows = m.lines.select(*LINE, "product", "branch")
     encoded = features.one_hot(rows, {"product": s.TYPES, "branch": s.REGIONS})
     marks = [c for c in encoded.columns if c not in rows.columns]
     return longs(encoded.select(*LINE, *marks), *marks).withColumnsRenamed(
@@ -523,51 +525,51 @@ def one_hot(spark, d):
 
 
 @query
-def cap_floor(spark, d):
-    rows = quantiles.cap_floor(s.features(spark, d), ["monetary_value", "volume"], 0.999, 0.001)
+def cap_floor(m):
+    rows = quantiles.cap_floor(store(m.features, "features"), ["monetary_value", "volume"], 0.999, 0.001)
     return rounded(rows.select(*KEYS, "monetary_value", "volume"), 4, "monetary_value", "volume")
 
 
 @query
-def risk_level(spark, d):
-    return s.risk(spark, d).select(
+def risk_level(m):
+    return m.risk_plan.select(
         *KEYS, "frequency", "last_purchase", "churn_probability", "risk_level"
     )
 
 
 @query
-def balance_classes(spark, d):
-    rows = sampling.balance_classes(s.training(spark, d))
+def balance_classes(m):
+    rows = sampling.balance_classes(store(m.training, "training"))
     return longs(rows.select(*KEYS, "frequency", "target"), "target")
 
 
 @query
-def train_test_split(spark, d):
-    return sampling.split_by_hash(s.training(spark, d)).select(*KEYS, "part")
+def train_test_split(m):
+    return sampling.split_by_hash(m.training).select(*KEYS, "part")
 
 
 # Metrics
 
 
-def _predicted(spark, d) -> DataFrame:
-    rows = s.training(spark, d).withColumn("churn_probability", s.synthetic_probability())
+def _predicted(m) -> DataFrame:
+    rows = m.training.withColumn("churn_probability", s.synthetic_probability())
     return metrics.with_prediction(sampling.frequent(rows))
 
 
 @query
-def classification_report(spark, d):
-    rows = metrics.classification_report(_predicted(spark, d))
+def classification_report(m):
+    rows = metrics.classification_report(_predicted(m))
     return rounded(rows, 6, "precision", "recall", "f1_score", "support")
 
 
 @query
-def auc_hard_label(spark, d):
-    return rounded(metrics.auc_of_labels(_predicted(spark, d)), 6, "auc")
+def auc_hard_label(m):
+    return rounded(metrics.auc_of_labels(_predicted(m)), 6, "auc")
 
 
 @query
-def churn_rate(spark, d):
-    rows = metrics.churn_rate(s.training(spark, d))
+def churn_rate(m):
+    rows = metrics.churn_rate(m.training)
     return rounded(rows, 6, "churn_rate", "loyal_rate")
 
 
@@ -585,48 +587,48 @@ def _list_columns(df: DataFrame, *more: str) -> DataFrame:
 
 
 @query
-def client_list(spark, d):
-    return _list_columns(s.clients(spark, d))
+def client_list(m):
+    return _list_columns(m.clients)
 
 
 @query
-def topk_opportunities(spark, d):
-    rows = s.opportunities(spark, d)
+def topk_opportunities(m):
+    rows = m.opportunities
     return rounded(rows, 6, "margin").select("client_id", "client_name", "total_value", "margin")
 
 
 @query
-def client_targets(spark, d):
-    return _list_columns(s.targets(spark, d))
+def client_targets(m):
+    return _list_columns(m.targets)
 
 
 @query
-def target_detail(spark, d):
-    rows = targeting.target_detail(s.risk(spark, d), s.targets(spark, d))
+def target_detail(m):
+    rows = targeting.target_detail(m.risk, m.targets)
     return rows.select(*KEYS, "risk_level", "churn_probability", "total_value")
 
 
-def _sorted_targets(spark, d) -> DataFrame:
+def _sorted_targets(m) -> DataFrame:
     # Rounded before sorting, so that both engines order equal values alike.
-    return _list_columns(s.targets(spark, d))
+    return _list_columns(m.targets)
 
 
 @query
-def rank_clients(spark, d):
-    rows = targeting.rank_clients(_sorted_targets(spark, d))
+def rank_clients(m):
+    rows = targeting.rank_clients(_sorted_targets(m))
     return rows.select("call_rank", "client_id", "branch", "expected_loss")
 
 
 @query
-def row_number(spark, d):
+def row_number(m):
     order = [F.col("amount").desc(), F.col("order_no"), F.col("line_no")]
-    rows = s.raw_lines(spark, d).select(*LINE, "amount")
+    rows = m.raw.select(*LINE, "amount")
     return ranking.global_row_number(rows, order)
 
 
 @query
-def carry_over(spark, d):
-    rows = targeting.carry_over(s.targets(spark, d), s.last_list(spark, d))
+def carry_over(m):
+    rows = targeting.carry_over(m.targets, m.last_list)
     return rows.select("client_id", "branch", *NOTE_COLUMNS)
 
 
@@ -636,46 +638,46 @@ SHARES = {"agent one": 0.3, "agent two": 0.45, "agent three": 0.25}
 
 
 @query
-def assign_threshold(spark, d):
+def assign_threshold(m):
     rows = assign.with_seller(
-        s.clients(spark, d).drop("seller"), _seller_table(spark, d), s.LABELS.no_seller
+        m.clients.drop("seller"), _seller_table(m), s.LABELS.no_seller
     )
     rows = assign.assign_by_limit(rows, 150000)
     return rows.select("client_id", "branch", "seller", "sales_12m", "assignee")
 
 
-def _seller_table(spark, d) -> DataFrame:
+def _seller_table(m) -> DataFrame:
     """A seller for part of the clients."""
-    rows = s.table(spark, d, "supplier").where(F.col("s_acctbal") > 1000)
+    rows = m.table("supplier").where(F.col("s_acctbal") > 1000)
     return rows.select(
         F.col("s_suppkey").alias("client_id"),
         F.concat(F.lit("V"), F.col("s_nationkey").cast("string")).alias("seller"),
     )
 
 
-def _centre_clients(spark, d) -> DataFrame:
-    rows = s.table(spark, d, "supplier").where(F.col("s_acctbal") < 6000)
+def _centre_clients(m) -> DataFrame:
+    rows = m.table("supplier").where(F.col("s_acctbal") < 6000)
     return rows.select(F.col("s_suppkey").alias("client_id"))
 
 
-def _listed(spark, d) -> DataFrame:
-    return assign.assign_by_list(s.clients(spark, d), _centre_clients(spark, d))
+def _listed(m) -> DataFrame:
+    return assign.assign_by_list(m.clients, _centre_clients(m))
 
 
 @query
-def assign_list(spark, d):
-    return _listed(spark, d).select("client_id", "branch", "seller", "assignee")
+def assign_list(m):
+    return _listed(m).select("client_id", "branch", "seller", "assignee")
 
 
 @query
-def allocate_shares(spark, d):
-    rows = assign.allocate_shares(_listed(spark, d), SHARES)
+def allocate_shares(m):
+    rows = assign.allocate_shares(store(_listed(m), "listed"), SHARES)
     return rows.select("client_id", "branch", "assignee")
 
 
 @query
-def assign_quota(spark, d):
-    rows = assign.assign_quota(s.clients(spark, d), 0.8, 10, 40, ("3-MEDIUM",))
+def assign_quota(m):
+    rows = assign.assign_quota(store(m.clients, "clients"), 0.8, 10, 40, ("3-MEDIUM",))
     return rows.select("client_id", "branch", "seller", "sales_12m", "assignee")
 
 
@@ -683,17 +685,17 @@ def assign_quota(spark, d):
 
 
 @query
-def sink_roundtrip(spark, d):
-    path, rows = scratch_path(spark, "sink"), _monthly_results(spark, d)
+def sink_roundtrip(m):
+    path, rows = scratch_path(m.spark, "sink"), _monthly_results(m)
     for _ in range(2):  # a rerun must leave the same table
         publish.write_result(rows, path)
-    return read_table(spark, TableRef(path, schema=rows.schema))
+    return read_table(m.spark, TableRef(path, schema=rows.schema))
 
 
 @query
-def feedback_load(spark, d):
-    folder, target = scratch_path(spark, "drop"), scratch_path(spark, "last")
-    rows = s.last_list(spark, d).withColumnRenamed("branch", "country")
+def feedback_load(m):
+    folder, target = scratch_path(m.spark, "drop"), scratch_path(m.spark, "last")
+    rows = m.last_list.withColumnRenamed("branch", "country")
     ordered = rows.select("client_id", "row_no", *NOTE_COLUMNS, "country")
     (
         ordered.write.partitionBy("country")
@@ -701,20 +703,20 @@ def feedback_load(spark, d):
         .option("nullValue", "\\N")
         .csv(folder)
     )
-    publish.load_feedback(read_feedback(spark, folder), target)
-    return read_table(spark, TableRef(target, schema=ordered.schema))
+    publish.load_feedback(read_feedback(m.spark, folder), target)
+    return read_table(m.spark, TableRef(target, schema=ordered.schema))
 
 
 @query
-def export_bands(spark, d):
-    path = scratch_path(spark, "export")
+def export_bands(m):
+    path = scratch_path(m.spark, "export")
     keys = ["client_id", "branch"]
-    banded = rollup.band_clients(s.clients(spark, d), s.risk(spark, d), keys).select(
+    banded = rollup.band_clients(m.clients, m.risk, keys).select(
         "client_id", "client_name", "seller", "band", F.col("branch").alias("country")
     )
     publish.export_tables({"clients": banded}, path)
     return (
-        spark.read.schema(banded.schema).option("header", "true").csv(f"{path}/clients")
+        m.spark.read.schema(banded.schema).option("header", "true").csv(f"{path}/clients")
     )
 
 
@@ -723,22 +725,23 @@ def export_bands(spark, d):
 GRID = model.SearchGrid(trees=(20, 30), depths=(5, 8), leaf_rows=(1, 2), draws=3, folds=4)
 
 
-def _calibrated(spark, d):
-    end = s.production_end(spark, d)
+def _calibrated(m):
+    m.share_raw()
+    end = m.end
     attributes = joins.latest_values(
-        s.raw_lines(spark, d), ["client_id", "product"], ["segment"], "sale_date"
+        m.raw, ["client_id", "product"], ["segment"], "sale_date"
     )
     cuts = {"Training": F.add_months(end, -3), "Production": end}
-    both = features.features_for_cuts(s.gaps(spark, d), cuts).join(
+    both = features.features_for_cuts(m.gaps, cuts).join(
         attributes, ["client_id", "product"]
     )
-    both = model.store(
+    both = store(
         quantiles.cap_floor(both, ["monetary_value", "volume"], 0.999, 0.001, "data_type"),
         "features",
     )
-    training = model.store(
+    training = store(
         features.attach_label(
-            both.where(F.col("data_type") == "Training"), s.labels(spark, d)
+            both.where(F.col("data_type") == "Training"), m.labels
         ),
         "labelled",
     )
@@ -748,18 +751,18 @@ def _calibrated(spark, d):
 
 
 @query
-def model_calibrate(spark, d):
-    fitted, _, _ = _calibrated(spark, d)
-    return spark.createDataFrame(fitted.search)
+def model_calibrate(m):
+    fitted, _, _ = _calibrated(m)
+    return m.spark.createDataFrame(fitted.search)
 
 
 @query
-def model_score(spark, d):
-    fitted, _, production = _calibrated(spark, d)
+def model_score(m):
+    fitted, _, production = _calibrated(m)
     return model.score(fitted, production).select(*KEYS, "frequency", "churn_probability")
 
 
 @query
-def model_metrics(spark, d):
-    fitted, training, _ = _calibrated(spark, d)
+def model_metrics(m):
+    fitted, training, _ = _calibrated(m)
     return model.evaluate(fitted, training, grid=GRID)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import cached_property
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from holdfast.functions.hashing import digest_number, key_digest
@@ -10,6 +12,7 @@ from holdfast.functions.predicates import apply_rules
 from holdfast.operators.activity import monthly_activity, newest_period, with_gaps
 from holdfast.operators.features import attach_label, build_features, label_window
 from holdfast.operators.joins import latest_values
+from holdfast.operators.margins import join_margin
 from holdfast.operators.risk import classify_risk, with_total_value
 from holdfast.operators.rollup import client_names, client_rollup
 from holdfast.operators.targeting import (
@@ -20,6 +23,7 @@ from holdfast.operators.targeting import (
     top_opportunities,
 )
 from holdfast.sources.tables import TableRef, read_table, trailing_months
+from holdfast.session import store
 from holdfast.spec import KEYS, MarketSpec, RiskLabels, Rule
 
 AS_OF = "2001-09-01"
@@ -92,130 +96,150 @@ def sales_lines(spark: SparkSession, folder: str, months: int | None = None) ->
     )
 
 
-def raw_lines(spark: SparkSession, folder: str) -> DataFrame:
-    return sales_lines(spark, folder, MARKET.windows.history)
-
-
-def scoped_lines(spark: SparkSession, folder: str) -> DataFrame:
-    return apply_rules(raw_lines(spark, folder), MARKET.scope_rules)
-
-
-def activity(spark: SparkSession, folder: str) -> DataFrame:
-    return monthly_activity(scoped_lines(spark, folder), MARKET.measures)
-
-
-def gaps(spark: SparkSession, folder: str) -> DataFrame:
-    return with_gaps(activity(spark, folder))
-
-
-def production_end(spark: SparkSession, folder: str):
-    """The newest month in scope."""
-    return newest_period(scoped_lines(spark, folder))
-
-
-def training_end(spark: SparkSession, folder: str):
-    return F.add_months(production_end(spark, folder), -MARKET.windows.label)
-
-
-def features(spark: SparkSession, folder: str) -> DataFrame:
-    return build_features(gaps(spark, folder), production_end(spark, folder))
-
-
-def training_features(spark: SparkSession, folder: str) -> DataFrame:
-    return build_features(gaps(spark, folder), training_end(spark, folder))
-
-
-def labels(spark: SparkSession, folder: str) -> DataFrame:
-    return label_window(activity(spark, folder), production_end(spark, folder))
-
+def synthetic_probability() -> Column:
+    """A probability fixed by the key, in place of a fitted model."""
+    return (digest_number(key_digest(KEYS, 5), 6) % 1000) / F.lit(1000.0)
 
-def training(spark: SparkSession, folder: str) -> DataFrame:
-    return attach_label(training_features(spark, folder), labels(spark, folder))
 
+class Tables:
+    """The steps of one query.
 
-def synthetic_probability():
-    """A probability fixed by the key, in place of a fitted model."""
-    return (digest_number(key_digest(KEYS, 5), 6) % 1000) / F.lit(1000.0)
+    Lines and activity that several steps read are stored once per query, as the monthly run
+    does; nothing is kept between queries.
+    """
 
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self.folder = spark, folder
 
-def margins(spark: SparkSession, folder: str) -> DataFrame:
-    """A margin per product and branch, from list price against price paid."""
-    paid, listed = F.sum(F.col("amount").cast("decimal(18,4)")), F.sum(
-        F.col("amount_usd").cast("decimal(18,4)")
-    )
-    share = F.lit(1.0) - F.try_divide(paid.cast("double"), listed.cast("double"))
-    return (
-        scoped_lines(spark, folder)
-        .groupBy("product", "branch")
-        .agg(share.alias("margin"))
-        .where((F.col("product") != "ECONOMY") | (F.col("branch") != "ASIA"))
-    )
+    def table(self, name: str) -> DataFrame:
+        return table(self.spark, self.folder, name)
 
+    @property
+    def lines(self) -> DataFrame:
+        return sales_lines(self.spark, self.folder)
 
-def scored(spark: SparkSession, folder: str) -> DataFrame:
-    rows = features(spark, folder).withColumn("churn_probability", synthetic_probability())
-    return rows.join(client_names(raw_lines(spark, folder)), "client_id", "left")
+    @cached_property
+    def raw(self) -> DataFrame:
+        """The lines of the 27-month window."""
+        return sales_lines(self.spark, self.folder, MARKET.windows.history)
 
+    def share_raw(self) -> None:
+        """Store the lines, for queries that read them in several steps."""
+        if "raw" not in self.__dict__:
+            self.raw = store(self.raw, "lines")
 
-def risk(spark: SparkSession, folder: str) -> DataFrame:
-    graded = classify_risk(scored(spark, folder))
-    return with_total_value(graded.join(margins(spark, folder), ["product", "branch"], "left"))
+    @property
+    def scoped(self) -> DataFrame:
+        return apply_rules(self.raw, MARKET.scope_rules)
 
+    @property
+    def activity_plan(self) -> DataFrame:
+        return monthly_activity(self.scoped, MARKET.measures)
 
-def sales_totals_profile(spark: SparkSession, folder: str) -> DataFrame:
-    return client_branch_profile(raw_lines(spark, folder), ["segment"])
+    @cached_property
+    def activity(self) -> DataFrame:
+        return store(self.activity_plan, "activity")
 
+    @property
+    def gaps(self) -> DataFrame:
+        return with_gaps(self.activity)
 
-def contacts(spark: SparkSession, folder: str) -> DataFrame:
-    return latest_values(
-        scoped_lines(spark, folder), ["client_id", "branch"], ["phone", "email"], "sale_date"
-    )
+    @cached_property
+    def end(self) -> Column:
+        """The newest month in scope."""
+        return newest_period(self.activity)
 
+    @property
+    def training_end(self) -> Column:
+        return F.add_months(self.end, -MARKET.windows.label)
 
-def clients(spark: SparkSession, folder: str) -> DataFrame:
-    return client_list(
-        client_rollup(risk(spark, folder)),
-        sales_totals_profile(spark, folder),
-        client_sellers(raw_lines(spark, folder)),
-        contacts(spark, folder),
-    )
+    @property
+    def features(self) -> DataFrame:
+        return build_features(self.gaps, self.end)
 
+    @property
+    def labels(self) -> DataFrame:
+        return label_window(self.activity, self.end)
 
-def opportunities(spark: SparkSession, folder: str) -> DataFrame:
-    return top_opportunities(risk(spark, folder), production_end(spark, folder))
+    @property
+    def training_features(self) -> DataFrame:
+        return build_features(self.gaps, self.training_end)
 
+    @cached_property
+    def training(self) -> DataFrame:
+        return attach_label(self.training_features, self.labels)
 
-def targets(spark: SparkSession, folder: str) -> DataFrame:
-    return select_targets(
-        clients(spark, folder), opportunities(spark, folder), MARKET.excluded_sellers
-    )
+    @property
+    def margins(self) -> DataFrame:
+        """A margin per product and branch, from list price against price paid."""
+        paid, listed = F.sum(F.col("amount").cast("decimal(18,4)")), F.sum(
+            F.col("amount_usd").cast("decimal(18,4)")
+        )
+        share = F.lit(1.0) - F.try_divide(paid.cast("double"), listed.cast("double"))
+        return (
+            self.scoped.groupBy("product", "branch")
+            .agg(share.alias("margin"))
+            .where((F.col("product") != "ECONOMY") | (F.col("branch") != "ASIA"))
+        )
 
+    @property
+    def risk_plan(self) -> DataFrame:
+        self.share_raw()
+        scored = self.features.withColumn("churn_probability", synthetic_probability())
+        graded = classify_risk(scored.join(client_names(self.raw), "client_id", "left"))
+        return with_total_value(join_margin(graded, self.margins))
+
+    @cached_property
+    def risk(self) -> DataFrame:
+        return store(self.risk_plan, "risk")
+
+    @property
+    def clients(self) -> DataFrame:
+        self.share_raw()
+        contacts = latest_values(
+            self.scoped, ["client_id", "branch"], ["phone", "email"], "sale_date"
+        )
+        return client_list(
+            client_rollup(self.risk),
+            client_branch_profile(self.raw, ["segment"]),
+            client_sellers(self.raw),
+            contacts,
+        )
 
-def last_list(spark: SparkSession, folder: str) -> DataFrame:
-    """Last month's edited list: one row per client and branch with notes made from hashes."""
-    keys = raw_lines(spark, folder).select("client_id", "branch").distinct()
-    h = F.col("_h")
-    mark = F.concat_ws("-", F.lit("n"), F.col("client_id").cast("string"), F.col("branch"))
-    note = {
-        "Estado": F.when(h % 4 != 0, F.concat(F.lit("E"), (h % 5).cast("string"))),
-        "Fecha_planificada": mark,
-        "telefono_alternativo": F.when(h % 2 == 0, mark),
-        "nombre_persona_contactada": mark,
-        "motivo_contacto_fallido": F.when(h % 3 == 0, LABELS.not_at_risk_reason).when(
-            h % 3 == 1, "OTRO"
-        ),
-        "estado_propuesta": F.when(h % 7 < 3, ""),
-        "valor_propuesta": (h % 1000).cast("string"),
-        "motivo_venta_nocerrada": F.when(h % 5 == 0, mark),
-        "observaciones": mark,
-        "fecha_ultima_accion": F.when(h % 6 != 0, "2001-07-15"),
-    }
-    return (
-        keys.withColumn("_h", digest_number(key_digest(["client_id", "branch"], 7), 6))
-        .select(
-            "client_id",
-            "branch",
-            (F.col("client_id") * 100 + F.length("branch") + F.ascii("branch")).alias("row_no"),
-            *[column.alias(name) for name, column in note.items()],
+    @property
+    def opportunities(self) -> DataFrame:
+        return top_opportunities(self.risk, self.end)
+
+    @property
+    def targets(self) -> DataFrame:
+        return select_targets(self.clients, self.opportunities, MARKET.excluded_sellers)
+
+    @property
+    def last_list(self) -> DataFrame:
+        """Last month's edited list: a row per client and branch, notes made from hashes."""
+        keys = self.raw.select("client_id", "branch").distinct()
+        h = F.col("_h")
+        mark = F.concat_ws("-", F.lit("n"), F.col("client_id").cast("string"), F.col("branch"))
+        note = {
+            "Estado": F.when(h % 4 != 0, F.concat(F.lit("E"), (h % 5).cast("string"))),
+            "Fecha_planificada": mark,
+            "telefono_alternativo": F.when(h % 2 == 0, mark),
+            "nombre_persona_contactada": mark,
+            "motivo_contacto_fallido": F.when(h % 3 == 0, LABELS.not_at_risk_reason).when(
+                h % 3 == 1, "OTRO"
+            ),
+            "estado_propuesta": F.when(h % 7 < 3, ""),
+            "valor_propuesta": (h % 1000).cast("string"),
+            "motivo_venta_nocerrada": F.when(h % 5 == 0, mark),
+            "observaciones": mark,
+            "fecha_ultima_accion": F.when(h % 6 != 0, "2001-07-15"),
+        }
+        return (
+            keys.withColumn("_h", digest_number(key_digest(["client_id", "branch"], 7), 6))
+            .select(
+                "client_id",
+                "branch",
+                (F.col("client_id") * 100 + F.length("branch") + F.ascii("branch")).alias("row_no"),
+                *[column.alias(name) for name, column in note.items()],
+            )
         )
-    )

@@ -60,8 +60,12 @@ def with_gaps(activity: DataFrame, by_branch: bool = False) -> DataFrame:
 
 
 def newest_period(df: DataFrame) -> Column:
-    """The latest month in the data, as a one-value sub-query."""
-    return df.agg(F.max("period")).scalar()
+    """The latest month in the data as a literal.
+
+    Runs a one-value job: as a constant the month folds into every window test, where a
+    sub-query would repeat the whole input plan at each use.
+    """
+    return F.lit(df.agg(F.max("period")).first()[0]).cast("date")
 
 
 def sales_total(

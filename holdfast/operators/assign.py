@@ -7,7 +7,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from holdfast.functions.values import round_half_even
 from holdfast.operators.quantiles import interpolate
 from holdfast.operators.ranking import rank_by_hash, top_per_group
 from holdfast.spec import RiskLabels
@@ -48,15 +47,12 @@ def assign_by_list(df: DataFrame, centre_clients: DataFrame, centre: str = CENTR
     )
 
 
-def share_bounds(count: Column, shares: Mapping[str, float]) -> list[tuple[str, Column]]:
+def share_bounds(count: int, shares: Mapping[str, float]) -> list[tuple[str, int]]:
     """Last rank of each agent when drawn one after another from the clients left over."""
-    taken, left, bounds = F.lit(0).cast("long"), 1.0, []
+    taken, left, bounds = 0, 1.0, []
     for agent, share in shares.items():
-        part = share / left
-        rest = count - taken
-        last_one = abs(part - 1.0) < 0.01
-        drawn = rest if last_one else round_half_even(rest * F.lit(part)).cast("long")
-        taken = taken + drawn
+        part, rest = share / left, count - taken
+        taken += rest if abs(part - 1.0) < 0.01 else round(rest * part)
         bounds.append((agent, taken))
         left -= share
     return bounds
@@ -71,10 +67,9 @@ def allocate_shares(
     beyond the sum of the shares stay with the centre.
     """
     clients = df.where(F.col("assignee") == centre).select("client_id").distinct()
-    count = clients.agg(F.count(F.lit(1))).scalar()
     ranked = rank_by_hash(clients, ["client_id"], seed, "_rank")
     agent = F.lit(centre)
-    for name, last in reversed(share_bounds(count, shares)):
+    for name, last in reversed(share_bounds(clients.count(), shares)):
         agent = F.when(F.col("_rank") <= last, F.lit(name)).otherwise(agent)
     agents = ranked.select("client_id", agent.alias("_agent"))
     mine = (F.col("assignee") == centre) & F.col("_agent").isNotNull()

@@ -67,13 +67,19 @@ def features_for_cuts(
     """One row per cut and client-product-branch that was active in the cut's window.
 
     ``cuts`` maps a tag to the last month of its window.  References to older purchases need
-    the same grouping, so all cuts share one aggregation and no join.
+    the same grouping, so all cuts share one aggregation and no join.  A first one-row job
+    finds the first month present in each window.
     """
-    means = _measures(activity)
+    means, period = _measures(activity), F.col("period")
+    firsts = activity.agg(
+        *[
+            F.min(F.when(in_half_open_window(period, end, windows.features), period))
+            for end in cuts.values()
+        ]
+    ).first()
     aggregates, rows = [], []
     for i, (tag, end) in enumerate(cuts.items()):
-        inside = in_half_open_window(F.col("period"), end, windows.features)
-        first = activity.where(inside).agg(F.min("period")).scalar()
+        first = F.lit(firsts[i]).cast("date")
         prefix = f"_c{i}_"
         aggregates += [
             column.alias(prefix + name)

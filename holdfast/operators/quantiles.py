@@ -8,6 +8,7 @@ row.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -21,20 +22,25 @@ def _bucket(value: Column) -> Column:
     return (F.signum(value) * F.floor(F.log1p(F.abs(value)) * _PER_FACTOR)).cast("long")
 
 
-def _with_running(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
+def _running_before(keys: Sequence[str], order: str) -> Column:
     window = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    return df.withColumn("_before", F.coalesce(F.sum("_n").over(window), F.lit(0)))
+    return F.coalesce(F.sum("_n").over(window), F.lit(0))
+
+
+_OF = ["_group", "_column"]
+_HIT = "_group string, _column string, _bucket long, _prob double, _side int, _rank long"
 
 
 def order_statistics(
     df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: str | None = None
-) -> DataFrame:
+) -> dict[tuple[str, str, float], tuple[float, float, float]]:
     """Per group, column and probability: the two neighbouring values and the fraction between.
 
-    Rows ``(_group, _column, _prob, low, high, fraction)``, as many as groups x columns x
-    probabilities.  Nulls are ignored.
+    Like ``approxQuantile`` this runs jobs and returns plain numbers; what reaches the driver
+    is two rows per group, column and probability.  Nulls are ignored.  ``df`` is read twice,
+    so store it first if it is costly.
     """
-    group = F.col(by).cast("string") if by else F.lit("")
+    group = F.coalesce(F.col(by).cast("string"), F.lit("")) if by else F.lit("")
     cells = F.array(
         *[
             F.struct(F.lit(c).alias("_column"), F.col(c).cast("double").alias("_value"))
@@ -46,39 +52,55 @@ def order_statistics(
         .where(F.col("_value").isNotNull())
         .withColumn("_bucket", _bucket(F.col("_value")))
     )
-    of = ["_group", "_column"]
-    histogram = values.groupBy(*of, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    wanted = F.explode(F.array(*[F.lit(float(p)) for p in probs]))
+    wanted = F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("_prob")
     place = F.col("_prob") * (F.col("_total") - 1)
-    sides = F.array(F.floor(place), F.ceil(place))
-    ranks = (
-        histogram.groupBy(*of)
-        .agg(F.sum("_n").alias("_total"))
-        .select(*of, "_total", wanted.alias("_prob"))
-        .select(*of, "_prob", (place - F.floor(place)).alias("fraction"), F.posexplode(sides))
-        .withColumnsRenamed({"pos": "_side", "col": "_rank"})
-    )
+    sides = F.posexplode(F.array(F.floor(place), F.ceil(place))).alias("_side", "_rank")
     holds = (F.col("_before") <= F.col("_rank")) & (F.col("_rank") < F.col("_before") + F.col("_n"))
-    buckets = (
-        _with_running(histogram, of, "_bucket")
-        .join(F.broadcast(ranks), of)
+    left = (F.col("_rank") - F.col("_before")).alias("_rank")
+    # Bucket counts, few whatever the table's size, then the buckets that hold a wanted rank.
+    hits = (
+        values.groupBy(*_OF, "_bucket")
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .withColumns(
+            {
+                "_before": _running_before(_OF, "_bucket"),
+                "_total": F.sum("_n").over(Window.partitionBy(*_OF)),
+            }
+        )
+        .select("*", wanted)
+        .select("*", (place - F.floor(place)).alias("fraction"), sides)
         .where(holds)
-        .withColumn("_rank", F.col("_rank") - F.col("_before"))
-        .drop("_n", "_before")
+        .select(*_OF, "_bucket", "_prob", "_side", left, "fraction")
+        .collect()
+    )
+    if not hits:
+        return {}
+    # Only the rows of those buckets are looked at one by one.
+    here = [*_OF, "_bucket"]
+    ranks = df.sparkSession.createDataFrame([tuple(h)[:-1] for h in hits], _HIT)
+    inside = reduce(
+        lambda a, b: a | b,
+        [
+            (F.col("_group") == g) & (F.col("_column") == c) & (F.col("_bucket") == k)
+            for g, c, k in {(h["_group"], h["_column"], h["_bucket"]) for h in hits}
+        ],
     )
-    here = [*of, "_bucket"]
-    # At most two buckets per group, column and probability.
-    narrowed = values.join(F.broadcast(buckets.select(*here).distinct()), here)
-    counts = narrowed.groupBy(*here, "_value").agg(F.count(F.lit(1)).alias("_n"))
-    found = _with_running(counts, here, "_value").join(F.broadcast(buckets), here).where(holds)
-    return found.groupBy(*of, "_prob").agg(
-        F.max(F.when(F.col("_side") == 0, F.col("_value"))).alias("low"),
-        F.max(F.when(F.col("_side") == 1, F.col("_value"))).alias("high"),
-        F.max("fraction").alias("fraction"),
+    found = (
+        values.where(inside)
+        .groupBy(*here, "_value")
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .withColumn("_before", _running_before(here, "_value"))
+        .join(F.broadcast(ranks), here)
+        .where(holds)
+        .select(*_OF, "_prob", "_side", "_value")
+        .collect()
     )
+    at = {(r["_group"], r["_column"], r["_prob"], r["_side"]): r["_value"] for r in found}
+    fractions = {(h["_group"], h["_column"], h["_prob"]): h["fraction"] for h in hits}
+    return {key: (at[(*key, 0)], at[(*key, 1)], f) for key, f in fractions.items()}
 
 
-def interpolate(low: Column, high: Column, fraction: Column) -> Column:
+def interpolate(low, high, fraction):
     return low + (high - low) * fraction
 
 
@@ -89,31 +111,23 @@ def cap_floor(
     capped column; nulls stay null.
 
     Capping never changes the order of values, so the capped column's lower quantile lies
-    between the same two neighbours, each capped.  One pass thus serves both limits.  The
-    limits come back as one small map looked up by group.
+    between the same two neighbours, each capped.  One search thus serves both limits, which
+    are then constants in a projection.
     """
     found = order_statistics(df, columns, [cap, floor], by)
-
-    def at(prob: float, part: str) -> Column:
-        return F.max(F.when(F.col("_prob") == prob, F.col(part)))
-
-    upper = interpolate(at(cap, "low"), at(cap, "high"), at(cap, "fraction"))
-    per_column = found.groupBy("_group", "_column").agg(
-        upper.alias("cap"),
-        interpolate(
-            F.least(at(floor, "low"), upper),
-            F.least(at(floor, "high"), upper),
-            at(floor, "fraction"),
-        ).alias("floor"),
-    )
-    entry = F.struct(F.concat_ws("|", "_group", "_column"), F.struct("cap", "floor"))
-    limits = per_column.agg(F.map_from_entries(F.collect_list(entry))).scalar()
-    group = F.col(by).cast("string") if by else F.lit("")
-
-    def limited(c: str) -> Column:
-        limit = F.try_element_at(limits, F.concat_ws("|", group, F.lit(c)))
-        value = F.col(c)
-        capped = F.when(value > limit["cap"], limit["cap"]).otherwise(value)
-        return F.when(capped < limit["floor"], limit["floor"]).otherwise(capped)
-
-    return df.withColumns({c: limited(c) for c in columns})
+    changes = {}
+    for column in columns:
+        value = result = F.col(column)
+        for group in sorted({g for g, c, _ in found if c == column}):
+            top = interpolate(*found[group, column, cap])
+            low, high, fraction = found[group, column, floor]
+            bottom = interpolate(min(low, top), min(high, top), fraction)
+            capped = F.when(value > top, top).otherwise(value)
+            limited = F.when(capped < bottom, bottom).otherwise(capped)
+            if by is None:
+                result = limited
+            else:
+                same = F.coalesce(F.col(by).cast("string"), F.lit("")) == group
+                result = F.when(same, limited).otherwise(result)
+        changes[column] = result
+    return df.withColumns(changes)

@@ -20,7 +20,7 @@ def _running_before(count: Column, order: str) -> Column:
 
 
 def rank_by_hash(
-    df: DataFrame, keys: Sequence[str], seed: int, name: str = "rank", first: Column | None = None
+    df: DataFrame, keys: Sequence[str], seed: int, name: str = "rank", first: int | None = None
 ) -> DataFrame:
     """Number rows 1..n in the order of their key hash, then key.
 

@@ -25,8 +25,9 @@ def balance_classes(
     """
     df = frequent(df, rare_until)
     churned = df.where(F.col("target") == 1)
-    wanted = churned.agg(F.count(F.lit(1))).scalar()
-    stayed = rank_by_hash(df.where(F.col("target") == 0), keys, seed, "_rank", first=wanted)
+    stayed = rank_by_hash(
+        df.where(F.col("target") == 0), keys, seed, "_rank", first=churned.count()
+    )
     return churned.unionByName(stayed.drop("_rank"))
 
 
