@@ -352,7 +352,7 @@ def join_margin(m):
 def risk_view(m):
     m.share_raw()
     raw, scoped = m.raw, m.scoped
-    attributes = joins.latest_values(scoped, KEYS, s.MARKET.view_columns, "sale_date")
+    attributes = joins.latest_values(scoped, *s.MARKET.views[0], "sale_date")
     totals = act.sales_total(raw)
     flags = joins.latest_values(raw, ["client_id", "product"], s.MARKET.flags, "sale_date")
     view = publish.risk_view(
@@ -361,7 +361,7 @@ def risk_view(m):
     return longs(
         view.select(
             *KEYS, "client_name", "risk_level", "churn_probability", "analysis_period",
-            "last_purchase", "monetary_value", "frequency", *s.MARKET.view_columns,
+            "last_purchase", "monetary_value", "frequency", *s.MARKET.views[0][1],
             "sales_12m", *s.MARKET.flags,
         ),
         *s.MARKET.flags,

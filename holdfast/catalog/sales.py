@@ -38,7 +38,7 @@ MARKET = MarketSpec(
     attributes=("segment", "flag_a", "flag_b"),
     flags=("flag_a", "flag_b"),
     list_columns=("segment",),
-    view_columns=("segment", "seller"),
+    views=((KEYS, ("segment", "seller")),),
     categories=("branch", "product", "segment"),
     excluded_sellers=("5-LOW",),
     margin_table=True,

@@ -17,13 +17,19 @@ from holdfast.spec import Lookup
 
 
 def lookup(df: DataFrame, table: DataFrame, spec: Lookup, null_safe: bool = False) -> DataFrame:
-    """Left join on differently named keys; a taken column replaces one of the same name.
+    """Left join on differently named keys, which are cast to the sales column's type.
 
     Null keys match nothing unless ``null_safe`` is set.
     """
+    types = {f.name: f.dataType for f in df.schema}
+    key_names = {b for _, b in spec.keys}
+    take = dict(spec.take)
+    if spec.rest:
+        used = {*key_names, *take.values(), *df.columns}
+        take |= {c: c for c in table.columns if c not in used}
     right = table.select(
-        *[F.col(f"`{b}`").alias(f"_k{i}") for i, (_, b) in enumerate(spec.keys)],
-        *[F.col(f"`{source}`").alias(f"_v_{new}") for new, source in spec.take.items()],
+        *[F.col(f"`{b}`").cast(types[a]).alias(f"_k{i}") for i, (a, b) in enumerate(spec.keys)],
+        *[F.col(f"`{source}`").alias(f"_v_{new}") for new, source in take.items()],
     )
     if spec.distinct:
         right = right.distinct()
@@ -32,8 +38,10 @@ def lookup(df: DataFrame, table: DataFrame, spec: Lookup, null_safe: bool = Fals
         left_key, right_key = df[a], right[f"_k{i}"]
         conditions.append(left_key.eqNullSafe(right_key) if null_safe else left_key == right_key)
     joined = df.join(right, reduce(lambda x, y: x & y, conditions), "left")
-    kept = [c for c in df.columns if c not in spec.take]
-    return joined.select(*kept, *[F.col(f"_v_{new}").alias(new) for new in spec.take])
+    kept = [c for c in df.columns if c not in take]
+    return joined.select(
+        *[F.col(f"`{c}`") for c in kept], *[F.col(f"`_v_{new}`").alias(new) for new in take]
+    )
 
 
 def join_same_type(

@@ -24,7 +24,8 @@ def to_roles(raw: DataFrame, spec: MarketSpec) -> DataFrame:
     """Give role names to raw columns; columns without a role keep their name."""
     by_raw: dict[str, list[str]] = {}
     for role, source in spec.columns.items():
-        by_raw.setdefault(source, []).append(role)
+        if source in raw.columns:  # other roles come from a dimension table
+            by_raw.setdefault(source, []).append(role)
     out = []
     for name in raw.columns:
         quoted = F.col(f"`{name}`")
@@ -95,6 +96,7 @@ def scope_sales(df: DataFrame, spec: MarketSpec, tables: Mapping[str, DataFrame]
     for item in spec.lookups:
         if item.at == "scope":
             df = lookup(df, tables[item.table], item)
+    df = df.withColumns({c: F.trim(F.col(c)) for c in spec.scope_trimmed})
     df = apply_rules(df, spec.scope_rules)
     if spec.drop_duplicate_lines:
         df = df.dropDuplicates()

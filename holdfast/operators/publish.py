@@ -15,10 +15,6 @@ from holdfast.spec import Rule
 PARTITIONS = ("country", "period")
 
 
-def tag_result(df: DataFrame, country: str, period: str) -> DataFrame:
-    return df.withColumns({"country": F.lit(country), "period": F.lit(period)})
-
-
 def write_result(
     df: DataFrame, path: str, mode: str = "replace", partitions: Sequence[str] = PARTITIONS
 ) -> None:
@@ -38,6 +34,18 @@ def write_result(
     writer.parquet(path)
 
 
+def replace_country(df: DataFrame, path: str, country: str) -> None:
+    """Write a country's rows in place of all its months."""
+    (
+        df.drop("country")
+        .hint("rebalance", "period")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "static")
+        .partitionBy("period")
+        .parquet(f"{path}/country={country}")
+    )
+
+
 def write_jdbc(df: DataFrame, table: str, options: Mapping[str, str], mode: str = "append") -> None:
     """Append to or replace a database table; connection options come from the caller."""
     save_mode = {"append": "append", "replace": "overwrite"}[mode]
@@ -65,11 +73,6 @@ def history_view(
     return apply_rules(sales, rules).where(in_previous_month(F.col(date), as_of))
 
 
-def publish(tables: Mapping[str, DataFrame], root: str, modes: Mapping[str, str] = {}) -> None:
-    for name, df in tables.items():
-        write_result(df, f"{root}/{name}", modes.get(name, "replace"))
-
-
 def load_feedback(feedback: DataFrame, path: str) -> DataFrame:
     """Replace each present country's last list by its edited one; returns rejected rows."""
     good, bad = split_feedback(feedback)

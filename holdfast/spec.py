@@ -34,7 +34,9 @@ class Lookup:
     """A left join to a dimension table.
 
     ``keys`` pairs a sales column with a table column; ``take`` maps new names to table
-    columns.  ``distinct`` reduces the table to distinct rows first.
+    columns, and a taken column replaces one of that name.  ``rest`` also takes the table's
+    other columns that the sales do not have.  ``distinct`` reduces the table to distinct
+    rows first.
     """
 
     table: str
@@ -42,6 +44,7 @@ class Lookup:
     take: Mapping[str, str]
     at: str = "raw"  # "raw": before the scope filter, "scope": within it
     distinct: bool = False
+    rest: bool = False
 
 
 @dataclass(frozen=True)
@@ -123,25 +126,31 @@ class MarketSpec:
     list_branch: str = "branch"  # column that stands for the branch in lists and totals
     history_date: str = "sale_date"
     history_rules: tuple[Rule, ...] = ()
+    history_lookups: tuple[str, ...] = ()
+    history_segment: bool = False
+    history_drop: tuple[str, ...] = ()
     sales_total_scoped: bool = False
     sales_total_rules: tuple[Rule, ...] = ()
-    seller_table: bool = False
+    scope_trimmed: tuple[str, ...] = ()
+    seller_from: str = "client"  # newest per "client", per "branch", or a "table"
     margin_table: bool = False
     attribute_keys: tuple[str, ...] = KEYS
     attributes: tuple[str, ...] = ("segment",)
+    required_attributes: tuple[str, ...] = ()
     attributes_scoped: bool = False
     flags: tuple[str, ...] = ()
     contact_columns: tuple[str, ...] = ()
     list_columns: tuple[str, ...] = ()
-    view_keys: tuple[str, ...] = KEYS
-    view_columns: tuple[str, ...] = ()
+    list_scoped: bool = False
+    views: tuple[tuple[tuple[str, ...], tuple[str, ...]], ...] = ()  # keys and columns
     categories: tuple[str, ...] = ("branch", "product", "segment")
     numeric: tuple[str, ...] = NUMERIC_FEATURES
     excluded_sellers: tuple[str, ...] = ()
     opportunity_cut_scoped: bool = True
-    assignment: str | None = None  # None or "list"
+    seller_limit: float | None = None
+    call_centre: bool = False
     period_column: str = "periodo_analisis"
-    publish_mode: Mapping[str, str] = field(default_factory=dict)
+    newest_only: tuple[str, ...] = ()  # result tables that keep just the last run
     label_by_branch: bool = False
     gap_by_branch: bool = False
     windows: Windows = Windows()
