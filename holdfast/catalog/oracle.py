@@ -16,7 +16,8 @@ KEYS = "client_id, product, branch"
 
 
 def dsum(x: str) -> str:
-    return f"COALESCE(CAST(SUM(CAST({x} AS DECIMAL(18,4))) AS DOUBLE), 0.0)"
+    """A sum in whole 1/10,000s; the cast rounds half to even."""
+    return f"COALESCE(CAST(SUM(CAST(({x}) * 10000 AS BIGINT)) AS DOUBLE) / 10000.0::DOUBLE, 0.0)"
 
 
 def even(x: str) -> str:
@@ -185,8 +186,7 @@ cte(
     "marg",
     ("sales",),
     """
-SELECT product, branch, 1.0::DOUBLE - CAST(SUM(CAST(amount AS DECIMAL(18,4))) AS DOUBLE)
-  / CAST(SUM(CAST(amount_usd AS DECIMAL(18,4))) AS DOUBLE) AS margin
+SELECT product, branch, 1.0::DOUBLE - """ + f"{dsum('amount')} / {dsum('amount_usd')} AS margin" + """
 FROM sales GROUP BY product, branch
 HAVING NOT (product = 'ECONOMY' AND branch = 'ASIA')""",
 )
@@ -538,8 +538,8 @@ FROM feat JOIN (SELECT client_id, product, {newest('segment')}, {newest('flag_a'
     ),
     "share_of_client": sql(
         f"""SELECT {KEYS}, total_value, client_value, {rnd('total_value / client_value', 6)} AS share
-FROM (SELECT *, CAST(SUM(CAST(total_value AS DECIMAL(18,4))) OVER (PARTITION BY client_id) AS DOUBLE)
-  AS client_value FROM risk WHERE risk_level <> '{L.opportunity}')""",
+FROM (SELECT *, CAST(SUM(CAST(total_value * 10000 AS BIGINT)) OVER (PARTITION BY client_id)
+    AS DOUBLE) / 10000.0::DOUBLE AS client_value FROM risk WHERE risk_level <> '{L.opportunity}')""",
         "risk",
     ),
     "join_margin": sql(

@@ -474,7 +474,8 @@ def agg_seller_load(m):
 
 @query
 def band_client(m):
-    rows = rollup.band_clients(m.clients, m.risk, ["client_id"])
+    graded = m.risk
+    rows = rollup.band_clients(m.clients, graded, ["client_id"])
     return rows.select("client_id", "branch", "band")
 
 
@@ -482,9 +483,8 @@ def band_client(m):
 def band_client_branch(m):
     keys = ["client_id", "branch"]
     text = {c: F.col(c).cast("string") for c in keys}
-    rows = rollup.band_clients(
-        m.clients.withColumns(text), m.risk.withColumns(text), keys
-    )
+    graded = m.risk
+    rows = rollup.band_clients(m.clients.withColumns(text), graded.withColumns(text), keys)
     return rows.select("client_id", "branch", "band")
 
 
@@ -501,7 +501,7 @@ def latest_per_key(m):
 def union_tagged(m):
     end = m.end
     cuts = {"Training": F.add_months(end, -3), "Production": end}
-    rows = features.features_for_cuts(m.gaps, cuts)
+    rows = features.features_for_cuts(m.activity, cuts)
     return rows.select("data_type", *KEYS, "monetary_value", "frequency", "recency", "max_gap")
 
 
@@ -604,7 +604,8 @@ def client_targets(m):
 
 @query
 def target_detail(m):
-    rows = targeting.target_detail(m.risk, m.targets)
+    graded = m.risk
+    rows = targeting.target_detail(graded, m.targets)
     return rows.select(*KEYS, "risk_level", "churn_probability", "total_value")
 
 
@@ -711,7 +712,8 @@ def feedback_load(m):
 def export_bands(m):
     path = scratch_path(m.spark, "export")
     keys = ["client_id", "branch"]
-    banded = rollup.band_clients(m.clients, m.risk, keys).select(
+    graded = m.risk
+    banded = rollup.band_clients(m.clients, graded, keys).select(
         "client_id", "client_name", "seller", "band", F.col("branch").alias("country")
     )
     publish.export_tables({"clients": banded}, path)
@@ -732,7 +734,7 @@ def _calibrated(m):
         m.raw, ["client_id", "product"], ["segment"], "sale_date"
     )
     cuts = {"Training": F.add_months(end, -3), "Production": end}
-    both = features.features_for_cuts(m.gaps, cuts).join(
+    both = features.features_for_cuts(m.activity, cuts).join(
         attributes, ["client_id", "product"]
     )
     both = store(

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from holdfast.functions.hashing import digest_number, key_digest
 from holdfast.functions.predicates import apply_rules
+from holdfast.functions.values import exact_sum, ratio
 from holdfast.operators.activity import monthly_activity, newest_period, with_gaps
 from holdfast.operators.features import attach_label, build_features, label_window
 from holdfast.operators.joins import latest_values
@@ -48,8 +49,25 @@ REGIONS = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
 TYPES = ("ECONOMY", "LARGE", "MEDIUM", "SMALL", "STANDARD")
 
 
+# Declared, so that no job reads file footers to find them.
+SCHEMAS = {
+    "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, "
+    "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+    "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, "
+    "c_mktsegment string",
+    "supplier": "s_suppkey long, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey long, p_name string, p_brand string, p_type string, p_size int, "
+    "p_retailprice double",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return read_table(spark, TableRef(f"{folder}/{name}.parquet"))
+    return read_table(spark, TableRef(f"{folder}/{name}.parquet", schema=SCHEMAS[name]))
 
 
 def sales_lines(spark: SparkSession, folder: str, months: int | None = None) -> DataFrame:
@@ -57,16 +75,19 @@ def sales_lines(spark: SparkSession, folder: str, months: int | None = None) ->
     orders = table(spark, folder, "orders")
     if months:
         orders = trailing_months(orders, "o_orderdate", AS_OF, months)
-    region = table(spark, folder, "nation").join(
-        table(spark, folder, "region"), F.col("n_regionkey") == F.col("r_regionkey")
-    )
     c = F.col
+    # Small tables are joined to each other and to the orders first, so the lines, the
+    # largest table, take part in as few exchanges as possible.
+    places = (
+        table(spark, folder, "customer")
+        .join(table(spark, folder, "nation"), c("c_nationkey") == c("n_nationkey"))
+        .join(table(spark, folder, "region"), c("n_regionkey") == c("r_regionkey"))
+    )
+    placed = orders.join(places, c("o_custkey") == c("c_custkey"))
     return (
         table(spark, folder, "lineitem")
-        .join(orders, c("l_orderkey") == c("o_orderkey"))
+        .join(placed, c("l_orderkey") == c("o_orderkey"))
         .join(table(spark, folder, "part"), c("l_partkey") == c("p_partkey"))
-        .join(table(spark, folder, "customer"), c("o_custkey") == c("c_custkey"))
-        .join(region, c("c_nationkey") == c("n_nationkey"))
         .join(table(spark, folder, "supplier"), c("l_suppkey") == c("s_suppkey"))
         .select(
             c("l_orderkey").alias("order_no"),
@@ -155,7 +176,7 @@ class Tables:
 
     @property
     def features(self) -> DataFrame:
-        return build_features(self.gaps, self.end)
+        return build_features(self.activity, self.end)
 
     @property
     def labels(self) -> DataFrame:
@@ -163,7 +184,7 @@ class Tables:
 
     @property
     def training_features(self) -> DataFrame:
-        return build_features(self.gaps, self.training_end)
+        return build_features(self.activity, self.training_end)
 
     @cached_property
     def training(self) -> DataFrame:
@@ -172,10 +193,8 @@ class Tables:
     @property
     def margins(self) -> DataFrame:
         """A margin per product and branch, from list price against price paid."""
-        paid, listed = F.sum(F.col("amount").cast("decimal(18,4)")), F.sum(
-            F.col("amount_usd").cast("decimal(18,4)")
-        )
-        share = F.lit(1.0) - F.try_divide(paid.cast("double"), listed.cast("double"))
+        paid, listed = exact_sum(F.col("amount")), exact_sum(F.col("amount_usd"))
+        share = F.lit(1.0) - ratio(paid, listed)
         return (
             self.scoped.groupBy("product", "branch")
             .agg(share.alias("margin"))
@@ -195,12 +214,13 @@ class Tables:
 
     @property
     def clients(self) -> DataFrame:
+        """The client list, from stored risk rows where another step stored them."""
         self.share_raw()
         contacts = latest_values(
             self.scoped, ["client_id", "branch"], ["phone", "email"], "sale_date"
         )
         return client_list(
-            client_rollup(self.risk),
+            client_rollup(self.risk if "risk" in self.__dict__ else self.risk_plan),
             client_branch_profile(self.raw, ["segment"]),
             client_sellers(self.raw),
             contacts,
@@ -212,7 +232,8 @@ class Tables:
 
     @property
     def targets(self) -> DataFrame:
-        return select_targets(self.clients, self.opportunities, MARKET.excluded_sellers)
+        top = self.opportunities  # stores the risk rows, which the clients then use
+        return select_targets(self.clients, top, MARKET.excluded_sellers)
 
     @property
     def last_list(self) -> DataFrame:

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from holdfast.functions.predicates import in_closed_window, in_half_open_window
 from holdfast.functions.values import exact_sum, months_apart, ratio, round_half_even
-from holdfast.operators.activity import older_reference, recent_reference
+from holdfast.operators.activity import older_reference, recent_reference, with_gaps
 from holdfast.spec import KEYS, Windows
 
 DAYS_PER_MONTH = 30.4375
@@ -62,13 +63,17 @@ def _row(prefix: str, tag: str, end: Column, first: Column, means: Sequence[str]
 
 
 def features_for_cuts(
-    activity: DataFrame, cuts: Mapping[str, Column], windows: Windows = Windows()
+    activity: DataFrame,
+    cuts: Mapping[str, Column],
+    windows: Windows = Windows(),
+    gap_by_branch: bool = False,
 ) -> DataFrame:
     """One row per cut and client-product-branch that was active in the cut's window.
 
     ``cuts`` maps a tag to the last month of its window.  References to older purchases need
-    the same grouping, so all cuts share one aggregation and no join.  A first one-row job
-    finds the first month present in each window.
+    the same grouping, so all cuts share one aggregation and no join.  Gaps are taken over the
+    whole history.  ``activity`` is read twice: a one-row job first finds the first month
+    present in each window.
     """
     means, period = _measures(activity), F.col("period")
     firsts = activity.agg(
@@ -86,8 +91,17 @@ def features_for_cuts(
             for name, column in _aggregates(end, windows, means).items()
         ]
         rows.append(_row(prefix, tag, end, first, means))
+    used = reduce(
+        lambda a, b: a | b,
+        [
+            in_closed_window(period, end, max(windows.features, windows.older_end + windows.older_span))
+            for end in cuts.values()
+        ],
+    )
     return (
-        activity.groupBy(*KEYS)
+        with_gaps(activity, gap_by_branch)
+        .where(used)
+        .groupBy(*KEYS)
         .agg(*aggregates)
         .select(*KEYS, F.inline(F.array(*rows)))
         .where(F.col("last_purchase").isNotNull())
@@ -97,10 +111,8 @@ def features_for_cuts(
 def build_features(
     activity: DataFrame, end: Column, windows: Windows = Windows()
 ) -> DataFrame:
-    """Features at one cut; only the months that can matter are read."""
-    months = max(windows.features, windows.older_end + windows.older_span)
-    needed = activity.where(in_closed_window(F.col("period"), end, months))
-    return features_for_cuts(needed, {"": end}, windows).drop("data_type")
+    """Features at one cut."""
+    return features_for_cuts(activity, {"": end}, windows).drop("data_type")
 
 
 def label_window(

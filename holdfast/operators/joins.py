@@ -67,13 +67,20 @@ def drop_members(df: DataFrame, ids: DataFrame, on: str | Sequence[str]) -> Data
     return df.join(ids.select(*keys), keys, "left_anti")
 
 
+def newest_value(column: str, date: str) -> Column:
+    """Aggregate: the newest non-null value; equal dates take the greatest value."""
+    order = F.when(F.col(column).isNotNull(), F.struct(F.col(date), F.col(column)))
+    return F.max_by(column, order).alias(column)
+
+
 def latest_values(
     df: DataFrame, keys: Sequence[str], columns: Sequence[str], date: str
 ) -> DataFrame:
-    """Per key, each column's newest non-null value; equal dates take the greatest value."""
+    """Per key, each column's newest non-null value.
 
-    def newest(c: str) -> Column:
-        order = F.when(F.col(c).isNotNull(), F.struct(F.col(date), F.col(c)))
-        return F.max_by(c, order).alias(c)
-
-    return df.groupBy(*keys).agg(*[newest(c) for c in columns])
+    Lines are first reduced to one row per key and combination of values with its newest
+    date.  That is a hash aggregate over numbers; picking text by date needs a sort, which
+    then runs on the few combinations a key has, not on its lines.
+    """
+    seen = df.groupBy(*keys, *columns).agg(F.max(date).alias("_date"))
+    return seen.groupBy(*keys).agg(*[newest_value(c, "_date") for c in columns])

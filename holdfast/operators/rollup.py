@@ -12,7 +12,8 @@ from holdfast.spec import RiskLabels, RiskRules
 
 def client_names(df: DataFrame) -> DataFrame:
     """One name per client: the least of its non-null names, whatever the row order."""
-    return df.groupBy("client_id").agg(F.min("client_name").alias("client_name"))
+    names = df.select("client_id", "client_name").distinct()  # hashed; a text minimum sorts
+    return names.groupBy("client_id").agg(F.min("client_name").alias("client_name"))
 
 
 def share_of_client(risk: DataFrame, labels: RiskLabels = RiskLabels()) -> DataFrame:
@@ -62,10 +63,12 @@ def client_opportunity(risk: DataFrame, labels: RiskLabels = RiskLabels()) -> Da
 def client_rollup(
     risk: DataFrame, rules: RiskRules = RiskRules(), labels: RiskLabels = RiskLabels()
 ) -> DataFrame:
-    """Name, churn, margin, opportunity and the at-risk mark per client in one aggregation."""
+    """Name, churn, margin, opportunity and the at-risk mark per client in one aggregation.
+
+    A client has one name, which therefore is a key here.
+    """
     opportunity = F.col("risk_level") == labels.opportunity
     columns = {
-        "client_name": F.min("client_name"),
         **_churn_columns(~opportunity),
         "potential_win": F.when(
             F.max(opportunity.cast("int")) == 1,
@@ -73,7 +76,9 @@ def client_rollup(
         ),
         "has_risk": F.coalesce(F.max(at_risk(rules, labels)), F.lit(False)),
     }
-    return risk.groupBy("client_id").agg(*[c.alias(n) for n, c in columns.items()])
+    return risk.groupBy("client_id", "client_name").agg(
+        *[c.alias(n) for n, c in columns.items()]
+    )
 
 
 def risk_counts(clients: DataFrame, threshold: float = 0.5) -> DataFrame:

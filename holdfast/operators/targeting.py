@@ -7,13 +7,17 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from holdfast.functions.predicates import differs_keep_null, not_in_keep_null, rule_condition
-from holdfast.functions.values import exact_sum, to_whole
+from holdfast.functions.predicates import (
+    apply_rules,
+    differs_keep_null,
+    not_in_keep_null,
+    rule_condition,
+)
+from holdfast.functions.values import sum_parts, to_whole, total_of
 from holdfast.operators.activity import newest_period
-from holdfast.operators.joins import keep_members, latest_values
+from holdfast.operators.joins import keep_members, latest_values, newest_value
 from holdfast.operators.ranking import global_row_number
 from holdfast.operators.risk import at_risk
-from holdfast.functions.predicates import apply_rules
 from holdfast.sources.feedback import NOTE_COLUMNS
 from holdfast.spec import RiskLabels, RiskRules, Rule, Windows
 
@@ -25,25 +29,31 @@ def client_branch_profile(
     months: int = 12,
     rules: Sequence[Rule] = (),
 ) -> DataFrame:
-    """Newest attributes and 12-month sales per client and branch in one aggregation."""
+    """Newest attributes and 12-month sales per client and branch in one pass over the lines.
+
+    As in ``latest_values`` the lines are reduced to attribute combinations first; their
+    sales are summed along the way.
+    """
     start = F.add_months(newest_period(apply_rules(sales, rules)), -(months - 1))
     counted = F.col(branch).isNotNull() & (F.col("sale_date") >= start)
     for rule in rules:
         counted = counted & rule_condition(rule)
-    newest = [
-        F.max_by(c, F.when(F.col(c).isNotNull(), F.struct("sale_date", c))).alias(c)
-        for c in columns
-    ]
-    return (
+    high, low = sum_parts(F.when(counted, F.col("amount")))
+    seen = (
         sales.where(F.col("client_id").isNotNull())
-        .groupBy("client_id", F.col(branch).alias("branch"))
+        .groupBy("client_id", F.col(branch).alias("branch"), *columns)
         .agg(
-            *newest,
-            F.when(
-                F.count_if(counted) > 0, exact_sum(F.when(counted, F.col("amount")))
-            ).alias("sales_12m"),
+            F.max("sale_date").alias("_date"),
+            high.alias("_high"),
+            low.alias("_low"),
+            F.count_if(counted).alias("_counted"),
         )
     )
+    total = total_of(F.sum("_high"), F.sum("_low"))
+    return seen.groupBy("client_id", "branch").agg(
+        *[newest_value(c, "_date") for c in columns],
+        F.when(F.sum("_counted") > 0, total).alias("sales_12m"),
+    )
 
 
 def client_sellers(sales: DataFrame) -> DataFrame:
@@ -54,9 +64,11 @@ def client_sellers(sales: DataFrame) -> DataFrame:
 def client_list(rollup: DataFrame, profile: DataFrame, *extras: DataFrame) -> DataFrame:
     """One row per client and branch: profile, extra tables, churn, loss and opportunity.
 
-    ``extras`` are left-joined on the key columns they share with the list.
+    Every rolled-up client comes from lines, so it has a profile row and an inner join keeps
+    it; that also lets the planner split a client with very many branches.  ``extras`` are
+    left-joined on the key columns they share with the list.
     """
-    df = rollup.join(profile, "client_id", "left")
+    df = profile.join(rollup, "client_id")
     for extra in extras:
         keys = [c for c in ("client_id", "branch") if c in extra.columns]
         df = df.join(extra, keys, "left")

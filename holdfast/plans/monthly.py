@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from holdfast.operators import assign, model, publish
-from holdfast.operators.activity import monthly_activity, newest_period, sales_total, with_gaps
+from holdfast.operators.activity import monthly_activity, newest_period, sales_total
 from holdfast.operators.features import attach_label, features_for_cuts, label_window
 from holdfast.operators.joins import latest_values, lookup
 from holdfast.operators.margins import join_margin, unpivot_margin
@@ -120,7 +120,7 @@ def model_rows(
     """
     end = newest_period(activity)
     cuts = {TRAINING: F.add_months(end, -spec.windows.label), PRODUCTION: end}
-    both = features_for_cuts(with_gaps(activity, spec.gap_by_branch), cuts, spec.windows)
+    both = features_for_cuts(activity, cuts, spec.windows, spec.gap_by_branch)
     limited = [*spec.measures, "volume"]
     both = cap_floor(
         store(both, "features"), limited, spec.rules.cap, spec.rules.floor, "data_type"

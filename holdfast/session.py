@@ -17,6 +17,12 @@ SETTINGS = {
 }
 
 
+def shuffle_partitions(input_bytes: int, partition_bytes: int = 256 << 20) -> int:
+    """Exchange partitions that keep each task's share of ``input_bytes`` in memory; the
+    adaptive planner merges those that come out small."""
+    return max(8, -(-input_bytes // partition_bytes))
+
+
 def build_session(name: str = "holdfast", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the jobs expect.
 
@@ -51,12 +57,26 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/holdfast-{name}-{uuid.uuid4().hex[:12]}"
 
 
+_stored: list[str] = []
+
+
 def store(df: DataFrame, name: str) -> DataFrame:
     """Write a table that several steps read, and return a reader of it.
 
     Unlike cached blocks the files outlive a lost executor, and later reads prune columns.
-    The caller's session owns the scratch folder and its clean-up.
     """
     path = scratch_path(df.sparkSession, name)
     df.write.mode("errorifexists").parquet(path)
+    _stored.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release_stored(spark: SparkSession) -> int:
+    """Delete the tables this process stored, once nothing that reads them is needed any
+    more; returns how many there were."""
+    hadoop = spark._jvm.org.apache.hadoop
+    count = len(_stored)
+    while _stored:
+        path = hadoop.fs.Path(_stored.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return count

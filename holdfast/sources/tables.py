@@ -23,7 +23,7 @@ class TableRef:
     name: str
     kind: str = "parquet"
     options: Mapping[str, str] = field(default_factory=dict)
-    schema: StructType | None = None
+    schema: StructType | str | None = None
     partition_column: str | None = None
     lower: str | None = None
     upper: str | None = None
