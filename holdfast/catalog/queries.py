@@ -308,9 +308,8 @@ def join_inner_attrs(m):
     attributes = joins.latest_values(
         m.raw, ["client_id", "product"], s.MARKET.attributes, "sale_date"
     )
-    rows = m.features.join(
-        prepare.set_flags(attributes, s.MARKET.flags), ["client_id", "product"]
-    )
+    attributes = prepare.set_flags(attributes, s.MARKET.flags)
+    rows = joins.join_back(m.features, attributes, ["client_id", "product"], "inner")
     return longs(rows.select(*KEYS, "frequency", *s.MARKET.attributes), *s.MARKET.flags)
 
 
@@ -321,7 +320,7 @@ def label_training(m):
 
 @query
 def join_semi(m):
-    ids = m.risk_plan.where(risk.at_risk()).select("client_id").distinct()
+    ids = m.risk_plan.where(risk.at_risk())
     return joins.keep_members(m.lines, ids, "client_id").select(
         *LINE, "client_id"
     )
@@ -329,7 +328,7 @@ def join_semi(m):
 
 @query
 def join_anti(m):
-    ids = m.risk_plan.where(risk.at_risk()).select("client_id").distinct()
+    ids = m.risk_plan.where(risk.at_risk())
     return joins.drop_members(m.lines, ids, "client_id").select(
         *LINE, "client_id"
     )
@@ -734,9 +733,8 @@ def _calibrated(m):
         m.raw, ["client_id", "product"], ["segment"], "sale_date"
     )
     cuts = {"Training": F.add_months(end, -3), "Production": end}
-    both = features.features_for_cuts(m.activity, cuts).join(
-        attributes, ["client_id", "product"]
-    )
+    both = features.features_for_cuts(m.activity, cuts)
+    both = joins.join_back(both, attributes, ["client_id", "product"], "inner")
     both = store(
         quantiles.cap_floor(both, ["monetary_value", "volume"], 0.999, 0.001, "data_type"),
         "features",

@@ -12,7 +12,7 @@ from holdfast.functions.predicates import apply_rules
 from holdfast.functions.values import exact_sum, ratio
 from holdfast.operators.activity import monthly_activity, newest_period, with_gaps
 from holdfast.operators.features import attach_label, build_features, label_window
-from holdfast.operators.joins import latest_values
+from holdfast.operators.joins import join_back, latest_values
 from holdfast.operators.margins import join_margin
 from holdfast.operators.risk import classify_risk, with_total_value
 from holdfast.operators.rollup import client_names, client_rollup
@@ -49,6 +49,8 @@ REGIONS = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
 TYPES = ("ECONOMY", "LARGE", "MEDIUM", "SMALL", "STANDARD")
 
 
+LINE_ONLY = ("order_no", "line_no", "product_code", "size_code", "doc_type", "data_kind")
+
 # Declared, so that no job reads file footers to find them.
 SCHEMAS = {
     "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, "
@@ -145,9 +147,10 @@ class Tables:
         return sales_lines(self.spark, self.folder, MARKET.windows.history)
 
     def share_raw(self) -> None:
-        """Store the lines, for queries that read them in several steps."""
+        """Store the lines, for queries that read them in several steps; the columns that
+        only single-step queries use stay out."""
         if "raw" not in self.__dict__:
-            self.raw = store(self.raw, "lines")
+            self.raw = store(self.raw.drop(*LINE_ONLY), "lines")
 
     @property
     def scoped(self) -> DataFrame:
@@ -205,7 +208,7 @@ class Tables:
     def risk_plan(self) -> DataFrame:
         self.share_raw()
         scored = self.features.withColumn("churn_probability", synthetic_probability())
-        graded = classify_risk(scored.join(client_names(self.raw), "client_id", "left"))
+        graded = classify_risk(join_back(scored, client_names(self.raw), ["client_id"]))
         return with_total_value(join_margin(graded, self.margins))
 
     @cached_property

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from holdfast.operators.joins import join_back
 from holdfast.operators.quantiles import interpolate
 from holdfast.operators.ranking import rank_by_hash, top_per_group
 from holdfast.spec import RiskLabels
@@ -41,7 +42,7 @@ def assign_by_list(df: DataFrame, centre_clients: DataFrame, centre: str = CENTR
     """Listed clients go to the call centre, others to their seller."""
     listed = centre_clients.select("client_id").distinct().withColumn("_listed", F.lit(True))
     return (
-        df.join(listed, "client_id", "left")
+        join_back(df, listed, ["client_id"])
         .withColumn("assignee", F.when(F.col("_listed"), centre).otherwise(F.col("seller")))
         .drop("_listed")
     )
@@ -144,7 +145,7 @@ def assign_quota(
         .otherwise(F.coalesce("_kept", F.lit(False)))
     )
     return (
-        df.join(per_seller.where(F.col("seller").isNotNull()), "seller", "left")
+        join_back(df, per_seller.where(F.col("seller").isNotNull()), ["seller"])
         .join(kept, ["seller", "client_id", "branch"], "left")
         .withColumn("assignee", F.when(stays, F.col("seller")).otherwise(centre))
         .drop("_rows", "_known", "_kept")

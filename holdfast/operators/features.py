@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from holdfast.functions.predicates import in_closed_window, in_half_open_window
 from holdfast.functions.values import exact_sum, months_apart, ratio, round_half_even
 from holdfast.operators.activity import older_reference, recent_reference, with_gaps
+from holdfast.operators.joins import join_back
 from holdfast.spec import KEYS, Windows
 
 DAYS_PER_MONTH = 30.4375
@@ -135,7 +136,7 @@ def label_window(
 def attach_label(features: DataFrame, labels: DataFrame, by_branch: bool = False) -> DataFrame:
     """A key without a label row has churned."""
     keys = list(KEYS) if by_branch else ["client_id", "product"]
-    return features.join(labels.select(*keys, "target"), keys, "left").withColumn(
+    return join_back(features, labels.select(*keys, "target"), keys).withColumn(
         "target", F.coalesce("target", F.lit(1))
     )
 

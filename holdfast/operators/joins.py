@@ -44,6 +44,18 @@ def lookup(df: DataFrame, table: DataFrame, spec: Lookup, null_safe: bool = Fals
     )
 
 
+def join_back(
+    df: DataFrame, table: DataFrame, on: Sequence[str], how: str = "left"
+) -> DataFrame:
+    """Join a table that was aggregated by the same keys.
+
+    The planner splits a hot key only where both sides arrive by an exchange made for the
+    join, and would use the aggregate's own exchange here.  Spreading the table, one row per
+    key, by all its columns makes it add one.
+    """
+    return df.join(table.repartition(*table.columns), list(on), how)
+
+
 def join_same_type(
     df: DataFrame, table: DataFrame, on: Sequence[str], how: str, as_type: str
 ) -> DataFrame:

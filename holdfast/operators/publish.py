@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from holdfast.functions.predicates import apply_rules, in_previous_month
 from holdfast.functions.values import round_half_even
+from holdfast.operators.joins import join_back
 from holdfast.sources.feedback import split_feedback
 from holdfast.spec import Rule
 
@@ -57,7 +58,7 @@ def risk_view(risk: DataFrame, *extras: DataFrame) -> DataFrame:
     df = risk
     for extra in extras:
         keys = [c for c in ("client_id", "product", "branch") if c in extra.columns]
-        df = df.join(extra, keys, "left")
+        df = join_back(df, extra, keys)
     return df.withColumns(
         {
             "analysis_period": F.col("analysis_period").cast("date"),

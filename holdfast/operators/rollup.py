@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from holdfast.functions.values import exact_sum, ratio
+from holdfast.operators.joins import join_back
 from holdfast.operators.risk import at_risk
 from holdfast.spec import RiskLabels, RiskRules
 
@@ -24,7 +25,7 @@ def share_of_client(risk: DataFrame, labels: RiskLabels = RiskLabels()) -> DataF
     """
     rows = risk.where(F.col("risk_level") != labels.opportunity)
     totals = rows.groupBy("client_id").agg(exact_sum(F.col("total_value")).alias("client_value"))
-    return rows.join(totals, "client_id").withColumn(
+    return join_back(rows, totals, ["client_id"], "inner").withColumn(
         "share", ratio(F.col("total_value"), F.col("client_value"))
     )
 
@@ -112,5 +113,5 @@ def band_clients(
         .when(F.col("severity") == 1, "Opportunity")
         .otherwise("Out")
     )
-    joined = clients.join(worst_band(risk, keys, labels), keys, "left")
+    joined = join_back(clients, worst_band(risk, keys, labels), keys)
     return joined.withColumn("band", band).drop("severity")

@@ -15,7 +15,7 @@ from holdfast.functions.predicates import (
 )
 from holdfast.functions.values import sum_parts, to_whole, total_of
 from holdfast.operators.activity import newest_period
-from holdfast.operators.joins import keep_members, latest_values, newest_value
+from holdfast.operators.joins import join_back, keep_members, latest_values, newest_value
 from holdfast.operators.ranking import global_row_number
 from holdfast.operators.risk import at_risk
 from holdfast.sources.feedback import NOTE_COLUMNS
@@ -71,7 +71,7 @@ def client_list(rollup: DataFrame, profile: DataFrame, *extras: DataFrame) -> Da
     df = profile.join(rollup, "client_id")
     for extra in extras:
         keys = [c for c in ("client_id", "branch") if c in extra.columns]
-        df = df.join(extra, keys, "left")
+        df = join_back(df, extra, keys)
     loss = (
         F.col("sales_12m") * F.col("client_churn_probability") * F.col("client_margin_est")
     )
@@ -137,7 +137,7 @@ def callable_rows(
 
 def target_detail(risk: DataFrame, targets: DataFrame) -> DataFrame:
     """All product rows of the target clients."""
-    return keep_members(risk, targets.select("client_id").distinct(), "client_id")
+    return keep_members(risk, targets, "client_id")
 
 
 def list_order() -> list[Column]:
@@ -172,7 +172,7 @@ def carry_over(
     )
     matched = F.col("_old").isNotNull()
     return (
-        targets.join(old, "client_id", "left")
+        join_back(targets, old, ["client_id"])
         .withColumns(
             {c: F.when(matched, F.col("_old")[c]).otherwise(F.lit("")) for c in NOTE_COLUMNS}
         )

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from holdfast.operators import assign, model, publish
 from holdfast.operators.activity import monthly_activity, newest_period, sales_total
 from holdfast.operators.features import attach_label, features_for_cuts, label_window
-from holdfast.operators.joins import latest_values, lookup
+from holdfast.operators.joins import join_back, latest_values, lookup
 from holdfast.operators.margins import join_margin, unpivot_margin
 from holdfast.operators.prepare import prepare_sales, scope_sales, set_flags
 from holdfast.operators.quantiles import cap_floor
@@ -127,7 +127,7 @@ def model_rows(
     )
     attributes = _attributes(spec, raw, scoped)
     if attributes is not None:
-        both = both.join(attributes, list(spec.attribute_keys))
+        both = join_back(both, attributes, spec.attribute_keys, "inner")
     both = store(both, "modelrows")
     labels = label_window(activity, end, spec.windows.label, spec.label_by_branch)
     training = attach_label(
@@ -153,7 +153,7 @@ RISK_COLUMNS = (
 
 def grade(spec: MarketSpec, scored: DataFrame, raw: DataFrame, inputs: Inputs) -> DataFrame:
     """Risk rows with client name, margin and total value."""
-    named = scored.join(client_names(raw), "client_id", "left").select(
+    named = join_back(scored, client_names(raw), ["client_id"]).select(
         *RISK_COLUMNS, *spec.measures
     )
     if spec.margin_table:
@@ -227,7 +227,8 @@ def build_history_view(
         if item.table in spec.history_lookups:
             df = lookup(df, inputs.tables[item.table], item)
     if spec.history_segment:
-        df = df.join(latest_values(scoped, ["client_id"], ["segment"], "sale_date"), "client_id", "left")
+        segments = latest_values(scoped, ["client_id"], ["segment"], "sale_date")
+        df = join_back(df, segments, ["client_id"])
     return df.drop(*spec.history_drop)
 
 

@@ -282,8 +282,12 @@ def test_overrides_repairs_and_lookup(spark):
 
 
 def test_margin_table(spark):
-    df = spark.createDataFrame([("A", 0.1, None, 0.3), ("B", None, None, 0.6)], "p string, N double, S double, `E 1` double")
-    rows = {(r["product"], r["branch"]): r["margin"] for r in margins.unpivot_margin(df, "p").collect()}
+    df = spark.createDataFrame(
+        [("A", 0.1, None, 0.3), ("B", None, None, 0.6)],
+        "p string, N double, S double, `E 1` double",
+    )
+    found = margins.unpivot_margin(df, "p").collect()
+    rows = {(r["product"], r["branch"]): r["margin"] for r in found}
     assert rows == {("A", "N"): 0.1, ("A", "E 1"): 0.3, ("B", "E 1"): 0.6}
 
 

@@ -169,3 +169,34 @@ def test_stored_tables_are_released(spark, tmp_path):
     assert release_stored(spark) >= 1
     assert not glob.glob(f"{scratch_root(spark)}/holdfast-probe-*")
     assert shuffle_partitions(10**14) == 372530 and shuffle_partitions(10) == 8
+
+
+def test_hot_key_join_is_split(spark):
+    """The planner cuts a dominant client's rows over tasks when they meet a client table."""
+    from holdfast.operators.joins import lookup
+    from holdfast.operators.rollup import share_of_client
+    from holdfast.spec import Lookup
+
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    before = {k: spark.conf.get(k, None) for k in small}
+    for key, value in small.items():
+        spark.conf.set(key, value)
+    try:
+        rows = spark.range(0, 60000, 1, 8).select(
+            F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).cast("long").alias("client_id"),
+            F.col("id").cast("double").alias("total_value"),
+            F.lit("Estable").alias("risk_level"),
+        )
+        table = spark.range(60000).select(F.col("id").alias("k"), F.lit("n").alias("name"))
+        named = lookup(rows, table, Lookup("t", (("client_id", "k"),), {"name": "name"}))
+        for df in (named, share_of_client(rows)):
+            assert len(df.collect()) == 60000
+            assert "skewed" in df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
