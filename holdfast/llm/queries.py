@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 from holdfast.llm.packing import op9_best_fit_packing
+from holdfast.llm.quality import op5_quality_rules
+from holdfast.llm.simhash import op8_simhash_near_dedup
 from holdfast.llm.token_counts import op4_token_counts
 
 QUERIES = {
     "op4_token_counts": op4_token_counts,
+    "op5_quality_rules": op5_quality_rules,
+    "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_best_fit_packing": op9_best_fit_packing,
 }
 
