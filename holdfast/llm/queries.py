@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from holdfast.llm.packing import op9_best_fit_packing
 from holdfast.llm.quality import op5_quality_rules
+from holdfast.llm.secrets import op1_secret_scans
 from holdfast.llm.simhash import op8_simhash_near_dedup
 from holdfast.llm.token_counts import op4_token_counts
 
 QUERIES = {
+    "op1_secret_scans": op1_secret_scans,
     "op4_token_counts": op4_token_counts,
     "op5_quality_rules": op5_quality_rules,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
