@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from holdfast.llm.mixing import op7_mixing_sources
 from holdfast.llm.packing import op9_best_fit_packing
 from holdfast.llm.quality import op5_quality_rules
 from holdfast.llm.secrets import op1_secret_scans
@@ -12,6 +13,7 @@ QUERIES = {
     "op1_secret_scans": op1_secret_scans,
     "op4_token_counts": op4_token_counts,
     "op5_quality_rules": op5_quality_rules,
+    "op7_mixing_sources": op7_mixing_sources,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_best_fit_packing": op9_best_fit_packing,
 }
