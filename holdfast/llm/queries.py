@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+from holdfast.llm import sharding
 from holdfast.llm.mixing import op7_mixing_sources
 from holdfast.llm.packing import op9_best_fit_packing
 from holdfast.llm.quality import op5_quality_rules
 from holdfast.llm.secrets import op1_secret_scans
+from holdfast.llm.sharding import op2_sharding
 from holdfast.llm.simhash import op8_simhash_near_dedup
 from holdfast.llm.token_counts import op4_token_counts
 
 QUERIES = {
     "op1_secret_scans": op1_secret_scans,
+    "op2_sharding": op2_sharding,
     "op4_token_counts": op4_token_counts,
     "op5_quality_rules": op5_quality_rules,
     "op7_mixing_sources": op7_mixing_sources,
@@ -18,4 +21,4 @@ QUERIES = {
     "op9_best_fit_packing": op9_best_fit_packing,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op2_sharding": sharding.ORACLE}
