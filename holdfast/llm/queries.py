@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from holdfast.llm import sharding
+from holdfast.llm import sharding, warc
 from holdfast.llm.mixing import op7_mixing_sources
 from holdfast.llm.packing import op9_best_fit_packing
 from holdfast.llm.quality import op5_quality_rules
@@ -10,6 +10,7 @@ from holdfast.llm.secrets import op1_secret_scans
 from holdfast.llm.sharding import op2_sharding
 from holdfast.llm.simhash import op8_simhash_near_dedup
 from holdfast.llm.token_counts import op4_token_counts
+from holdfast.llm.warc import op10_warc
 
 QUERIES = {
     "op1_secret_scans": op1_secret_scans,
@@ -19,6 +20,7 @@ QUERIES = {
     "op7_mixing_sources": op7_mixing_sources,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_best_fit_packing": op9_best_fit_packing,
+    "op10_warc": op10_warc,
 }
 
-ORACLE: dict[str, str] = {"op2_sharding": sharding.ORACLE}
+ORACLE: dict[str, str] = {"op2_sharding": sharding.ORACLE, "op10_warc": warc.ORACLE}
