@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from holdfast.llm import sharding, warc
+from holdfast.llm import lattice, sharding, warc
+from holdfast.llm.lattice import op3_embedding_near_dedup
 from holdfast.llm.mixing import op7_mixing_sources
 from holdfast.llm.packing import op9_best_fit_packing
 from holdfast.llm.quality import op5_quality_rules
@@ -15,6 +16,7 @@ from holdfast.llm.warc import op10_warc
 QUERIES = {
     "op1_secret_scans": op1_secret_scans,
     "op2_sharding": op2_sharding,
+    "op3_embedding_near_dedup": op3_embedding_near_dedup,
     "op4_token_counts": op4_token_counts,
     "op5_quality_rules": op5_quality_rules,
     "op7_mixing_sources": op7_mixing_sources,
@@ -23,4 +25,4 @@ QUERIES = {
     "op10_warc": op10_warc,
 }
 
-ORACLE: dict[str, str] = {"op2_sharding": sharding.ORACLE, "op10_warc": warc.ORACLE}
+ORACLE: dict[str, str] = {"op2_sharding": sharding.ORACLE, "op3_embedding_near_dedup": lattice.ORACLE, "op10_warc": warc.ORACLE}
