@@ -11,6 +11,7 @@ from holdfast.llm.secrets import op1_secret_scans
 from holdfast.llm.sharding import op2_sharding
 from holdfast.llm.simhash import op8_simhash_near_dedup
 from holdfast.llm.token_counts import op4_token_counts
+from holdfast.llm.toxicity import op6_toxicity
 from holdfast.llm.warc import op10_warc
 
 QUERIES = {
@@ -19,6 +20,7 @@ QUERIES = {
     "op3_embedding_near_dedup": op3_embedding_near_dedup,
     "op4_token_counts": op4_token_counts,
     "op5_quality_rules": op5_quality_rules,
+    "op6_toxicity": op6_toxicity,
     "op7_mixing_sources": op7_mixing_sources,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_best_fit_packing": op9_best_fit_packing,
