@@ -37,7 +37,7 @@ LEET = {
     "9": "g", "@": "a", "$": "s", "!": "i", "|": "li", "+": "t", "(": "c", "€": "e", "£": "l",
 }
 PUNCTUATION = "\"'`.,;:!?()[]{}<>#%&*/\\|-_=+~^$@"
-COST_LETTER, COST_DROP, COST_DIGIT_DROP, COST_COLLAPSE = 1.5, 0.5, 4.0, 0.5
+COST_LETTER, COST_DROP, COST_DIGIT_DROP, COST_COLLAPSE, COST_UNDOUBLE = 1.5, 0.5, 6.0, 0.5, 3.0
 _SPACED = re.compile(r"(?<!\S)\S(?:[ ._*-]\S){2,}(?!\S)")
 _RUN = re.compile(r"(\S)\1\1")
 _JUNK = re.compile(r"([^\w\s])\1{2,}")
@@ -113,7 +113,7 @@ class Decoder:
                     while j < len(noisy) and noisy[j] == c:
                         j += 1
                     if j - i > 1:
-                        options.append((j, c, COST_COLLAPSE))
+                        options.append((j, c, COST_COLLAPSE if j - i > 2 else COST_UNDOUBLE))
                     if j - i > 2:
                         options.append((j, c + c, COST_COLLAPSE))
                 continue
