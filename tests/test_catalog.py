@@ -5,6 +5,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from holdfast.catalog.queries import QUERIES
 from tests.compare import connect, differences
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -23,6 +24,6 @@ def test_matches_sql(spark, duck, name):
 
 
 def test_only_model_queries_lack_sql():
-    missing = set(entry.queries()) - set(ORACLE)
+    missing = set(QUERIES) - set(ORACLE)
     assert missing == {"model_calibrate", "model_score", "model_metrics"}
     assert not set(ORACLE) - set(entry.queries())
