@@ -41,11 +41,11 @@ def annotate(
     ``start`` runs once in each task and returns a function from the values of ``needs``
     (lists, one per column) to one list of tuples, the struct's fields in order.
     """
-    inputs = [column(c) for c in carry] + [column(c).alias(f"in{i}") for i, c in enumerate(needs)]
-    source = df.select(*inputs)
-    schema = T.StructType(
-        [*source.schema.fields[: len(carry)], T.StructField(result, fields, False)]
-    )
+    source = df.select(*[column(c).alias(f"c{i}") for i, c in enumerate([*carry, *needs])])
+    carried_fields = [
+        T.StructField(c, f.dataType, f.nullable) for c, f in zip(carry, source.schema.fields)
+    ]
+    schema = T.StructType([*carried_fields, T.StructField(result, fields, False)])
     arrow = to_arrow_schema(schema)
     struct = arrow.field(len(carry)).type
     kept = len(carry)

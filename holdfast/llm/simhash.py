@@ -19,6 +19,7 @@ from holdfast.session import store
 SHINGLE = 3
 SEED = 42
 DISTANCE = 3
+_ALL = (1 << 64) - 1
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
@@ -132,11 +133,12 @@ def linked_values(values: DataFrame, distance: int = DISTANCE) -> DataFrame:
         def compute(group: pa.Table):
             if group.num_rows == 2:
                 a, b = sorted(group.column("value").to_pylist())
-                return [[b], [a]] if (a ^ b).bit_count() <= distance else None
+                return [[b], [a]] if ((a ^ b) & _ALL).bit_count() <= distance else None
             found = np.sort(np.asarray(group.column("value")))
+            bits = found.view(np.uint64)  # of signed numbers only absolute values are counted
             left, right = [], []
             for i in range(0, len(found), 512):
-                apart = np.bitwise_count(found[i : i + 512, None] ^ found[None, i:])
+                apart = np.bitwise_count(bits[i : i + 512, None] ^ bits[None, i:])
                 x, y = np.nonzero(apart <= distance)
                 forward = y > x
                 left.append(x[forward] + i)
@@ -152,6 +154,25 @@ def linked_values(values: DataFrame, distance: int = DISTANCE) -> DataFrame:
     return by_runs(dealt, ["anchor", "low", "high"], LINKS, start_links).distinct()
 
 
+def _classified(
+    docs: DataFrame, text: str, doc_id: str, distance: int
+) -> tuple[DataFrame, DataFrame]:
+    """Documents with fingerprints; fingerprints with ``component`` and ``component_id``."""
+    found = fingerprints(docs, text=text, carry=[doc_id], result="print")
+    found = store(
+        found.select(column(doc_id).alias("doc_id"), F.col("print.value").alias("value")), "prints"
+    )
+    classes = store(found.groupBy("value").agg(F.min("doc_id").alias("first_id")), "classes")
+    linked = components(linked_values(classes, distance), "fingerprints")
+    named = classes.join(linked, classes["value"] == linked["node"], "left").select(
+        "value", "first_id", F.coalesce("component", "value").alias("component")
+    )
+    named = store(named, "named")
+    smallest = named.groupBy("component").agg(F.min("first_id").alias("component_id"))
+    by_value = named.join(smallest.repartition("component", "component_id"), "component")
+    return found, store(by_value.select("value", "component", "component_id"), "component-ids")
+
+
 def near_duplicates(
     docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", distance: int = DISTANCE
 ) -> DataFrame:
@@ -163,46 +184,36 @@ def near_duplicates(
     like any other.  A null ``doc_id`` never names a component; one that has no other id
     gets null.  Repeated rows repeat.  An empty table gives an empty one.
     """
-    found = fingerprints(docs, text=text, carry=[doc_id], result="_print")
-    found = store(
-        found.select(column(doc_id).alias("doc_id"), F.col("_print.value").alias("value")), "prints"
-    )
-    classes = store(found.groupBy("value").agg(F.min("doc_id").alias("first_id")), "classes")
-    linked = components(linked_values(classes, distance), "fingerprints")
-    named = classes.join(linked, classes["value"] == linked["node"], "left").select(
-        "value", "first_id", F.coalesce("component", "value").alias("component")
-    )
-    named = store(named, "named")
-    smallest = named.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    by_value = store(
-        named.join(smallest.repartition("component", "component_id"), "component").select(
-            "value", "component_id"
-        ),
-        "component-ids",
-    )
+    found, by_value = _classified(docs, text, doc_id, distance)
     return found.join(by_value, "value").select("doc_id", "value", "component_id")
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     """One document of each component, that with the smallest id, with all its columns.
 
-    Rows that repeat that id with the same text are one document, and one of them stays;
-    rows without an id stay only where their component has no id, again one of them.
+    Rows that repeat that id are one document, and one of them stays; of a component whose
+    documents have no id at all, one stays too.
     """
-    found = near_duplicates(docs)
-    ids = found.groupBy("doc_id").agg(
-        F.count(F.lit(1)).alias("n"), F.min("component_id").alias("component_id")
+    found, by_value = _classified(docs, "text", "doc_id", DISTANCE)
+    ids = found.join(by_value, "value").groupBy("doc_id")
+    ids = ids.agg(F.count(F.lit(1)).alias("n"), F.min("component_id").alias("component_id"))
+    ids = store(ids.where("doc_id = component_id").select("doc_id", "n"), "kept-ids")
+    name, mark = free_name(docs, "_print"), free_name(docs, "_mark")
+    same = column("doc_id") == F.col("_keep")
+    once = docs.join(ids.where("n = 1").select(F.col("doc_id").alias("_keep")), same, "left_semi")
+    again = docs.join(ids.where("n > 1").select(F.col("doc_id").alias("_keep")), same, "left_semi")
+    again = again.withColumn(mark, column("doc_id")).dropDuplicates([mark])
+    nameless = fingerprints(
+        docs.where(column("doc_id").isNull()), carry=docs.columns, result=name
+    ).withColumn(mark, column(name)["value"])
+    alone = by_value.where("component_id IS NULL").select(
+        F.col("value").alias("_value"), F.col("component").alias("_component")
+    )
+    nameless = nameless.join(alone, column(mark) == F.col("_value")).dropDuplicates(["_component"])
+    columns = [column(c) for c in docs.columns]
+    return once.select(*columns).unionByName(again.select(*columns)).unionByName(
+        nameless.select(*columns)
     )
-    ids = store(ids, "dedup-ids")
-    mine = F.col("doc_id").eqNullSafe(F.col("component_id"))
-    single = ids.where(mine & (F.col("n") == 1)).select(F.col("doc_id").alias("_keep"))
-    repeated = ids.where(mine & (F.col("n") > 1)).select(F.col("doc_id").alias("_keep"))
-    same = column("doc_id").eqNullSafe(F.col("_keep"))
-    kept = docs.join(single, same, "left_semi")
-    again = docs.join(repeated, same, "left_semi")
-    mark = free_name(docs, "_row")
-    once = again.withColumn(mark, column("doc_id")).dropDuplicates([mark]).drop(mark)
-    return kept.unionByName(once)
 
 
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
