@@ -6,7 +6,7 @@ care for large data.
 
 from __future__ import annotations
 
-from holdfast.catalog.queries import REPAIRS, SHARES
+from holdfast.catalog.queries import REPAIRS, SHARES, TOTALS
 from holdfast.catalog.sales import AS_OF, REGIONS, TYPES
 from holdfast.sources.feedback import NOTE_COLUMNS
 from holdfast.spec import RiskLabels
@@ -16,8 +16,7 @@ KEYS = "client_id, product, branch"
 
 
 def dsum(x: str) -> str:
-    """A sum in whole 1/10,000s; the cast rounds half to even."""
-    return f"COALESCE(CAST(SUM(CAST(({x}) * 10000 AS BIGINT)) AS DOUBLE) / 10000.0::DOUBLE, 0.0)"
+    return f"COALESCE(SUM({x}), 0.0)"
 
 
 def even(x: str) -> str:
@@ -27,11 +26,16 @@ def even(x: str) -> str:
     )
 
 
-def rnd(x: str, digits: int) -> str:
+def rnd_once(x: str, digits: int) -> str:
     scale = f"{10**digits}.0::DOUBLE"
     return f"({even(f'({x}) * {scale}')} / {scale})"
 
 
+def rnd(x: str, digits: int) -> str:
+    """To 8 decimals, then to ``digits``, as the queries do."""
+    return rnd_once(rnd_once(x, 8), digits)
+
+
 def months(later: str, earlier: str) -> str:
     return f"date_diff('month', {earlier}, {later})"
 
@@ -233,7 +237,7 @@ cte(
     ("risk", "churn", "opp", "total12"),
     f"""
 SELECT r.client_id, a.branch, r.client_name, a.segment, sl.seller, c.phone, c.email,
-  CAST({even('t.sales_12m')} AS BIGINT) AS sales_12m,
+  CAST({even(rnd_once('t.sales_12m', 6))} AS BIGINT) AS sales_12m,
   COALESCE(churn.client_churn_probability, 0) AS client_churn_probability,
   churn.client_margin_est,
   COALESCE(t.sales_12m * churn.client_churn_probability * churn.client_margin_est, 0)
@@ -464,7 +468,7 @@ ORACLE: dict[str, str] = {
   NULLIF(l_linestatus, 'O') AS status FROM lineitem""",
     "proj_round_even": f"""SELECT l_orderkey AS order_no, CAST(l_linenumber AS BIGINT) AS line_no,
   CAST({even('l_quantity / 2')} AS BIGINT) AS half_quantity,
-  {rnd('l_extendedprice * (1 - l_discount)', 2)} AS price FROM lineitem""",
+  {rnd_once('l_extendedprice * (1 - l_discount)', 2)} AS price FROM lineitem""",
     "buy_probability": sql(
         f"""SELECT {KEYS}, risk_level, churn_probability,
   CAST({even(f"COALESCE(CASE WHEN risk_level <> '{L.opportunity}' THEN 1 - churn_probability END, 0) * 100")}
@@ -538,8 +542,7 @@ FROM feat JOIN (SELECT client_id, product, {newest('segment')}, {newest('flag_a'
     ),
     "share_of_client": sql(
         f"""SELECT {KEYS}, total_value, client_value, {rnd('total_value / client_value', 6)} AS share
-FROM (SELECT *, CAST(SUM(CAST(total_value * 10000 AS BIGINT)) OVER (PARTITION BY client_id)
-    AS DOUBLE) / 10000.0::DOUBLE AS client_value FROM risk WHERE risk_level <> '{L.opportunity}')""",
+FROM (SELECT *, SUM(total_value) OVER (PARTITION BY client_id) AS client_value FROM risk WHERE risk_level <> '{L.opportunity}')""",
         "risk",
     ),
     "join_margin": sql(
@@ -570,6 +573,13 @@ LEFT JOIN (SELECT client_id, product, {newest('flag_a')}, {newest('flag_b')} FRO
   {dsum('volume')} AS volume FROM sales GROUP BY {KEYS}, period""",
         "sales",
     ),
+    "activity_small_addends": sql(
+        """SELECT client_id, branch, SUM(volume / 1e6 * -3.0) * 1e6 AS monetary_value,
+  SUM(volume / 1e6) * 1e6 AS volume
+FROM sales WHERE client_id IS NOT NULL AND branch IS NOT NULL AND period IS NOT NULL
+GROUP BY client_id, branch""",
+        "sales",
+    ),
     "agg_sales_12m": sql("SELECT * FROM total12", "total12"),
     "agg_sales_12m_filtered": sql(
         f"""SELECT client_id, branch, {dsum('amount')} AS sales_12m
@@ -747,3 +757,8 @@ FROM targets LEFT JOIN (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY
         "risk",
     ),
 }
+
+for _name, _columns in TOTALS.items():
+    if _columns:
+        _new = ", ".join(f"{rnd(c, 4)} AS {c}" for c in _columns)
+        ORACLE[_name] = f"SELECT * REPLACE ({_new}) FROM ({ORACLE[_name]})"

@@ -26,13 +26,48 @@ LINE = ("order_no", "line_no")
 SALES_COLUMNS = (*LINE, "client_id", "product", "branch", "sale_date", "amount", "volume")
 
 
+# Totals and what is made of them, compared to 4 decimals: engines add in different orders.
+TOTALS: dict[str, tuple[str, ...]] = {
+    "src_period_slice": ("monetary_value",),
+    "sink_roundtrip": ("monetary_value",),
+    "activity": ("monetary_value", "volume"),
+    "activity_multi_measure": ("monetary_value_usd", "monetary_value", "volume"),
+    "activity_small_addends": ("monetary_value", "volume"),
+    "features": ("monetary_value", "volume"),
+    "features_training": ("monetary_value", "volume"),
+    "union_tagged": ("monetary_value",),
+    "label_window": ("future_spend_total", "future_spend_avg"),
+    "agg_sales_12m": ("sales_12m",),
+    "agg_sales_12m_filtered": ("sales_12m",),
+    "share_of_client": ("total_value", "client_value"),
+    "join_margin": ("monetary_value",),
+    "risk_view": ("sales_12m",),
+    "client_opportunity": ("potential_win",),
+    "client_list": ("potential_win",),
+    "client_targets": ("potential_win",),
+    "topk_opportunities": ("total_value",),
+    "target_detail": ("total_value",),
+}
+
+
 def query(step: Callable[[s.Tables], DataFrame], name: str | None = None):
-    QUERIES[name or step.__name__] = lambda spark, folder: step(s.Tables(spark, folder))
+    name = name or step.__name__
+
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        return rounded(step(s.Tables(spark, folder)), 4, *TOTALS.get(name, ()))
+
+    QUERIES[name] = run
     return step
 
 
 def rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
-    return df.withColumns({c: val.round_half_even(F.col(c), digits) for c in columns})
+    """Rounded to 8 decimals and then to ``digits``, so that the noise of an addition order
+    does not decide about a value half way between two."""
+
+    def twice(c: str):
+        return val.round_half_even(val.round_half_even(F.col(c), 8), digits)
+
+    return df.withColumns({c: twice(c) for c in columns}) if columns else df
 
 
 def longs(df: DataFrame, *columns: str) -> DataFrame:
@@ -393,6 +428,20 @@ def activity_multi_measure(m):
     return longs(rows, "frequency")
 
 
+@query
+def activity_small_addends(m):
+    """Volumes of a millionth: what rounding each of them would lose."""
+    small = F.col("volume") / F.lit(1e6)
+    lines = m.scoped.withColumns({"volume": small, "amount": small * F.lit(-3.0)})
+    keys = ["client_id", "branch"]
+    rows = act.monthly_activity(lines, {"monetary_value": "amount"})
+    rows = rows.groupBy(*keys).agg(
+        (val.exact_sum(F.col("monetary_value")) * 1e6).alias("monetary_value"),
+        (val.exact_sum(F.col("volume")) * 1e6).alias("volume"),
+    )
+    return rows
+
+
 @query
 def win_gap_months(m):
     return longs(m.gaps.select(*KEYS, "period", "max_gap"), "max_gap")

@@ -35,27 +35,37 @@ def months_apart(later: Column, earlier: Column) -> Column:
     return (F.year(later) - F.year(earlier)) * 12 + (F.month(later) - F.month(earlier))
 
 
-_UNITS = 1e4  # totals are exact to four decimals
-_LOW_BITS = 20
+_BITS = 26
+_STEP = float(1 << _BITS)
+_LARGE = 2.0**78
 
 
-def sum_parts(column: Column) -> tuple[Column, Column]:
-    """A total as two whole-number aggregates: the high and the low bits of the 1/10,000s.
+def sum_parts(column: Column) -> tuple[Column, ...]:
+    """A total as aggregates: whole numbers of 2**26, 1, 2**-26, 2**-52 and 2**-78, and a rest.
 
-    Whole numbers add up the same in any order, and sums of plain longs stay in generated
-    code, unlike decimals.  Split at 20 bits neither half can overflow below 8e12 rows or a
-    total of 9e20.  NaN counts as null.
+    Each value is cut into these parts without rounding, down to 2**-78 (3e-24), and whole
+    numbers add up the same in any order.  Sums of plain longs stay in generated code,
+    unlike decimals, and no part can overflow below 1e11 rows.  Values of 2**78 (3e23) or
+    more, infinite ones among them, are added as doubles in the rest.  NaN counts as null.
     """
     value = F.nanvl(column.cast("double"), F.lit(None).cast("double"))
-    units = F.rint(value * _UNITS).cast("long")
-    low = units.bitwiseAND(F.lit((1 << _LOW_BITS) - 1).cast("long"))
-    return F.sum(F.shiftright(units, _LOW_BITS)), F.sum(low)
-
-
-def total_of(high: Column, low: Column) -> Column:
-    """The total of two parts; no value at all gives 0."""
-    units = high.cast("double") * float(1 << _LOW_BITS) + low.cast("double")
-    return F.coalesce(units / _UNITS, F.lit(0.0))
+    usual = F.when(F.abs(value) < _LARGE, value)
+    parts = []
+    left = usual / _STEP
+    for _ in range(5):
+        part = left.cast("long")  # towards zero, so that what is left keeps all its bits
+        parts.append(F.sum(part))
+        left = (left - part) * _STEP
+    return (*parts, F.sum(F.when(F.abs(value) >= _LARGE, value)))
+
+
+def total_of(*sums: Column) -> Column:
+    """The total of the parts; no value at all gives 0."""
+    *parts, rest = [F.coalesce(c.cast("double"), F.lit(0.0)) for c in sums]
+    total = parts[-1]
+    for part in reversed(parts[:-1]):
+        total = total / _STEP + part
+    return total * _STEP + rest
 
 
 def exact_sum(column: Column) -> Column:

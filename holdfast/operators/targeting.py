@@ -13,7 +13,7 @@ from holdfast.functions.predicates import (
     not_in_keep_null,
     rule_condition,
 )
-from holdfast.functions.values import sum_parts, to_whole, total_of
+from holdfast.functions.values import round_half_even, sum_parts, to_whole, total_of
 from holdfast.operators.activity import newest_period
 from holdfast.operators.joins import join_back, keep_members, latest_values, newest_value
 from holdfast.operators.ranking import global_row_number
@@ -38,18 +38,18 @@ def client_branch_profile(
     counted = F.col(branch).isNotNull() & (F.col("sale_date") >= start)
     for rule in rules:
         counted = counted & rule_condition(rule)
-    high, low = sum_parts(F.when(counted, F.col("amount")))
+    parts = sum_parts(F.when(counted, F.col("amount")))
+    names = [f"_part{i}" for i in range(len(parts))]
     seen = (
         sales.where(F.col("client_id").isNotNull())
         .groupBy("client_id", F.col(branch).alias("branch"), *columns)
         .agg(
             F.max("sale_date").alias("_date"),
-            high.alias("_high"),
-            low.alias("_low"),
+            *[part.alias(name) for part, name in zip(parts, names)],
             F.count_if(counted).alias("_counted"),
         )
     )
-    total = total_of(F.sum("_high"), F.sum("_low"))
+    total = total_of(*map(F.sum, names))
     return seen.groupBy("client_id", "branch").agg(
         *[newest_value(c, "_date") for c in columns],
         F.when(F.sum("_counted") > 0, total).alias("sales_12m"),
@@ -79,7 +79,7 @@ def client_list(rollup: DataFrame, profile: DataFrame, *extras: DataFrame) -> Da
         {
             "client_churn_probability": F.coalesce("client_churn_probability", F.lit(0.0)),
             "expected_loss": F.coalesce(loss, F.lit(0.0)),
-            "sales_12m": to_whole(F.col("sales_12m")),
+            "sales_12m": to_whole(round_half_even(F.col("sales_12m"), 6)),
         }
     )
 

@@ -1,6 +1,7 @@
 """Hand-made rows for the rules that are easy to get wrong."""
 
 import datetime as dt
+import math
 
 import pytest
 from pyspark.sql import functions as F
@@ -52,16 +53,20 @@ def test_rounding_is_half_even(spark):
 
 
 def test_exact_sum(spark):
-    rows = [(1e15 / 7,), (0.1,), (0.2,), (-1e15 / 7,), (None,), (float("nan"),), (-3.00005,)]
-    df = spark.createDataFrame([(min(x[0], 9e13),) if x[0] and x[0] > 9e13 else x for x in rows], "x double")
-    df = df.where((F.col("x") > -9e13) | F.col("x").isNull())
-    total = df.agg(val.exact_sum(F.col("x")).alias("t")).first()[0]
-    assert total == pytest.approx(9e13 + 0.3 - 3.0, abs=0.05)
-    negative = spark.createDataFrame([(-0.25,), (-1.5,)], "x double")
-    assert negative.agg(val.exact_sum(F.col("x")).alias("t")).first()[0] == -1.75
-    assert df.where("false").agg(val.exact_sum(F.col("x")).alias("t")).first()[0] == 0.0
-    again = [df.repartition(n).agg(val.exact_sum(F.col("x"))).first()[0] for n in (1, 3, 7)]
-    assert len(set(again)) == 1
+    def total(values, partitions=3):
+        df = spark.createDataFrame([(v,) for v in values], "x double").repartition(partitions)
+        return df.agg(val.exact_sum(F.col("x")).alias("t")).first()[0]
+
+    small = spark.range(100_000).select(F.lit(0.00004).alias("x"))
+    assert small.agg(val.exact_sum(F.col("x"))).first()[0] == pytest.approx(4.0, rel=1e-14)
+    mixed = [1e15, 0.1, 0.2, -1e15, None, float("nan"), -3.00005, 1e-9, -2e-9]
+    assert total(mixed) == pytest.approx(math.fsum(v for v in mixed if v and v == v), abs=1e-15)
+    assert len({total(mixed * 40, n) for n in (1, 3, 7)}) == 1
+    assert total([-0.25, -1.5]) == -1.75 and total([-1e-12] * 7) == pytest.approx(-7e-12, rel=1e-3)
+    assert total([1e15] * 9) == 9e15 and total([1e300, 1.0]) == 1e300
+    assert total([float("inf"), 1.0]) == float("inf")
+    assert total([1e22, 1.0, -1e22]) == 1.0
+    assert total([]) == 0.0 and total([None]) == 0.0
 
 
 def test_null_keys_and_null_amounts(spark):
