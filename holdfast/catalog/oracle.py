@@ -749,7 +749,7 @@ FROM targets LEFT JOIN (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY
     ),
     "sink_roundtrip": sql(RESULTS, "act"),
     "feedback_load": sql(
-        f"SELECT client_id, row_no, {NOTES}, branch AS country FROM oldlist", "oldlist"
+        f"SELECT client_id, row_no, {NOTES}, branch AS country, 1 AS rejected FROM oldlist", "oldlist"
     ),
     "export_bands": sql(
         f"SELECT client_id, client_name, seller, band, branch AS country FROM {BANDED}",

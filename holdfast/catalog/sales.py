@@ -193,15 +193,15 @@ class Tables:
     def training(self) -> DataFrame:
         return attach_label(self.training_features, self.labels)
 
-    @property
+    @cached_property
     def margins(self) -> DataFrame:
-        """A margin per product and branch, from list price against price paid."""
+        """A margin per product and branch, from list price against price paid; stored, so
+        that its size is known to the joins."""
         paid, listed = exact_sum(F.col("amount")), exact_sum(F.col("amount_usd"))
         share = F.lit(1.0) - ratio(paid, listed)
-        return (
-            self.scoped.groupBy("product", "branch")
-            .agg(share.alias("margin"))
-            .where((F.col("product") != "ECONOMY") | (F.col("branch") != "ASIA"))
+        margins = self.scoped.groupBy("product", "branch").agg(share.alias("margin"))
+        return store(
+            margins.where((F.col("product") != "ECONOMY") | (F.col("branch") != "ASIA")), "margins"
         )
 
     @property

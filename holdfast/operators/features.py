@@ -154,11 +154,3 @@ def one_hot(df: DataFrame, categories: Mapping[str, Sequence[str]]) -> DataFrame
             for value in values
         }
     )
-
-
-def category_values(df: DataFrame, column: str, limit: int = 1000) -> list[str]:
-    """Distinct values of a category column, refused above ``limit``."""
-    rows = df.select(column).where(F.col(column).isNotNull()).distinct().limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"{column} has more than {limit} values; use the vector encoder")
-    return sorted(r[0] for r in rows)

@@ -69,14 +69,21 @@ def distinct_pairs(df: DataFrame, *columns: str) -> DataFrame:
     return df.select(*columns).na.drop().distinct()
 
 
+def _distinct_keys(ids: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per key, dealt by more than the key so that the join adds an exchange of its
+    own and can split a hot key of the other side (see ``join_back``)."""
+    marked = ids.select(*keys).distinct().withColumn("_member", F.lit(1))
+    return marked.repartition(*keys, "_member")
+
+
 def keep_members(df: DataFrame, ids: DataFrame, on: str | Sequence[str]) -> DataFrame:
     keys = [on] if isinstance(on, str) else list(on)
-    return df.join(ids.select(*keys), keys, "left_semi")
+    return df.join(_distinct_keys(ids, keys), keys, "left_semi")
 
 
 def drop_members(df: DataFrame, ids: DataFrame, on: str | Sequence[str]) -> DataFrame:
     keys = [on] if isinstance(on, str) else list(on)
-    return df.join(ids.select(*keys), keys, "left_anti")
+    return df.join(_distinct_keys(ids, keys), keys, "left_anti")
 
 
 def newest_value(column: str, date: str) -> Column:

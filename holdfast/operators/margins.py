@@ -16,4 +16,6 @@ def unpivot_margin(table: DataFrame, product: str) -> DataFrame:
 
 
 def join_margin(df: DataFrame, margins: DataFrame) -> DataFrame:
+    """``margins`` should be a stored table: then its size is known from its files, and the
+    planner broadcasts it, without an exchange of ``df``, if that is under its threshold."""
     return df.join(margins, ["product", "branch"], "left")

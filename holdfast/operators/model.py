@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from holdfast.functions.hashing import digest_number, key_digest
 from holdfast.operators.metrics import metrics_table, with_prediction
+from holdfast.operators.ranking import rank_by_hash
 from holdfast.operators.sampling import balance_classes, split_by_hash
 from holdfast.session import store
 from holdfast.spec import KEYS, NUMERIC_FEATURES, RiskRules
@@ -38,6 +39,7 @@ class SearchGrid:
     folds: int = 4
     seed: int = 42
     parallelism: int = 4
+    most_rows: int = 2_000_000  # labelled rows that are fitted, at most
 
     def sample(self) -> list[dict]:
         """Distinct random combinations."""
@@ -56,6 +58,8 @@ class ChurnModel:
     classifier: object
     best: dict
     search: list[dict] = field(default_factory=list)
+    held_out: object = None  # the best forest fitted without the test part
+    test: DataFrame | None = None
 
     def pipeline(self) -> PipelineModel:
         return PipelineModel(stages=[*self.encoder.stages, self.classifier])
@@ -114,9 +118,19 @@ def calibrate(
     rules: RiskRules = RiskRules(),
     grid: SearchGrid = SearchGrid(),
 ) -> ChurnModel:
-    """Random search with cross-validated accuracy on balanced rows, then a fit on all of them."""
+    """Random search with cross-validated accuracy on the training part of balanced rows, then
+    a fit of the best parameters on all of them.
+
+    The test part takes no part in the search.  At most ``grid.most_rows`` rows, the first by
+    a hash of their key, are fitted.
+    """
     balanced = balance_classes(training, rules.rare_until, rules.balance_seed)
-    rows = _training_rows(encoder, balanced, grid.folds, grid.seed)
+    bounded = rank_by_hash(balanced, KEYS, grid.seed, "_order", first=grid.most_rows)
+    balanced = store(
+        split_by_hash(bounded.drop("_order"), rules.test_share, rules.split_seed), "balanced"
+    )
+    train, test = (balanced.where(F.col("part") == p).drop("part") for p in ("train", "test"))
+    rows = _training_rows(encoder, train, grid.folds, grid.seed)
     check_two_classes(rows)
     forest, draws = _forest(grid.seed), grid.sample()
     maps = [{forest.getParam(k): v for k, v in draw.items()} for draw in draws]
@@ -132,7 +146,10 @@ def calibrate(
     scores = [float(s) for s in search.avgMetrics]
     best = draws[max(range(len(draws)), key=lambda i: scores[i])]
     tried = [dict(draw, accuracy=score) for draw, score in zip(draws, scores)]
-    return ChurnModel(encoder, search.bestModel, best, tried)
+    whole = _forest(grid.seed, best).fit(
+        _training_rows(encoder, balanced, grid.folds, grid.seed)
+    )
+    return ChurnModel(encoder, whole, best, tried, search.bestModel, test)
 
 
 def score(model: ChurnModel | PipelineModel, rows: DataFrame) -> DataFrame:
@@ -153,28 +170,24 @@ def load_model(path: str) -> PipelineModel:
 
 
 def evaluate(
-    model: ChurnModel,
-    training: DataFrame,
-    rules: RiskRules = RiskRules(),
-    grid: SearchGrid = SearchGrid(),
+    model: ChurnModel, training: DataFrame, rules: RiskRules = RiskRules()
 ) -> DataFrame:
-    """Metrics on a held-out part.
-
-    The search is not repeated: its best parameters are fitted again on the training part.
-    """
-    balanced = balance_classes(training, rules.rare_until, rules.balance_seed)
-    parts = split_by_hash(balanced, rules.test_share, rules.split_seed)
-    train = _training_rows(
-        model.encoder, parts.where(F.col("part") == "train"), grid.folds, grid.seed
+    """Metrics on the test part, of the best forest fitted on the training part, with the
+    area under the curve of its probabilities."""
+    scored = score(ChurnModel(model.encoder, model.held_out, model.best), model.test)
+    scored = store(with_prediction(scored), "tested")
+    report = metrics_table(scored, training, rules.rare_until)
+    area = report.limit(1).select(
+        F.lit("Score AUC").alias("class"),
+        *[F.lit(score_auc(scored)).alias(c) for c in report.columns if c != "class"],
     )
-    fitted = _forest(grid.seed, model.best).fit(train)
-    held_out = ChurnModel(model.encoder, fitted, model.best)
-    scored = score(held_out, parts.where(F.col("part") == "test"))
-    return metrics_table(with_prediction(scored), training, rules.rare_until)
+    return report.unionByName(area)
 
 
-def score_auc(scored: DataFrame) -> float:
-    """Area under the curve of the probabilities themselves."""
+def score_auc(scored: DataFrame) -> float | None:
+    """Area under the curve of the probabilities themselves; null for one class alone."""
+    if scored.select("target").distinct().count() < 2:
+        return None
     rows = scored.select("churn_probability", F.col("target").cast("double").alias("target"))
     return BinaryClassificationEvaluator(
         rawPredictionCol="churn_probability", labelCol="target"

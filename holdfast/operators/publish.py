@@ -22,7 +22,7 @@ def write_result(
     """Write rows into their country and month.
 
     ``replace`` overwrites just the partitions present in ``df``, so a rerun leaves the same
-    table; ``append`` adds to them.  The rebalance hint gives each folder files of even size
+    table (a rerun without any row for a month leaves that month as it was); ``append`` adds to them.  The rebalance hint gives each folder files of even size
     and splits a large one over several tasks.
     """
     if mode not in ("replace", "append"):

@@ -129,12 +129,6 @@ def select_targets(
     return df
 
 
-def callable_rows(
-    risk: DataFrame, rules: RiskRules = RiskRules(), labels: RiskLabels = RiskLabels()
-) -> DataFrame:
-    return risk.where(at_risk(rules, labels) | (F.col("risk_level") == labels.opportunity))
-
-
 def target_detail(risk: DataFrame, targets: DataFrame) -> DataFrame:
     """All product rows of the target clients."""
     return keep_members(risk, targets, "client_id")
@@ -159,12 +153,13 @@ def carry_over(
 ) -> DataFrame:
     """Last month's notes on every row of a client.
 
-    The old row with the highest ``row_no`` counts.  Its nulls are carried as well, so a
+    The old row with the highest ``row_no`` counts, of those with a status: an empty one
+    is a row that nobody edited.  Its nulls are carried as well, so a
     match is told from the whole old row, not from its columns.  Clients without one get
     blanks.
     """
     usable = last_list.where(
-        F.col("Estado").isNotNull()
+        (F.col("Estado") != "")
         & differs_keep_null(F.col("motivo_contacto_fallido"), labels.not_at_risk_reason)
     )
     old = usable.groupBy("client_id").agg(

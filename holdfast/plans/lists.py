@@ -50,7 +50,9 @@ def export_month(
     """Write banded clients, product rows and contacts, a folder per table and country."""
     clients = _results(spark, root, "client_list", period)
     risk = _results(spark, root, "product_risk", period)
-    tables = {"clients": banded_lists(clients, risk), "reg": risk}
+    # ``row_no`` tells a client's rows apart when the edited list comes back.
+    banded = banded_lists(clients, risk).withColumn("row_no", F.col("call_rank"))
+    tables = {"clients": banded, "reg": risk}
     if contacts is not None:
         tables["contacts"] = contacts
     export_tables(tables, out, file_format)

@@ -14,6 +14,7 @@ from holdfast.spec import (
     MarketSpec,
     Remap,
     Rule,
+    Windows,
 )
 
 CLIENT_BRANCH = ("client_id", "branch")
@@ -249,6 +250,7 @@ CHILE = MarketSpec(
     seller_limit=3500000.0,
     call_centre=True,
     period_column="periodo",
+    windows=Windows(history=26),  # its first month is not part of the window
 )
 
 PERU = MarketSpec(
@@ -265,6 +267,7 @@ PERU = MarketSpec(
         "seller": "clt_vendedor_descripcion",
     },
     date_pattern="yyyyMMdd",
+    history_after=True,
     id_class=("tipo_id", "cliente_ruc_dni", "DNI", "DNI", "RUC"),
     scope_rules=(
         Rule("producto_packaged", "in", (1,)),
@@ -345,6 +348,7 @@ PARAGUAY = MarketSpec(
     history_date="history_date",
     history_drop=("period_raw",),
     attributes=("TIPO_CLIENTE", "TIPO_CLIENTE_2", "SECTOR", "FAMILIA"),
+    attributes_remapped=True,
     categories=("product", "TIPO_CLIENTE_2", "SECTOR", "FAMILIA"),
     numeric=WITH_MEAN_GAP,
     list_columns=("TIPO_CLIENTE", "TIPO_CLIENTE_2", "SECTOR", "TELEFONO", "EMAIL1", "seller"),

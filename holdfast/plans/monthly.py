@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable, Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,12 +23,13 @@ from holdfast.operators.targeting import (
     client_branch_profile,
     client_list,
     client_sellers,
+    rank_clients,
     select_targets,
-    list_order,
     target_detail,
     top_opportunities,
 )
-from holdfast.session import store
+from holdfast.session import owned_tables, store
+from holdfast.sources.feedback import NOTE_COLUMNS
 from holdfast.sources.tables import trailing_months
 from holdfast.spec import MarketSpec
 
@@ -58,6 +59,7 @@ class Results:
     history_view: DataFrame
     metrics: DataFrame | None
     counts: DataFrame
+    stored: list[str] = field(default_factory=list)  # for ``release_stored``
 
     def tables(self) -> dict[str, DataFrame]:
         found = {
@@ -84,7 +86,7 @@ def forest_scorer(
         fitted = model.calibrate(encoder, training, spec.rules, grid)
         if save_to:
             model.save_model(fitted, save_to)
-        metrics = model.evaluate(fitted, training, spec.rules, grid)
+        metrics = model.evaluate(fitted, training, spec.rules)
         return model.score(fitted, production), metrics
 
     return run
@@ -99,14 +101,16 @@ def source_lines(spec: MarketSpec, sales: DataFrame, as_of: dt.date) -> DataFram
     """The history window, tested on the raw date column so that the source filters."""
     date = spec.columns.get("history_date", spec.columns["sale_date"])
     pattern = None if spec.history_date == "history_date" else spec.date_pattern
-    return trailing_months(sales, date, as_of, spec.windows.history, pattern)
+    return trailing_months(
+        sales, date, as_of, spec.windows.history, pattern, spec.history_after
+    )
 
 
 def _attributes(spec: MarketSpec, raw: DataFrame, scoped: DataFrame) -> DataFrame | None:
     """One row of attributes per key, so that the join repeats no feature row."""
     if not spec.attributes:
         return None
-    source = scoped if spec.attributes_scoped else raw
+    source = scoped if spec.attributes_scoped or spec.attributes_remapped else raw
     found = latest_values(source, spec.attribute_keys, spec.attributes, "sale_date")
     return set_flags(found.na.drop(subset=list(spec.required_attributes)), spec.flags)
 
@@ -157,7 +161,8 @@ def grade(spec: MarketSpec, scored: DataFrame, raw: DataFrame, inputs: Inputs) -
         *RISK_COLUMNS, *spec.measures
     )
     if spec.margin_table:
-        named = join_margin(named, unpivot_margin(inputs.tables["margins"], "Prod_Family_level3"))
+        margins = unpivot_margin(inputs.tables["margins"], "Prod_Family_level3")
+        named = join_margin(named, store(margins, "margins"))
     else:
         named = named.withColumn("margin", F.lit(0.0))
     return with_total_value(classify_risk(named, spec.rules, spec.labels))
@@ -232,15 +237,31 @@ def build_history_view(
     return df.drop(*spec.history_drop)
 
 
+def no_list(clients: DataFrame) -> DataFrame:
+    """An empty last list, for a first run: all notes are blank then."""
+    notes = [F.lit(None).cast("string").alias(c) for c in NOTE_COLUMNS]
+    row_no = F.lit(None).cast("long").alias("row_no")
+    return clients.select("client_id", row_no, *notes).where(F.lit(False))
+
+
 def run_month(
     spec: MarketSpec, inputs: Inputs, as_of: dt.date, scorer: Scorer | None = None
 ) -> Results:
     """Run one market for the month before ``as_of``.
 
-    Lines, activity and risk rows feed several steps and are stored in the scratch folder;
-    everything else is one plan per result table.
+    Lines, activity and risk rows feed several steps and are stored in the scratch folder,
+    as are the dimension tables, whose size the planner then knows; everything else is one
+    plan per result table.  What the run stored is listed in the result's ``stored``.
     """
-    scorer = scorer or forest_scorer(spec)
+    with owned_tables() as stored:
+        results = _run_month(spec, inputs, as_of, scorer or forest_scorer(spec))
+    results.stored = stored
+    return results
+
+
+def _run_month(spec: MarketSpec, inputs: Inputs, as_of: dt.date, scorer: Scorer) -> Results:
+    tables = {name: store(df, f"table-{name}") for name, df in inputs.tables.items()}
+    inputs = replace(inputs, tables=tables)
     raw = store(
         prepare_sales(source_lines(spec, inputs.sales, as_of), spec, inputs.tables), "lines"
     )
@@ -256,18 +277,21 @@ def run_month(
     top = top_opportunities(risk, newest, spec.windows, spec.rules, spec.labels)
     targets = select_targets(clients, top, spec.excluded_sellers).drop("has_risk")
     detail = buy_probability(target_detail(risk, targets), spec.labels).drop("total_value")
-    if inputs.last_list is not None:
-        targets = carry_over(targets, inputs.last_list, spec.labels)
-    targets = assign_callers(spec, targets, inputs)
+    old = no_list(targets) if inputs.last_list is None else inputs.last_list
+    targets = carry_over(targets, old, spec.labels)
+    targets = rank_clients(store(assign_callers(spec, targets, inputs), "targets"))
     month = F.lit(as_of).cast("date")
     period = F.date_format(F.add_months(month, -1), "yyyyMM")
 
     def tagged(df: DataFrame) -> DataFrame:
         return df.withColumns({"country": F.lit(spec.code), "period": period})
 
+    if metrics is not None:
+        metrics = metrics.withColumn("country_name", F.lit(spec.country))
+
     history = build_history_view(spec, raw, scoped, inputs, as_of)
     return Results(
-        client_list=tagged(targets).orderBy(*list_order()),
+        client_list=tagged(targets.withColumn(spec.period_column, period)),
         product_risk=tagged(detail),
         risk_view=tagged(build_risk_view(spec, risk, raw, scoped)),
         history_view=tagged(history.withColumnRenamed("period", "sale_period")),

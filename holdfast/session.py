@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -58,6 +61,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 _stored: list[str] = []
+_owner: ContextVar[list[str]] = ContextVar("owner", default=_stored)
+
+
+@contextmanager
+def owned_tables() -> Iterator[list[str]]:
+    """Tables stored inside belong to the list it gives, for ``release_stored``."""
+    paths: list[str] = []
+    token = _owner.set(paths)
+    try:
+        yield paths
+    finally:
+        _owner.reset(token)
 
 
 def store(df: DataFrame, name: str) -> DataFrame:
@@ -67,16 +82,17 @@ def store(df: DataFrame, name: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, name)
     df.write.mode("errorifexists").parquet(path)
-    _stored.append(path)
+    _owner.get().append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def release_stored(spark: SparkSession) -> int:
-    """Delete the tables this process stored, once nothing that reads them is needed any
-    more; returns how many there were."""
+def release_stored(spark: SparkSession, paths: list[str] | None = None) -> int:
+    """Delete one run's tables, or without ``paths`` those that no run owns, once nothing
+    that reads them is needed any more; returns how many there were."""
     hadoop = spark._jvm.org.apache.hadoop
-    count = len(_stored)
-    while _stored:
-        path = hadoop.fs.Path(_stored.pop())
+    paths = _stored if paths is None else paths
+    count = len(paths)
+    while paths:
+        path = hadoop.fs.Path(paths.pop())
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
     return count

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import StringType, StructField, StructType
+
+from holdfast.session import store
 
 # The note columns that staff edit and the next run carries over.
 NOTE_COLUMNS = (
@@ -20,35 +22,47 @@ NOTE_COLUMNS = (
     "fecha_ultima_accion",
 )
 
-FEEDBACK_SCHEMA = StructType(
-    [
-        StructField("client_id", LongType()),
-        StructField("row_no", LongType()),
-        *[StructField(c, StringType()) for c in NOTE_COLUMNS],
-        StructField("_corrupt_record", StringType()),
-    ]
-)
+REQUIRED = ("client_id", "row_no", *NOTE_COLUMNS)
 
 
 def read_feedback(spark: SparkSession, folder: str) -> DataFrame:
     """All countries' files in one read; ``country`` comes from the folder names.
 
-    A line that does not fit the schema keeps its text in ``_corrupt_record`` and stops
-    nothing else.
+    Columns are taken by the names in the files' header, in any order, and others are left
+    out, so that an exported list comes back as it went out; a missing column is an error,
+    and so are files whose headers differ.  A line of another length keeps its text in
+    ``_corrupt_record`` and stops nothing else.
     """
-    return (
-        spark.read.schema(StructType([*FEEDBACK_SCHEMA, StructField("country", StringType())]))
-        .option("header", "true")
+    reader = (
+        spark.read.option("header", "true")
         .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", "_corrupt_record")
         .option("emptyValue", "")
         .option("nullValue", "\\N")
+    )
+    names = [c for c in reader.csv(folder).columns if c != "country"]
+    missing = set(REQUIRED) - set(names)
+    if missing:
+        raise ValueError(f"the lists lack {sorted(missing)}")
+    fields = [StructField(c, StringType()) for c in (*names, "_corrupt_record", "country")]
+    lines = (
+        reader.schema(StructType(fields))
+        .option("enforceSchema", "false")
+        .option("columnNameOfCorruptRecord", "_corrupt_record")
         .csv(folder)
     )
+    # Which lines are corrupt depends on the columns a plan reads: all are read here, once.
+    stored = store(lines, "feedback")
+    number = {c: F.expr(f"try_cast(`{c}` AS BIGINT)") for c in ("client_id", "row_no")}
+    return stored.select(
+        *[number.get(c, F.col(c)).alias(c) for c in REQUIRED], "_corrupt_record", "country"
+    )
 
 
 def split_feedback(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Good rows and rejected rows."""
-    good = df.where(F.col("_corrupt_record").isNull() & F.col("client_id").isNotNull())
-    bad = df.where(F.col("_corrupt_record").isNotNull() | F.col("client_id").isNull())
-    return good.drop("_corrupt_record"), bad
+    """Good rows, and rows rejected for their length, client or row number."""
+    usable = (
+        F.col("_corrupt_record").isNull()
+        & F.col("client_id").isNotNull()
+        & F.col("row_no").isNotNull()
+    )
+    return df.where(usable).drop("_corrupt_record"), df.where(~usable)

@@ -55,15 +55,20 @@ def window_start(as_of, months: int = 27) -> Column:
 
 
 def trailing_months(
-    df: DataFrame, date_column: str, as_of, months: int = 27, pattern: str | None = None
+    df: DataFrame,
+    date_column: str,
+    as_of,
+    months: int = 27,
+    pattern: str | None = None,
+    after: bool = False,
 ) -> DataFrame:
-    """Rows from the last ``months`` months.
+    """Rows from the last ``months`` months, with ``after`` less the first day of them.
 
     A native date column is compared bare, and a day key of pattern ``yyyyMMdd`` as a
     number, so both reach the source's own filter.  Other text dates have no such order
     and are parsed first.
     """
-    start = window_start(as_of, months)
+    start = F.date_add(window_start(as_of, months), 1 if after else 0)
     column = F.col(date_column)
     if pattern is None:
         return df.where(column >= start)

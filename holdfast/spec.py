@@ -138,6 +138,8 @@ class MarketSpec:
     attributes: tuple[str, ...] = ("segment",)
     required_attributes: tuple[str, ...] = ()
     attributes_scoped: bool = False
+    attributes_remapped: bool = False  # attributes under the product's new name
+    history_after: bool = False  # the window's first day is not part of it
     flags: tuple[str, ...] = ()
     contact_columns: tuple[str, ...] = ()
     list_columns: tuple[str, ...] = ()

@@ -10,7 +10,14 @@ from holdfast.catalog.sales import synthetic_probability
 from holdfast.operators.model import SearchGrid
 from holdfast.plans.lists import export_month, last_list, reload_lists
 from holdfast.plans.markets import MARKETS
-from holdfast.plans.monthly import Inputs, forest_scorer, publish_month, run_month, stored_scorer
+from holdfast.plans.monthly import (
+    Inputs,
+    forest_scorer,
+    publish_month,
+    run_month,
+    source_lines,
+    stored_scorer,
+)
 from holdfast.sources.feedback import NOTE_COLUMNS
 
 AS_OF = dt.date(2024, 9, 15)  # a month below 10: the period text needs its zero
@@ -162,7 +169,11 @@ def paraguay(spark):
         }
 
     remap = frame(spark, [dict(NOMBRE_PRODUCTO="Z", TIPO_DATOS="Z", TIPO_DATOS_NEW="ZZ")])
-    return Inputs(frame(spark, lines(make)), {"product_map": remap})
+    rows = lines(make)
+    for row in rows:
+        if row["TIPO_DATOS"] == "B":
+            row["NOMBRE_PRODUCTO"] = "Z"  # renamed by the map
+    return Inputs(frame(spark, rows), {"product_map": remap})
 
 
 MAKERS = {"ar": argentina, "bo": bolivia, "cl": chile, "pe": peru, "py": paraguay}
@@ -190,8 +201,11 @@ def test_run(results, code):
     assert not detail.duplicated(["client_id", "product", "branch"]).any()
     assert set(detail.client_id) == set(clients.client_id)
     assert detail.buy_probability.between(0, 100).all()
-    loss = clients.expected_loss.tolist()
+    assert sorted(clients.call_rank) == list(range(1, len(clients) + 1))
+    loss = clients.sort_values("call_rank").expected_loss.tolist()
     assert loss == sorted(loss, reverse=True)
+    assert (clients[list(NOTE_COLUMNS)] == "").all(axis=None)  # a first run has blank notes
+    assert set(clients[MARKETS[code].period_column]) == {"202408"}
     view = found.risk_view
     assert view.count() == view.select("client_id", "product", "branch").distinct().count()
     history = found.history_view.agg(F.min("sale_period"), F.max("sale_period")).first()
@@ -223,7 +237,22 @@ def test_chile_rules(results):
 def test_peru_and_paraguay_labels(results):
     peru, paraguay = results["pe"].product_risk.toPandas(), results["py"].product_risk.toPandas()
     assert set(peru["product"]) == {"A new", "B"} and 4 not in set(peru.client_id)
-    assert set(paraguay["product"]) == {"Argon", "B"}
+    assert set(paraguay["product"]) == {"Argon", "ZZ"}  # a renamed product has its score
+    scored = paraguay[paraguay["product"] == "ZZ"].churn_probability
+    assert scored.notna().any()
+
+
+def test_window_bounds(spark):
+    days = [dt.date(2022, 6, 1), dt.date(2022, 6, 2), dt.date(2022, 6, 30), dt.date(2022, 7, 1)]
+    keys = spark.createDataFrame([(int(d.strftime("%Y%m%d")), d) for d in days], "k int, d date")
+
+    def first(code, column, value):
+        frame = keys.withColumn(column, value)
+        return source_lines(MARKETS[code], frame, AS_OF).agg(F.min("d")).first()[0]
+
+    assert first("ar", "FECHA_COMP", F.col("d").cast("timestamp")) == days[0]
+    assert first("cl", "Fecha_Emision", F.date_format("d", "dd/MM/yyyy")) == days[3]
+    assert first("pe", "venta_tiempo_id", F.col("k")) == days[1]
 
 
 def test_publish_export_and_reload(spark, results, tmp_path):
@@ -242,6 +271,27 @@ def test_publish_export_and_reload(spark, results, tmp_path):
     }
     assert {r[0] for r in banded.select("country").distinct().collect()} == {"ar", "pe"}
 
+    # The exported files come back as they are, with one row edited by hand.
+    edited = tmp_path / "edited" / "country=ar"
+    edited.mkdir(parents=True)
+    exported = spark.read.option("header", "true").option("emptyValue", "").csv(
+        f"{out}/clients/country=ar"
+    ).toPandas()
+    chosen = exported.client_id.iloc[0]
+    exported.loc[exported.client_id == chosen, "Estado"] = "Llamado"
+    exported.loc[exported.client_id == chosen, "observaciones"] = "dos, tres"
+    exported.to_csv(edited / "list.csv", index=False)
+    assert reload_lists(spark, str(tmp_path / "edited"), str(tmp_path / "back")).count() == 0
+    old = last_list(spark, str(tmp_path / "back"), "ar")
+    assert old.count() == len(exported)
+    again = run_month(MARKETS["ar"], Inputs(*_with(argentina(spark), old)), AS_OF, hash_scorer)
+    rows = again.client_list.toPandas()
+    mine = rows.client_id == int(chosen)
+    assert set(rows[mine].observaciones) == {"dos, tres"} and set(rows[~mine].Estado) == {""}
+    (edited / "list.csv").write_text("client_id,Estado\n1,x\n")
+    with pytest.raises(ValueError, match="row_no"):
+        reload_lists(spark, str(tmp_path / "edited"), str(tmp_path / "back"))
+
     # An edited list comes back: a good row, a bad line, and another country untouched by it.
     client = results["ar"].client_list.first()["client_id"]
     header = ",".join(["client_id", "row_no", *NOTE_COLUMNS])
@@ -251,6 +301,7 @@ def test_publish_export_and_reload(spark, results, tmp_path):
         (folder / "list.csv").write_text(f"{header}\n{line}\n")
     bad = reload_lists(spark, str(tmp_path / "drop"), str(tmp_path / "last"))
     assert [r["country"] for r in bad.collect()] == ["pe"]
+    assert bad.count() == 1 and bad.select("country").count() == 1
     old = last_list(spark, str(tmp_path / "last"), "ar")
     again = run_month(MARKETS["ar"], Inputs(*_with(argentina(spark), old)), AS_OF, hash_scorer)
     rows = again.client_list.toPandas()
@@ -269,8 +320,9 @@ def test_forest_run_and_reuse(spark, tmp_path):
     found = run_month(spec, inputs, AS_OF, forest_scorer(spec, grid, path))
     report = found.metrics.toPandas()
     assert list(report["class"]) == [
-        "0", "1", "accuracy", "macro avg", "weighted avg", "AUC", "Churn Rate",
+        "0", "1", "accuracy", "macro avg", "weighted avg", "AUC", "Churn Rate", "Score AUC",
     ]
+    assert set(report.country_name) == {spec.country}
     first = found.product_risk.toPandas()
     again = run_month(spec, inputs, AS_OF, stored_scorer(path)).product_risk.toPandas()
     keys = ["client_id", "product", "branch"]
