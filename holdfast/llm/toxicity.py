@@ -21,6 +21,7 @@ LEXICON = 4_096  # features of the classifier, at most
 LEAST_TOXIC_DOCS = 5  # documents with label 1 that hold a feature
 LEAST_EVIDENCE = 30.0  # likelihood ratio statistic of a feature
 PREFIXES = (4, 5, 6)
+MOST_COUNTED = 400_000  # features that a task counts before it hands them on
 
 # Letters of the language model: the lower case of Latin-1, all else is a break.
 LETTERS = [chr(c) for c in range(256) if chr(c).isalpha() and chr(c).islower() and c not in (170, 186)]
@@ -295,20 +296,23 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decoder = Decoder(log_p)
         seen: list[Counter] = [Counter(), Counter()]
+
+        def counts() -> pa.RecordBatch:
+            names = list(seen[0].keys() | seen[1].keys())
+            columns = [[seen[k][n] for n in names] for k in (1, 0)]
+            arrays = [pa.array(names, pa.string()), *(pa.array(c, pa.int64()) for c in columns)]
+            for counter in seen:
+                counter.clear()
+            return pa.RecordBatch.from_arrays(arrays, names=["feature", "toxic", "clean"])
+
         for batch in batches:
-            for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                found = features(spaced_letters(decoder.restore(text or "")))
-                seen[toxic].update(found)
+            for text, toxic in zip(batch.column(0), batch.column(1)):
+                toxic = toxic.as_py()
+                seen[toxic].update(features(spaced_letters(decoder.restore(text.as_py() or ""))))
                 seen[toxic][""] += 1  # documents
-        names = list(seen[0].keys() | seen[1].keys())
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(names, pa.string()),
-                pa.array([seen[1][n] for n in names], pa.int64()),
-                pa.array([seen[0][n] for n in names], pa.int64()),
-            ],
-            names=["feature", "toxic", "clean"],
-        )
+                if len(seen[0]) + len(seen[1]) > MOST_COUNTED:
+                    yield counts()
+        yield counts()
 
     counted = (
         chosen.mapInArrow(count, "feature string, toxic long, clean long")
