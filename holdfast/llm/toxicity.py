@@ -19,7 +19,7 @@ from holdfast.llm.rows import documents
 FIT_ROWS = 20_000  # labelled rows that the classifier is fitted on, at most
 LEXICON = 4_096  # features of the classifier, at most
 LEAST_TOXIC_DOCS = 5  # documents with label 1 that hold a feature
-LEAST_EVIDENCE = 30.0  # likelihood ratio statistic of a feature
+LEAST_EVIDENCE = 24.0  # likelihood ratio statistic of a feature
 PREFIXES = (4, 5, 6)
 MOST_COUNTED = 400_000  # features that a task counts before it hands them on
 
