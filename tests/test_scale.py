@@ -173,7 +173,8 @@ def test_stored_tables_are_released(spark, tmp_path):
 
 def test_hot_key_join_is_split(spark):
     """The planner cuts a dominant client's rows over tasks when they meet a client table."""
-    from holdfast.operators.joins import lookup
+    from holdfast.operators.joins import drop_members, keep_members, lookup
+    from holdfast.operators.targeting import target_detail
     from holdfast.operators.rollup import share_of_client
     from holdfast.spec import Lookup
 
@@ -194,7 +195,12 @@ def test_hot_key_join_is_split(spark):
         )
         table = spark.range(60000).select(F.col("id").alias("k"), F.lit("n").alias("name"))
         named = lookup(rows, table, Lookup("t", (("client_id", "k"),), {"name": "name"}))
-        for df in (named, share_of_client(rows)):
+        ids = table.select(F.col("k").alias("client_id"))
+        kept, dropped = keep_members(rows, ids, "client_id"), drop_members(
+            rows, ids.select((F.col("client_id") + 10**6).alias("client_id")), "client_id"
+        )
+        detail = target_detail(rows, ids)
+        for df in (named, share_of_client(rows), kept, dropped, detail):
             assert len(df.collect()) == 60000
             assert "skewed" in df._jdf.queryExecution().executedPlan().toString()
     finally:
