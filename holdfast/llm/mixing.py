@@ -150,6 +150,9 @@ def drawn_slots(
     runs = counts.withColumn("from", F.coalesce(F.sum("n").over(earlier), F.lit(0))).join(
         state, "source_no"
     )
+    # A few rows that become many: spread before they do.
+    tasks = max(spark.sparkContext.defaultParallelism, -(-total // 500_000))
+    runs = runs.repartition(tasks, "shard", "source_no")
     end = F.col("from") + F.col("n")
     inside = runs.withColumn("to", F.least(end, F.col("slots"))).where("from < to")
     inside = inside.select(
@@ -319,25 +322,23 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
         docs.withColumn("_digest", row_digest("doc_id", "source", "text")), "_digest", "_copy"
     )
     joined = named.join(parts, (F.col("_digest") == F.col("_d")) & (F.col("_copy") == F.col("_c")))
-    split = joined.withColumn(
-        "_words", F.regexp_extract_all("text", F.lit(_WORD_AND_SPACE), F.lit(0))
-    )
+    epochs = F.array_sort(F.array_distinct(F.transform("_parts", lambda p: p["epoch"])))
 
-    def written(epoch: Column) -> Column:
+    def written(words: Column, epoch: Column) -> Column:
         mine = F.filter("_parts", lambda p: p["epoch"] == epoch)
-        return F.array_join(
-            F.transform(
-                mine,
-                lambda p: F.array_join(
-                    F.slice("_words", (p["start"] + 1).cast("int"), p["words"].cast("int")), ""
-                ),
-            ),
-            "",
+        # Word by word: a slice would copy the whole array each time.
+        at = F.flatten(
+            F.transform(mine, lambda p: F.sequence(p["start"], p["start"] + p["words"] - 1))
         )
+        return F.array_join(F.transform(at, lambda i: words[i.cast("int")]), "")
 
-    epochs = F.array_sort(F.array_distinct(F.transform("_parts", lambda p: p["epoch"])))
-    text = F.array_join(F.transform(epochs, written), "\n")
-    out = split.withColumn("_text", text)
+    # The words are the argument of a function, or they would be split anew for each part.
+    split = F.regexp_extract_all("text", F.lit(_WORD_AND_SPACE), F.lit(0))
+    texts = F.transform(
+        F.array(split),
+        lambda words: F.array_join(F.transform(epochs, lambda e: written(words, e)), "\n"),
+    )
+    out = joined.withColumn("_text", texts[0])
     columns = []
     for name in docs.columns:
         if name == "text":
