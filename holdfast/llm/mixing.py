@@ -313,15 +313,23 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     the rounds parted by a line feed; ``n_chars`` counts the new text.  Documents that are
     not taken go; each other row stays one row.
     """
-    _, _, placed = mix(docs)
+    rows, _, placed = mix(docs)
     parts = placed.groupBy("digest", "copy").agg(
         F.sort_array(F.collect_list(F.struct("epoch", "start", "words"))).alias("_parts")
     )
-    parts = parts.select(F.col("digest").alias("_d"), F.col("copy").alias("_c"), "_parts")
-    named = numbered(
-        docs.withColumn("_digest", row_digest("doc_id", "source", "text")), "_digest", "_copy"
+    named = docs.withColumn("_digest", row_digest("doc_id", "source", "text"))
+    # Only rows that repeat need a number to find their parts, which takes one more exchange.
+    repeated = store(rows.where("copy = 1").select(F.col("digest").alias("_digest")), "repeated")
+    single = named.join(repeated, "_digest", "left_anti").join(
+        parts.where("copy = 0").select(F.col("digest").alias("_digest"), "_parts"), "_digest"
     )
-    joined = named.join(parts, (F.col("_digest") == F.col("_d")) & (F.col("_copy") == F.col("_c")))
+    several = numbered(named.join(repeated, "_digest", "left_semi"), "_digest", "_copy")
+    several = several.join(
+        parts.select(F.col("digest").alias("_digest"), F.col("copy").alias("_copy"), "_parts"),
+        ["_digest", "_copy"],
+    )
+    used = [*map(column, docs.columns), F.col("_parts")]
+    joined = single.select(*used).unionByName(several.select(*used))
     epochs = F.array_sort(F.array_distinct(F.transform("_parts", lambda p: p["epoch"])))
 
     def written(words: Column, epoch: Column) -> Column:
