@@ -197,11 +197,14 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     found, by_value = _classified(docs, "text", "doc_id", DISTANCE)
     ids = found.join(by_value, "value").groupBy("doc_id")
     ids = ids.agg(F.count(F.lit(1)).alias("n"), F.min("component_id").alias("component_id"))
-    ids = store(ids.where("doc_id = component_id").select("doc_id", "n"), "kept-ids")
+    # The ids that go, or need a second look, are fewer than those that stay.
+    stays = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    ids = store(ids.where((~stays | (F.col("n") > 1)) & F.col("doc_id").isNotNull()), "other-ids")
     name, mark = free_name(docs, "_print"), free_name(docs, "_mark")
-    same = column("doc_id") == F.col("_keep")
-    once = docs.join(ids.where("n = 1").select(F.col("doc_id").alias("_keep")), same, "left_semi")
-    again = docs.join(ids.where("n > 1").select(F.col("doc_id").alias("_keep")), same, "left_semi")
+    same = column("doc_id") == F.col("_id")
+    others = ids.select(F.col("doc_id").alias("_id"))
+    once = docs.where(column("doc_id").isNotNull()).join(others, same, "left_anti")
+    again = docs.join(ids.where(stays).select(F.col("doc_id").alias("_id")), same, "left_semi")
     again = again.withColumn(mark, column("doc_id")).dropDuplicates([mark])
     nameless = fingerprints(
         docs.where(column("doc_id").isNull()), carry=docs.columns, result=name
