@@ -15,6 +15,20 @@ from pyspark.sql.pandas.types import to_arrow_schema
 SLICE = 128
 
 
+#: Rows of whole texts that go to Python at once.
+BATCH_ROWS = 2_000
+_BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def limit_batches(df: DataFrame) -> None:
+    """Lower the session's batch size to ``BATCH_ROWS`` if it is larger or unlimited: the
+    default of 10,000 rows is made for numbers, and long texts in it would fill a task's
+    memory on both sides."""
+    conf = df.sparkSession.conf
+    if not 0 < int(conf.get(_BATCH_SETTING)) <= BATCH_ROWS:
+        conf.set(_BATCH_SETTING, str(BATCH_ROWS))
+
+
 def column(name: str):
     """The column of exactly this name, whatever characters it holds."""
     return F.col(f"`{name.replace('`', '``')}`")
@@ -41,6 +55,7 @@ def annotate(
     ``start`` runs once in each task and returns a function from the values of ``needs``
     (lists, one per column) to one list of tuples, the struct's fields in order.
     """
+    limit_batches(df)
     source = df.select(*[column(c).alias(f"c{i}") for i, c in enumerate([*carry, *needs])])
     carried_fields = [
         T.StructField(c, f.dataType, f.nullable) for c, f in zip(carry, source.schema.fields)
