@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from holdfast.llm.batches import SLICE, annotate, column
+from holdfast.llm.batches import SLICE, annotate, column, limit_batches
 from holdfast.llm.rows import documents
 
 FIT_ROWS = 20_000  # labelled rows that the classifier is fitted on, at most
@@ -53,6 +53,7 @@ def folded(text: str) -> bytes:
 def trigram_counts(docs: DataFrame, text: str = "text") -> np.ndarray:
     """Counts of the letter trigrams of all texts, as many numbers as the alphabet has
     trigrams, whatever the input."""
+    limit_batches(docs)
     schema = "trigram int, n long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
