@@ -31,7 +31,7 @@ CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % LEAST_RANDOM)
 _UUID = re.compile(r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
 _ALL_HEX = re.compile(r"[0-9a-fA-F]+")
 _PART = re.compile(r"[+/_=-]+")
-_NAME = re.compile(r"(?:[A-Z]?[a-z]+|[A-Z]+)+[0-9]{0,4}|[0-9]+")
+_NAME = re.compile(r"[A-Za-z]+[0-9]{0,4}|[0-9]+")  # one way to match: time in proportion
 PLACEHOLDER = "[secret]"
 
 

@@ -246,6 +246,14 @@ def test_secret_spans(spark):
     assert got[8].spans == "" and got[9].spans == ""
 
 
+def test_long_letter_runs_are_tested_in_linear_time():
+    import subprocess
+    import sys
+
+    code = "from holdfast.llm.secrets import _is_name\nassert not any(_is_name(c * 5000 + '1x') for c in ('a', 'A', 'aB'))"
+    subprocess.run([sys.executable, "-c", code], check=True, timeout=60)
+
+
 def test_redacted_documents_keep_their_shape(spark):
     frame = docs(spark).withColumn(
         "text", F.when(F.col("doc_id") == -3, "token = abcdef0").otherwise(F.col("text"))
