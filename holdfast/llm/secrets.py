@@ -32,6 +32,7 @@ _UUID = re.compile(r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
 _ALL_HEX = re.compile(r"[0-9a-fA-F]+")
 _PART = re.compile(r"[+/_=-]+")
 _NAME = re.compile(r"[A-Za-z]+[0-9]{0,4}|[0-9]+")  # one way to match: time in proportion
+_HUMP = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
 PLACEHOLDER = "[secret]"
 
 
@@ -50,15 +51,31 @@ def efficiency_coder(path: str | None):
     )
 
 
-def is_known(candidate: str) -> bool:
-    """Digests, UUIDs, and identifiers: words and numbers joined by ``_ - / + =``, where a
-    word may be in camel case and end in up to four digits."""
+def is_digest(candidate: str) -> bool:
+    """Hex digests of common lengths and UUIDs."""
     if _ALL_HEX.fullmatch(candidate) and len(candidate) in DIGESTS:
         return True
-    if _UUID.fullmatch(candidate):
-        return True
+    return _UUID.fullmatch(candidate) is not None
+
+
+def is_identifier(candidate: str, coder, most: float = MOST_CHARS_PER_TOKEN) -> bool:
+    """Words and numbers joined by ``_ - / + =``, where a word may be in camel case and end in
+    up to four digits.
+
+    Letters count as words only if the vocabulary spells the lower-case parts, whole or at the
+    turns of camel case, in tokens of more than ``most`` letters on average.
+    """
     parts = [p for p in _PART.split(candidate) if p]
-    return all(map(_is_name, parts))
+    if not all(map(_is_name, parts)):
+        return False
+    letters = tokens = 0
+    for part in parts:
+        word = part.rstrip("0123456789")
+        letters += len(word)
+        whole = len(coder.encode_ordinary(word.lower()))
+        humps = [h.lower() for h in _HUMP.findall(word)]
+        tokens += min(whole, sum(len(coder.encode_ordinary(h)) for h in humps))
+    return letters > most * tokens or not letters
 
 
 def _is_name(part: str) -> bool:
@@ -66,13 +83,13 @@ def _is_name(part: str) -> bool:
         return False
     letters = part.rstrip("0123456789")
     turns = sum(a.islower() and b.isupper() for a, b in zip(letters, letters[1:]))
-    return turns * 4 <= len(letters)  # camel case has few turns, random letters many
+    return turns * 4 <= len(letters)  # camel case has few turns
 
 
 def is_random(candidate: str, coder, most: float = MOST_CHARS_PER_TOKEN) -> bool:
-    if is_known(candidate):
+    if is_digest(candidate) or len(candidate) > most * len(coder.encode_ordinary(candidate)):
         return False
-    return len(candidate) <= most * len(coder.encode_ordinary(candidate))
+    return not is_identifier(candidate, coder, most)
 
 
 def spans_of(text: str, coder, most: float = MOST_CHARS_PER_TOKEN) -> list[tuple]:

@@ -246,6 +246,27 @@ def test_secret_spans(spark):
     assert got[8].spans == "" and got[9].spans == ""
 
 
+def test_random_letters_are_no_identifiers():
+    import string
+
+    coder, rng = secrets.efficiency_coder(None), random.Random(6)
+    for letters in (string.ascii_lowercase, string.ascii_uppercase, string.ascii_letters):
+        for size in (20, 32):
+            made = ["".join(rng.choices(letters, k=size)) for _ in range(300)]
+            assert sum(len(secrets.spans_of(f"key {m} end", coder)) for m in made) >= 294, letters
+            assert sum(len(secrets.spans_of(f"{m}12", coder)) for m in made) >= 290, letters
+    for name in (
+        "a/path/to/some/file",
+        "/usr/local/lib/python/site-packages",
+        "getHTTPResponseCodeForURL",
+        "MAX_CONNECTION_RETRY_COUNT",
+        "INTERNAL-USE-ONLY-DO-NOT-COPY",
+        "2024-01-02-03-04-05-06",
+        "thequickbrownfoxjumpsoverthelazydog",
+    ):
+        assert secrets.spans_of(name, coder) == [], name
+
+
 def test_long_letter_runs_are_tested_in_linear_time():
     import subprocess
     import sys
