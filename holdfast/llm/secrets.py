@@ -5,7 +5,7 @@ from __future__ import annotations
 import functools
 import hashlib
 import re
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -92,6 +92,12 @@ def is_random(candidate: str, coder, most: float = MOST_CHARS_PER_TOKEN) -> bool
     return not is_identifier(candidate, coder, most)
 
 
+def _until(spans: list[tuple[int, int]], at: int, end: int) -> Iterator[tuple[int, int]]:
+    while at < len(spans) and spans[at][0] < end:
+        yield spans[at]
+        at += 1
+
+
 def spans_of(text: str, coder, most: float = MOST_CHARS_PER_TOKEN) -> list[tuple]:
     """(start, order of kind, end, start of the value) of all spans, by start and kind."""
     found = []
@@ -106,13 +112,16 @@ def spans_of(text: str, coder, most: float = MOST_CHARS_PER_TOKEN) -> list[tuple
                 found.append((m.start(), 1, m.end(), m.start()))
     for m in LONG_HEX.finditer(text):
         found.append((m.start(), 2, m.end(), m.start()))
-    base = list(found)
+    base = sorted((s, e) for s, _, e, _ in found)
+    at = 0  # base spans before it end ahead of all further candidates
     for m in CANDIDATE.finditer(text):
         start, end = m.span()
-        if any(s < end and start < e for s, _, e, _ in base):
-            continue
-        if is_random(m.group(), coder, most):
-            found.append((start, 3, end, start))
+        while at < len(base) and base[at][1] <= start:
+            at += 1
+        for s, e in [*_until(base, at, end), (end, end)]:
+            if s - start >= LEAST_RANDOM and is_random(text[start:s], coder, most):
+                found.append((start, 3, s, start))
+            start = max(start, e)
     found.sort()
     return found
 
@@ -163,7 +172,8 @@ def scan(
 
     Strings of 20 or more token characters that are no digest or identifier count as random
     if the vocabulary spells them in tokens of at most 2.2 characters on average; they add
-    to the base spans and never overlap them.  Null and empty texts have no spans.  Rows are
+    to the base spans and never overlap them: base spans are cut out, and what is left of a
+    string is tested part by part.  Null and empty texts have no spans.  Rows are
     scanned alone and whole: repeated rows repeat, an empty table gives an empty one, other
     columns are not read.
     """

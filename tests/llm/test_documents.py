@@ -267,6 +267,22 @@ def test_random_letters_are_no_identifiers():
         assert secrets.spans_of(name, coder) == [], name
 
 
+def test_random_parts_beside_base_spans():
+    coder, key = secrets.efficiency_coder(None), "wJalrXUtnFEMIK7MDENGbPxRfiCYEXAMPLEKEYq9"
+    digits = "0123456789abcdef01234567"
+    for text, want in (
+        (f"{key}-{digits}", "random:0:41,hex:41:65"),
+        (f"{digits}-{key}", "hex:0:24,random:24:65"),
+        (f"{key}/secret=abcdef", "random:0:41,assign:41:54"),
+        (f"{key}-{digits}-{key} {key}", "random:0:41,hex:41:65,random:65:106,random:107:147"),
+        (f"abc-{digits}-abc", "hex:4:28"),
+        (f"secret={key} {key}", "assign:0:47,random:48:88"),
+    ):
+        spans = secrets.spans_of(text, coder)
+        assert secrets.joined(spans) == want, text
+        assert key[:20] not in secrets.redacted(text, spans)
+
+
 def test_long_letter_runs_are_tested_in_linear_time():
     import subprocess
     import sys
