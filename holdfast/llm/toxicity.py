@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from holdfast.llm.batches import SLICE, annotate, column, limit_batches
 from holdfast.llm.rows import documents
+from holdfast.session import store
 
 FIT_ROWS = 20_000  # labelled rows that the classifier is fitted on, at most
 LEXICON = 4_096  # features of the classifier, at most
@@ -272,6 +273,16 @@ def labelled_sample(labels: DataFrame, rows: int) -> DataFrame:
     return ordered.select(F.col("doc_id").alias("_id"), F.col("toxic").alias("_toxic"))
 
 
+def labelled_texts(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
+    """``text`` and ``_toxic`` of the sampled ids, one row each: of rows that repeat an id,
+    the text with the smallest hash, null only if there is no other.  Tasks reduce their own rows first."""
+    sample = F.broadcast(labelled_sample(labels, rows))  # at most ``rows`` pairs of numbers
+    chosen = docs.join(sample, column("doc_id") == F.col("_id"))
+    text = column("text")
+    first = F.min(F.struct(text.isNull(), F.xxhash64(text), text.alias("text"))).alias("first")
+    return chosen.groupBy("_id", "_toxic").agg(first).select("first.text", "_toxic")
+
+
 def held_out():
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
 
@@ -289,10 +300,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
     Without labels of both kinds the lexicon is empty and all scores equal the share of 1s.
     """
     log_p = log_probabilities(trigram_counts(docs))
-    sample = F.broadcast(labelled_sample(labels, rows))  # at most ``rows`` pairs of numbers
-    chosen = docs.join(sample, column("doc_id") == F.col("_id")).select(
-        column("text").alias("text"), "_toxic"
-    )
+    chosen = store(labelled_texts(docs, labels, rows), "labelled-texts")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decoder = Decoder(log_p)
@@ -346,7 +354,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
         ]
 
     measured = annotate(chosen, ["text"], ["_toxic"], "m", fields, start)
-    frame = measured.select("_toxic", "m.*").toPandas()  # at most ``rows`` rows, but for repeats
+    frame = measured.select("_toxic", "m.*").toPandas()  # at most ``rows`` rows
     y = frame["_toxic"].to_numpy(float)
     if not len(y) or y.min() == y.max() or not lexicon:
         share = float(y.mean()) if len(y) else 0.0

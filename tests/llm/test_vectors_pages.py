@@ -276,6 +276,23 @@ def test_toxicity_without_labels(spark):
     assert toxicity.score(empty(spark), model).count() == 0
 
 
+def test_fit_takes_one_row_of_each_labelled_id(spark, monkeypatch):
+    frame, labels = toxic_documents(spark)
+    ids = [r._id for r in toxicity.labelled_sample(labels, 10).collect()]
+    again = frame.where(F.col("doc_id") == ids[0])
+    again = again.withColumn("_n", F.explode(F.sequence(F.lit(1), F.lit(50))))
+    again = again.withColumn("text", F.concat("text", F.when(F.col("_n") > 25, F.lit(" more"))))
+    many = frame.unionByName(again.drop("_n")).repartition(5)
+    seen = []
+    fitted = toxicity.fit_logistic
+    monkeypatch.setattr(toxicity, "fit_logistic", lambda x, y: (seen.append(len(y)), fitted(x, y))[1])
+    toxicity.fit(many, labels)
+    sample = toxicity.labelled_sample(labels, toxicity.FIT_ROWS)
+    assert seen == [sample.where("_id < 400").count()]
+    rows = toxicity.labelled_texts(many, labels, 10).collect()
+    assert 9 <= len(rows) <= 10 and all(r.text for r in rows)
+
+
 def test_held_out_accuracy(spark):
     got = entry.queries()["op6_toxicity"](spark, "/root/testdata/sf0.1")
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
