@@ -326,6 +326,55 @@ def test_pipeline_on_awkward_rows(spark):
         assert frame.columns[:2] == ["doc_id", "piece"]
 
 
+def test_pipeline_against_a_brute_force_chain(spark, tmp_path):
+    from holdfast.llm.mixing import BLOCK_WORDS, mix
+    from holdfast.session import store
+    from tests.llm.test_documents import brute_quality, similar_kept
+
+    rng, key, rest = random.Random(21), "q7Zr2Xw9Lk4Vb8Nt3Ms6Pd1Hf5", ("en",)
+    source = []
+    for n in range(90):
+        words = [f"w{rng.randrange(5000)}" for _ in range(120)]
+        if n % 9 == 0:
+            words[60] = f"token={key}"
+        if n % 10 == 9:
+            words = words[:30]  # too short
+        source.append((3 * n, " ".join(words), *rest, "ab"[n % 3 == 0], 1))
+        if n % 4 == 0:  # a near copy, and a text that only shares its first half
+            source.append((3 * n + 1, " ".join([*words[:-1], "end"]), *rest, "a", 1))
+            half = [f"v{rng.randrange(5000)}" for _ in range(60)]
+            source.append((3 * n + 2, " ".join([*words[:60], *half]), *rest, "b", 1))
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    frame = spark.createDataFrame(source, schema)
+    frame.write.parquet(f"{tmp_path}/documents.parquet")
+
+    good = [r for r in source if not brute_quality(r[1])[-1]]
+    kept = similar_kept(good)
+    assert 60 < len(kept) < len(good) < len(source)
+    want = {r[0]: r[1].replace(f"token={key}", "token=[secret]") for r in good if r[0] in kept}
+    docs_ = frame
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        docs_, before = store(stage(spark, docs_, str(tmp_path)), name), docs_
+    assert {r.doc_id: r.text for r in before.collect()} == want
+    assert before.count() == len(want)
+
+    mixed = {r.doc_id: r for r in docs_.collect()}
+    assert set(mixed) <= set(want)
+    goal = {r["source"]: r["target"] for r in mix(before)[1].collect()}
+    for name, target in goal.items():
+        total = sum(len(r.text.split()) for r in mixed.values() if r.source == name)
+        assert abs(total - target) <= 1.5 * BLOCK_WORDS
+
+    pieces = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert {r.doc_id for r in pieces} == set(mixed)
+    for doc_id in mixed:
+        at = 0
+        for r in sorted((r for r in pieces if r.doc_id == doc_id), key=lambda r: r.piece):
+            assert r.start == at
+            at += r.length
+        assert at > len(mixed[doc_id].text.split())
+
+
 @pytest.mark.parametrize("name", ["op2_sharding", "op3_embedding_near_dedup", "op10_warc"])
 def test_sql_is_given_where_it_can_be(name):
     assert name in entry.oracle_sql()
