@@ -167,7 +167,7 @@ def divergences(
     shards = F.greatest(F.lit(1), F.ceil(F.col("sources") * F.col("terms") / cells)).cast("int")
     langs = store(langs.select("*", shards.alias("shards")), "languages")
     # Each kept term's row has the language's own count, named by a null source.
-    used = join_back(counts, kept.select("lang", "term", F.col("n").alias("lang_n")), ["lang", "term"], "inner")
+    used = counts.join(kept.select("lang", "term", F.col("n").alias("lang_n")), ["lang", "term"])
     totals = used.groupBy("lang", "source").agg(F.sum("n").alias("n"))
     groups = counts.where("term = ''").select("lang", "source").join(
         totals, ["lang", "source"], "left"
