@@ -26,8 +26,8 @@ BETWEEN = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
 #: Text that is split at one time, and counts that a task holds before it hands them on.
 SLICE_BYTES = 8 << 20
 HELD_ROWS = 1 << 18
-#: Shares that a shard of terms holds, sources times terms.
-CELLS = 1 << 22
+#: Shares that a shard of terms holds at least and at most, sources times terms.
+CELLS = 1 << 16, 1 << 24
 
 COUNTS = T.StructType(
     [
@@ -140,7 +140,7 @@ def divergences(
     *,
     least_docs: int = LEAST_DOCS,
     top: int = TOP_TERMS,
-    cells: int = CELLS,
+    cells: tuple[int, int] = CELLS,
     **columns: str,
 ) -> DataFrame:
     """``lang``, ``source``, ``part``, ``item``, ``value``, ``rank``.
@@ -153,8 +153,9 @@ def divergences(
     source alone in its language has no pair; without kept terms all pairs are 0 apart.
 
     Counts are summed in the tasks that read the texts, and only sums move.  The shares of a
-    language are dealt by term in shards of about ``cells`` numbers, sources times terms; a
-    shard adds up the differences of each pair of sources over its terms.
+    language are dealt by term in shards; a shard adds up the differences of each pair of
+    sources over its terms.  It holds eight numbers for each pair that it hands on, within the
+    bounds ``cells``.
     """
     counts = store(term_counts(docs, **columns), "term-counts")
     terms = counts.where("term <> ''").groupBy("lang", "term")
@@ -164,7 +165,8 @@ def divergences(
     sources = counts.where("term = ''").groupBy("lang").agg(F.count(F.lit(1)).alias("sources"))
     sizes = kept.groupBy("lang").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("terms"))
     langs = sources.join(sizes, "lang", "left").na.fill(0, ["total", "terms"])
-    shards = F.greatest(F.lit(1), F.ceil(F.col("sources") * F.col("terms") / cells)).cast("int")
+    size = F.least(F.greatest(4 * F.col("sources") ** 2, F.lit(cells[0])), F.lit(cells[1]))
+    shards = F.greatest(F.lit(1), F.ceil(F.col("sources") * F.col("terms") / size)).cast("int")
     langs = store(langs.select("*", shards.alias("shards")), "languages")
     # Each kept term's row has the language's own count, named by a null source.
     used = counts.join(kept.select("lang", "term", F.col("n").alias("lang_n")), ["lang", "term"])

@@ -62,7 +62,7 @@ def some_documents():
     return made * 2  # repeated rows count twice
 
 
-@pytest.mark.parametrize("cells", [divergence.CELLS, 7])
+@pytest.mark.parametrize("cells", [divergence.CELLS, (1, 7)])
 @pytest.mark.parametrize("least, top", [(5, 4), (30, 50)])
 def test_matches_exact_arithmetic(spark, cells, least, top):
     source = some_documents()
