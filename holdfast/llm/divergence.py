@@ -41,10 +41,10 @@ COUNTS = T.StructType(
 _KEYS = ["lang", "source", "term"]
 
 
-def _slices(batch: pa.RecordBatch) -> Iterator[pa.Table]:
-    """The batch in parts of about ``SLICE_BYTES`` of text; a longer text is a part alone."""
+def _slices(batch: pa.RecordBatch, size: int) -> Iterator[pa.Table]:
+    """The batch in parts of about ``size`` bytes of text; a longer text is a part alone."""
     sizes = pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False)
-    cuts = np.cumsum(sizes, dtype=np.int64) // SLICE_BYTES
+    cuts = np.cumsum(sizes, dtype=np.int64) // size
     starts = np.flatnonzero(np.diff(cuts, prepend=-1))
     for low, high in zip(starts, [*starts[1:], batch.num_rows]):
         yield pa.Table.from_batches([batch.slice(low, high - low)])
@@ -87,10 +87,17 @@ def _summed(table: pa.Table) -> pa.Table:
     return made.select([*_KEYS, "n_sum", "docs_sum"]).rename_columns([*_KEYS, "n", "docs"])
 
 
-def term_counts(
-    docs: DataFrame, *, text: str = "text", lang: str = "lang", source: str = "source"
+def partial_counts(
+    docs: DataFrame,
+    *,
+    text: str = "text",
+    lang: str = "lang",
+    source: str = "source",
+    slice_bytes: int = SLICE_BYTES,
+    held_rows: int = HELD_ROWS,
 ) -> DataFrame:
-    """``lang``, ``source``, ``term``, ``n`` occurrences and ``docs`` documents with the term.
+    """``lang``, ``source``, ``term``, ``n`` occurrences and ``docs`` documents with the term, a
+    row or a few from each task.
 
     Terms are stretches of ASCII letters and of all beyond ASCII, A-Z in lower case.  Null
     text, language and source are the empty string.  Each language and source that occurs
@@ -109,13 +116,13 @@ def term_counts(
         held: list[pa.Table] = []
         rows = 0
         for batch in batches:
-            for part in _slices(batch) if batch.num_rows else ():
+            for part in _slices(batch, slice_bytes) if batch.num_rows else ():
                 held.append(_counted(part))
                 rows += held[-1].num_rows
-                if rows > HELD_ROWS:
+                if rows > held_rows:
                     held = [_summed(pa.concat_tables(held))]
                     rows = held[0].num_rows
-                    if rows > HELD_ROWS // 2:
+                    if rows > held_rows // 2:
                         yield from held[0].cast(schema).to_batches(max_chunksize=1 << 14)
                         held, rows = [], 0
         if held:
@@ -123,8 +130,22 @@ def term_counts(
                 max_chunksize=1 << 14
             )
 
-    counted = plain.mapInArrow(run, COUNTS)
-    return counted.groupBy(*_KEYS).agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    return plain.mapInArrow(run, COUNTS)
+
+
+def kept_counts(partial: DataFrame, least_docs: int) -> DataFrame:
+    """The sums of ``partial_counts`` by language, source and term, of terms in ``least_docs``
+    documents of the language or more, and of the empty term.
+
+    Partial counts are dealt by language and term, so that one exchange serves the sums by
+    source and the documents over all sources.  A term has a row per source and task at most,
+    as the tasks have summed it, however many documents hold it.
+    """
+    dealt = partial.repartition("lang", "term").groupBy(*_KEYS)
+    sums = dealt.agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    whole = F.sum("docs").over(Window.partitionBy("lang", "term"))
+    wanted = (F.col("term") == "") | (F.col("lang_docs") >= least_docs)
+    return sums.withColumn("lang_docs", whole).where(wanted).select(*_KEYS, "n")
 
 
 def share(count: Column, total: Column, terms: Column) -> Column:
@@ -157,10 +178,9 @@ def divergences(
     sources over its terms.  It holds eight numbers for each pair that it hands on, within the
     bounds ``cells``.
     """
-    counts = store(term_counts(docs, **columns), "term-counts")
-    terms = counts.where("term <> ''").groupBy("lang", "term")
-    kept = terms.agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
-    kept = store(kept.where(F.col("docs") >= least_docs).drop("docs"), "kept-terms")
+    counts = store(kept_counts(partial_counts(docs, **columns), least_docs), "term-counts")
+    kept = counts.where("term <> ''").groupBy("lang", "term").agg(F.sum("n").alias("n"))
+    kept = store(kept, "kept-terms")
     # One row per language, and one per language and source.
     sources = counts.where("term = ''").groupBy("lang").agg(F.count(F.lit(1)).alias("sources"))
     sizes = kept.groupBy("lang").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("terms"))

@@ -74,13 +74,17 @@ def test_matches_exact_arithmetic(spark, cells, least, top):
     assert Counter(map(tuple, got.collect())) == brute(source, least, top)
 
 
-def test_small_slices_and_early_flushes(spark, monkeypatch):
+def test_small_slices_and_early_flushes(spark):
     source = some_documents()
     frame = spark.createDataFrame(source, "text string, lang string, source string").coalesce(1)
-    want = Counter(map(tuple, divergence.term_counts(frame).collect()))
-    monkeypatch.setattr(divergence, "SLICE_BYTES", 200)
-    monkeypatch.setattr(divergence, "HELD_ROWS", 10)
-    assert Counter(map(tuple, divergence.term_counts(frame).collect())) == want
+
+    def counts(**sizes):
+        partial = divergence.partial_counts(frame, **sizes)
+        return Counter(map(tuple, divergence.kept_counts(partial, 4).collect())), partial.count()
+
+    want, rows = counts()
+    again, more = counts(slice_bytes=200, held_rows=10)
+    assert again == want and more > rows
 
 
 def test_shares_of_huge_counts_are_exact(spark):
