@@ -6,7 +6,7 @@ care for large data.
 
 from __future__ import annotations
 
-from holdfast.catalog.queries import GRID, REPAIRS, SHARES, TOTALS
+from holdfast.catalog.queries import GRID, MONTHS, REPAIRS, RESULT_TABLES, SHARES, TOTALS
 from holdfast.catalog.sales import AS_OF, REGIONS, TYPES
 from holdfast.sources.feedback import NOTE_COLUMNS
 from holdfast.spec import RiskLabels
@@ -327,6 +327,66 @@ SELECT client_id, branch, seller, sales_12m,
     THEN '{L.centre}' ELSE seller END AS assignee FROM list""",
 )
 
+cte(
+    "balanced",
+    ("train",),
+    f"""
+SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY target ORDER BY {digest(KEYS, 11)}, {KEYS})
+    AS pos, COUNT(*) FILTER (WHERE target = 1) OVER () AS churners FROM train WHERE frequency > 3)
+WHERE (target = 1 OR pos <= churners)
+  AND NOT {number(digest(KEYS, 42))} / 16777216.0::DOUBLE < 0.2""",
+)
+_CUTS = " ".join(
+    f"WHEN draw < greatest({GRID.thin ** (k + 1 - GRID.rungs)}, {GRID.least_rows} / n::DOUBLE) THEN {k}"
+    for k in range(GRID.rungs - 1)
+)
+cte(
+    "sampled",
+    ("balanced",),
+    f"""
+SELECT {KEYS}, target, CAST({number(digest(KEYS, GRID.seed))} % {GRID.folds} AS INTEGER) AS fold,
+  CAST(CASE {_CUTS} ELSE {GRID.rungs - 1} END AS INTEGER) AS rung
+FROM (SELECT *, {number(digest(KEYS, GRID.seed + 1))} / 16777216.0::DOUBLE AS draw,
+  COUNT(*) OVER () AS n FROM balanced)""",
+)
+cte(
+    "codes",
+    ("raw",),
+    """
+SELECT "column", value, n, code FROM (
+  SELECT *, row_number() OVER (PARTITION BY "column" ORDER BY n DESC, value) - 1 AS code FROM (
+    SELECT "column", value, COUNT(*) AS n FROM (
+      SELECT 'product' AS "column", product AS value FROM raw UNION ALL
+      SELECT 'segment', segment FROM raw UNION ALL SELECT 'client_name', client_name FROM raw)
+    WHERE value IS NOT NULL GROUP BY "column", value HAVING COUNT(*) >= 20))
+WHERE code < 60""",
+)
+cte(
+    "ranked",
+    ("train",),
+    f"""
+SELECT {KEYS}, target, prob, rank() OVER (ORDER BY prob)
+  + (COUNT(*) OVER (PARTITION BY prob) - 1) / 2.0::DOUBLE AS mid_rank
+FROM (SELECT *, {PROBABILITY} AS prob FROM train)""",
+)
+
+for _i, _as_of in enumerate(MONTHS):
+    cte(
+        f"raw_{_i}",
+        ("lines",),
+        f"""SELECT * FROM lines WHERE sale_date < DATE '{_as_of}'
+  AND sale_date >= DATE '{_as_of}' - INTERVAL 27 MONTH""",
+    )
+    cte(
+        f"act_{_i}",
+        (f"raw_{_i}",),
+        f"""
+SELECT {KEYS}, period, {dsum('amount')} AS monetary_value,
+  CAST(COUNT(sale_date) >= 1 AS BIGINT) AS frequency, {dsum('volume')} AS volume
+FROM raw_{_i} WHERE product IS NOT NULL GROUP BY {KEYS}, period""",
+    )
+OLD_STATE = """CASE WHEN branch IN ('AMERICA', 'EUROPE') THEN 'old' ELSE "Estado" END AS "Estado\""""
+
 SALES = "order_no, line_no, client_id, product, branch, sale_date, amount, volume"
 RESULTS = """SELECT client_id, product, monetary_value, branch AS country,
   strftime(period, '%Y%m') AS period FROM act"""
@@ -720,28 +780,110 @@ FROM (SELECT list.*, CASE WHEN s_acctbal > 1000 THEN 'V' || CAST(s_nationkey AS
         f"SELECT {rnd('(tp / (tp + fn) + tn / (tn + fp)) / 2', 6)} AS auc FROM confusion",
         "confusion",
     ),
-    "model_calibrate": " UNION ALL ".join(
-        f"""SELECT {d['numTrees']}::BIGINT AS "numTrees", {d['maxDepth']}::BIGINT AS "maxDepth",
-  {d['minInstancesPerNode']}::BIGINT AS "minInstancesPerNode", {d['bootstrap']} AS bootstrap,
-  true AS in_range"""
-        for d in GRID.sample()
-    ),
-    "model_score": sql(f"SELECT {KEYS}, frequency, true AS in_range FROM feat", "feat"),
-    "model_metrics": sql(
-        f"""SELECT class, known FROM (
-  SELECT COUNT(*) FILTER (WHERE target = 0)::DOUBLE AS n0,
-    COUNT(*) FILTER (WHERE target = 1)::DOUBLE AS n1,
-    CASE WHEN COUNT(DISTINCT target) = 2 THEN 1.0::DOUBLE END AS area
-  FROM (SELECT *, row_number() OVER (PARTITION BY target ORDER BY {digest(KEYS, 11)}, {KEYS}) AS pos,
-      COUNT(*) FILTER (WHERE target = 1) OVER () AS churners FROM train WHERE frequency > 3)
-  WHERE (target = 1 OR pos <= churners)
-    AND {number(digest(KEYS, 42))} / 16777216.0::DOUBLE < 0.2),
-  (SELECT {rnd('COUNT(*) FILTER (WHERE target = 1) / COUNT(*)::DOUBLE', 6)} AS rate
-   FROM train WHERE frequency > 3),
-  LATERAL (VALUES ('0', n0), ('1', n1), ('accuracy', 1.0), ('macro avg', n0 + n1),
-    ('weighted avg', n0 + n1), ('AUC', area), ('Churn Rate', rate), ('Score AUC', area))
-    AS named(class, known)""",
-        "train",
+    "src_window_text": f"""
+SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN ' ' || d || ' ' ELSE d END AS day_text,
+  strftime(o_orderdate, '%m/%Y') AS month_text, kind
+FROM (SELECT *, strftime(o_orderdate, '%d/%m/%Y') AS d,
+    date_trunc('month', DATE '{AS_OF}') - INTERVAL 27 MONTH AS start FROM orders),
+  (VALUES ('day'), ('month')) AS k(kind)
+WHERE CASE kind WHEN 'day' THEN CAST(o_orderdate AS DATE) > start
+  ELSE date_trunc('month', o_orderdate) >= start END""",
+    "activity_increments": sql(
+        " UNION ALL ".join(f"SELECT *, '{d}' AS as_of FROM act_{i}" for i, d in enumerate(MONTHS)),
+        *[f"act_{i}" for i in range(len(MONTHS))],
+    ),
+    "sales_12m_increments": sql(
+        " UNION ALL ".join(
+            f"""SELECT client_id, branch, {dsum('amount')} AS sales_12m, '{d}' AS as_of FROM raw_{i}
+WHERE sale_date >= (SELECT max(period) FROM raw_{i}) - INTERVAL 11 MONTH GROUP BY client_id, branch"""
+            for i, d in enumerate(MONTHS)
+        ),
+        *[f"raw_{i}" for i in range(len(MONTHS))],
+    ),
+    "last_transaction_increments": sql(
+        " UNION ALL ".join(
+            f"""SELECT {KEYS}, max(period) AS ref_period, '{d}' AS as_of FROM act_{i}
+WHERE period >= (SELECT max(period) FROM act_{i}) - INTERVAL 12 MONTH GROUP BY {KEYS}"""
+            for i, d in enumerate(MONTHS)
+        ),
+        *[f"act_{i}" for i in range(len(MONTHS))],
+    ),
+    "sink_commit": sql(
+        f"""SELECT state, "table", country, period, COUNT(*) AS rows,
+  {dsum('monetary_value')} AS monetary_value
+FROM ({RESULTS}) r
+JOIN (VALUES ('first', '200106'), ('failed', '200106'), ('second', '200106'), ('second', '200107'))
+  AS s(state, month) ON r.period = s.month,
+  (VALUES {", ".join(f"('{t}')" for t in RESULT_TABLES)}) AS t("table")
+WHERE NOT ("table" = 'metrics' AND state = 'second' AND month = '200106')
+GROUP BY state, "table", country, period""",
+        "act",
+    ),
+    "feedback_quarantine": sql(
+        f"""SELECT client_id, row_no, {NOTES.replace('"Estado"', OLD_STATE)}, branch AS country,
+  CASE WHEN branch IN ('AMERICA', 'EUROPE') THEN 'lacks {", ".join(NOTE_COLUMNS[-2:])}' END
+    AS reason FROM oldlist""",
+        "oldlist",
+    ),
+    "quantile_sketch": sql(
+        " UNION ALL ".join(
+            f"""SELECT branch, {p}::DOUBLE AS prob, COUNT(*) AS n,
+  {rnd(f"quantile_cont(monetary_value, {p})", 4)} AS exact, true AS within FROM act GROUP BY branch"""
+            for p in (0.001, 0.25, 0.5, 0.75, 0.999)
+        ),
+        "act",
+    ),
+    "model_samples": sql(f"SELECT {KEYS}, target, fold, rung FROM sampled", "sampled"),
+    "model_rungs": sql(
+        " UNION ALL ".join(
+            f"""SELECT {rung}::INTEGER AS rung, {draws}::INTEGER AS draws,
+  COUNT(*) FILTER (WHERE rung <= {rung}) AS rows,
+  CAST(COALESCE(SUM(target) FILTER (WHERE rung <= {rung}), 0) AS BIGINT) AS churners FROM sampled"""
+            for rung, draws in enumerate(GRID.survivors())
+        ),
+        "sampled",
+    ),
+    "model_learns": sql(
+        f"""SELECT {KEYS}, frequency, target, target AS prediction FROM (
+  SELECT *, row_number() OVER (PARTITION BY target ORDER BY {digest(KEYS, 11)}, {KEYS}) AS pos,
+    COUNT(*) FILTER (WHERE target = 1) OVER () AS churners
+  FROM (SELECT *, CAST(frequency >= 5 AS BIGINT) AS target FROM tfeat WHERE frequency > 3))
+WHERE (target = 1 OR pos <= churners)
+  AND {number(digest(KEYS, 42))} / 16777216.0::DOUBLE < 0.2""",
+        "tfeat",
+    ),
+    "model_reload": sql(
+        f"""SELECT {KEYS}, frequency, CAST(frequency >= 5 AS BIGINT) AS prediction, true AS same
+FROM tfeat WHERE frequency > 3""",
+        "tfeat",
+    ),
+    "category_dictionary": sql(
+        """SELECT "column", value, n, CAST(code AS INTEGER) AS code FROM codes
+WHERE "column" <> 'segment'""",
+        "codes",
+    ),
+    "category_codes": sql(
+        "SELECT product, segment, client_name, COUNT(*) AS lines, "
+        + ", ".join(
+            f"""any_value(CASE WHEN {c} IS NULL
+  THEN (SELECT COUNT(*) FROM codes WHERE "column" = '{c}') + 1
+  ELSE COALESCE((SELECT code FROM codes WHERE "column" = '{c}' AND value = {c}),
+    (SELECT COUNT(*) FROM codes WHERE "column" = '{c}')) END) AS {c}_code"""
+            for c in ("product", "segment", "client_name")
+        )
+        + " FROM raw GROUP BY product, segment, client_name",
+        "raw",
+        "codes",
+    ),
+    "mid_ranks": sql(
+        f"SELECT {KEYS}, prob AS churn_probability, mid_rank FROM ranked", "ranked"
+    ),
+    "score_auc": sql(
+        f"""SELECT n1 AS positives, n0 AS negatives,
+  {rnd_once("((total - n1 * (n1 + 1) / 2.0::DOUBLE) / NULLIF(n1 * n0, 0))", 9)} AS auc
+FROM (SELECT COUNT(*) FILTER (WHERE target = 1) AS n1, COUNT(*) FILTER (WHERE target = 0) AS n0,
+  SUM(mid_rank) FILTER (WHERE target = 1) AS total FROM ranked)""",
+        "ranked",
     ),
     "churn_rate": sql(
         f"""SELECT COUNT(*) AS rows, COUNT(*) FILTER (WHERE target = 1) AS churners,

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,12 +13,13 @@ from holdfast.catalog import sales as s
 from holdfast.functions import predicates as pred
 from holdfast.functions import values as val
 from holdfast.operators import activity as act
-from holdfast.operators import assign, features, joins, margins, metrics, model, prepare
-from holdfast.operators import publish, quantiles, ranking, risk, rollup, sampling, targeting
+from holdfast.operators import commit, increments, sketches
+from holdfast.operators import assign, categories, features, joins, margins, metrics, model, prepare
+from holdfast.operators import publish, quantiles, ranking, risk, roc, rollup, sampling, targeting
 from holdfast.session import scratch_path, store
 from holdfast.sources.contacts import distinct_contacts
 from holdfast.sources.feedback import NOTE_COLUMNS, read_feedback
-from holdfast.sources.tables import TableRef, period_slice, read_table
+from holdfast.sources.tables import TableRef, one_month, period_slice, read_table, trailing_months
 from holdfast.spec import KEYS, CodeOverride, Lookup, Remap
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,6 +50,9 @@ TOTALS: dict[str, tuple[str, ...]] = {
     "client_targets": ("potential_win",),
     "topk_opportunities": ("total_value",),
     "target_detail": ("total_value",),
+    "activity_increments": ("monetary_value", "volume"),
+    "sales_12m_increments": ("sales_12m",),
+    "sink_commit": ("monetary_value",),
 }
 
 
@@ -121,6 +127,29 @@ def src_period_slice(m):
     return period_slice(stored, "200107")
 
 
+def _text_orders(m) -> DataFrame:
+    """Orders whose date is text, day first, as one market has it; some with spaces."""
+    date = F.date_format("o_orderdate", "dd/MM/yyyy")
+    spaced = F.when(F.col("o_orderkey") % 3 == 0, F.concat(F.lit(" "), date, F.lit(" ")))
+    rows = m.table("orders").select(
+        "o_orderkey",
+        F.coalesce(spaced, date).alias("day_text"),
+        F.date_format("o_orderdate", "MM/yyyy").alias("month_text"),
+    )
+    return store(rows, "text-orders")
+
+
+@query
+def src_window_text(m):
+    """The window on both kinds of text dates; the source filters either."""
+    orders = _text_orders(m)
+    by_day = trailing_months(orders, "day_text", s.AS_OF, 27, "dd/MM/yyyy", after=True)
+    by_month = trailing_months(orders, "month_text", s.AS_OF, 27, "MM/yyyy")
+    kinds = {"day": by_day, "month": by_month}
+    first, second = (df.withColumn("kind", F.lit(kind)) for kind, df in kinds.items())
+    return first.unionByName(second)
+
+
 # Projections
 
 
@@ -458,6 +487,47 @@ def agg_last_transaction(m):
     return act.reference_period(m.activity, end, 12, 12, "max")
 
 
+MONTHS = ("2001-07-01", "2001-08-01", "2001-09-01")
+
+
+def _by_increments(m, step) -> DataFrame:
+    """``step`` for three successive months: the first after a load of the whole history, each
+    later one after a load of one month's lines and the drop of the oldest month."""
+    parts = increments.MonthlyParts(m.spark, scratch_path(m.spark, "parts"), s.MARKET.measures)
+    orders, rows = m.table("orders"), []
+    for i, as_of in enumerate(MONTHS):
+        if i:
+            new = one_month(orders, "o_orderdate", MONTHS[i - 1])
+        else:
+            window = trailing_months(orders, "o_orderdate", as_of, s.MARKET.windows.history)
+            new = window.where(F.col("o_orderdate") < F.lit(as_of).cast("date"))
+        lines = store(s.lines_of(m.spark, m.folder, new).drop(*s.LINE_ONLY), "lines")
+        parts.load(pred.apply_rules(lines, s.MARKET.scope_rules), lines)
+        parts.drop_before(dt.date.fromisoformat(as_of), s.MARKET.windows.history)
+        found = step(parts, as_of).withColumn("as_of", F.lit(as_of))
+        rows.append(store(found, "increment"))
+    return reduce(DataFrame.unionByName, rows)
+
+
+@query
+def activity_increments(m):
+    return _by_increments(m, lambda parts, as_of: parts.activity(as_of))
+
+
+@query
+def sales_12m_increments(m):
+    return _by_increments(m, lambda parts, as_of: parts.sales_total(as_of))
+
+
+@query
+def last_transaction_increments(m):
+    def last(parts, as_of):
+        activity = parts.activity(as_of)
+        return act.reference_period(activity, act.newest_period(activity), 0, 12, "max")
+
+    return _by_increments(m, last)
+
+
 def production_features(m):
     return _feature_columns(m.features)
 
@@ -574,6 +644,37 @@ def one_hot(m):
     )
 
 
+@query
+def quantile_sketch(m):
+    """Quantiles of a branch's monthly sketches, merged: the exact one, and whether the rank
+    of the sketch's lies within the bound stated."""
+    probs, value = (0.001, 0.25, 0.5, 0.75, 0.999), "monetary_value"
+    rows = m.activity
+    monthly = store(sketches.quantile_sketches(rows, [value], ["branch", "period"]), "sketches")
+    merged = sketches.merge_sketches(monthly, ["branch"])
+    found = store(sketches.sketch_quantiles(merged, probs), "quantiles")
+    exact = quantiles.order_statistics(rows, [value], probs, "branch")
+    known = m.spark.createDataFrame(
+        [(g, p, quantiles.interpolate(*v)) for (g, _, p), v in exact.items()],
+        "branch string, prob double, exact double",
+    )
+    ranked = F.broadcast(found.withColumnRenamed("value", "_q"))  # branches times quantiles
+    ranks = (
+        rows.join(ranked, "branch")
+        .groupBy("branch", "prob", "n")
+        .agg(
+            F.count_if(F.col(value) < F.col("_q")).alias("below"),
+            F.count_if(F.col(value) <= F.col("_q")).alias("upto"),
+        )
+    )
+    wanted, most = F.col("prob") * F.col("n"), sketches.rank_error() * F.col("n") + 1
+    within = (F.col("below") <= wanted + most) & (F.col("upto") >= wanted - most)
+    out = ranks.join(known, ["branch", "prob"]).select(
+        "branch", "prob", "n", "exact", within.alias("within")
+    )
+    return rounded(out, 4, "exact")
+
+
 @query
 def cap_floor(m):
     rows = quantiles.cap_floor(store(m.features, "features"), ["monetary_value", "volume"], 0.999, 0.001)
@@ -743,6 +844,94 @@ def sink_roundtrip(m):
     return read_table(m.spark, TableRef(path, schema=rows.schema))
 
 
+RESULT_TABLES = ("client_list", "product_risk", "risk_view", "history_view", "metrics")
+
+
+@query
+def sink_commit(m):
+    """Five tables after a month that is published, after one that fails behind the third
+    table, and after that month's second try: what readers see each time."""
+    path, rows = scratch_path(m.spark, "published"), store(_monthly_results(m), "results")
+
+    def outputs(period, broken=False):
+        month = rows.where(F.col("period") == period)
+        tables = {name: month.withColumn("kind", F.lit(name)) for name in RESULT_TABLES}
+        if broken:
+            failing = F.when(F.raise_error(F.lit("disk lost")).isNull(), F.col("kind"))
+            tables["history_view"] = tables["history_view"].withColumn("kind", failing)
+        return {
+            name: commit.Output(df, not name.endswith("_view"), name == "metrics")
+            for name, df in tables.items()
+        }
+
+    def seen(state):
+        frames = [
+            commit.read_published(m.spark, path, name).withColumn("table", F.lit(name))
+            for name in RESULT_TABLES
+        ]
+        both = reduce(DataFrame.unionByName, frames).withColumn("state", F.lit(state))
+        return store(
+            both.groupBy("state", "table", "country", "period").agg(
+                F.count(F.lit(1)).alias("rows"),
+                val.exact_sum(F.col("monetary_value")).alias("monetary_value"),
+            ),
+            "seen",
+        )
+
+    commit.publish(m.spark, path, "xx", outputs("200106"))
+    states = [seen("first")]
+    try:
+        commit.publish(m.spark, path, "xx", outputs("200107", broken=True))
+    except Exception as error:  # the engine's own, which wraps the message
+        if "disk lost" not in str(error):
+            raise
+    else:
+        raise AssertionError("the broken table was written")
+    states.append(seen("failed"))
+    commit.publish(m.spark, path, "xx", outputs("200107"))
+    commit.vacuum(m.spark, path, "xx", keep=1)
+    states.append(seen("second"))
+    return reduce(DataFrame.unionByName, states)
+
+
+def _drop_list(df: DataFrame, folder: str, names=None) -> None:
+    """Write a list as the countries hand it in: text, a folder per country."""
+    df = df.withColumns({c: F.col(c).cast("string") for c in ("client_id", "row_no")})
+    (
+        df.select(*(names or ("client_id", "row_no", *NOTE_COLUMNS)), "country")
+        .write.mode("append")
+        .partitionBy("country")
+        .option("header", "true")
+        .option("nullValue", "\\N")
+        .csv(folder)
+    )
+
+
+@query
+def feedback_quarantine(m):
+    """Two loads: in the second one country's file lacks columns, one of another's two files
+    does, and a third has its columns the other way round."""
+    first, second = scratch_path(m.spark, "drop"), scratch_path(m.spark, "drop")
+    target = scratch_path(m.spark, "last")
+    rows = store(m.last_list.withColumnRenamed("branch", "country"), "oldlist")
+    _drop_list(rows.withColumn("Estado", F.lit("old")), first)
+    publish.load_feedback(read_feedback(m.spark, first), target)
+    country = F.col("country")
+    names = ("client_id", "row_no", *NOTE_COLUMNS)
+    few = names[:-2]
+    _drop_list(rows.where(country == "AMERICA"), second, few)
+    _drop_list(rows.where((country == "EUROPE") & (F.col("client_id") % 2 == 0)), second)
+    _drop_list(rows.where((country == "EUROPE") & (F.col("client_id") % 2 == 1)), second, few)
+    _drop_list(rows.where(country == "ASIA"), second, tuple(reversed(names)))
+    _drop_list(rows.where(country.isin("AFRICA", "MIDDLE EAST")), second)
+    publish.load_feedback(read_feedback(m.spark, second), target)
+    ordered = rows.select("client_id", "row_no", *NOTE_COLUMNS, "country")
+    loaded = read_table(m.spark, TableRef(target, schema=ordered.schema))
+    held = m.spark.read.parquet(f"{target}_quarantine")
+    reasons = held.where(F.col("reason").startswith("lacks")).groupBy("country")
+    return loaded.join(reasons.agg(F.min("reason").alias("reason")), "country", "left")
+
+
 @query
 def feedback_load(m):
     folder, target = scratch_path(m.spark, "drop"), scratch_path(m.spark, "last")
@@ -783,11 +972,17 @@ def export_bands(m):
 
 # Model
 
-# The default search but for the number of trees, which only sets how long a fit takes.
-GRID = model.SearchGrid(trees=(4, 6))
+# The default search but for forests of hundreds of trees and, for tables as small as these,
+# smaller samples; both only set how long a search takes.
+GRID = model.SearchGrid(trees=(100, 200, 300), least_rows=64, parallelism=8)
+# No search, for queries that show what comes after it.
+ONE = model.SearchGrid(
+    trees=(300,), depths=(10,), leaf_rows=(1,), bootstrap=(True,), draws=1, folds=2, rungs=1
+)
 
 
-def _calibrated(m):
+def _model_rows(m):
+    """Training rows with their label, and production rows, both with attributes."""
     m.share_raw()
     end = m.end
     attributes = joins.latest_values(
@@ -806,37 +1001,122 @@ def _calibrated(m):
         ),
         "labelled",
     )
+    return both, training
+
+
+def _calibrated(m, grid, label=None):
+    both, training = _model_rows(m)
+    if label:
+        training = label(training)
     encoder = model.fit_encoder(both, s.MARKET.categories)
-    fitted = model.calibrate(encoder, training, grid=GRID)
+    fitted = model.calibrate(encoder, training, grid=grid)
     return fitted, training, both.where(F.col("data_type") == "Production")
 
 
 @query
 def model_calibrate(m):
-    """The draws that were tried, and whether each has an accuracy."""
-    fitted, _, _ = _calibrated(m)
-    tried = m.spark.createDataFrame(fitted.search)
-    return tried.withColumn("in_range", F.col("accuracy").between(0.0, 1.0)).drop("accuracy")
+    """Every draw on every rung with the rows and trees it had there and its accuracy."""
+    fitted, _, _ = _calibrated(m, GRID)
+    return m.spark.createDataFrame(fitted.search)
 
 
 @query
 def model_score(m):
-    fitted, _, production = _calibrated(m)
+    fitted, _, production = _calibrated(m, ONE)
     scored = model.score(fitted, production)
-    in_range = F.col("churn_probability").between(0.0, 1.0).alias("in_range")
-    return scored.select(*KEYS, "frequency", in_range)
+    return scored.select(*KEYS, "frequency", "churn_probability")
 
 
 @query
 def model_metrics(m):
-    fitted, training, _ = _calibrated(m)
-    rows = model.evaluate(fitted, training)
-    counted = F.col("class").isin("0", "1", "macro avg", "weighted avg")
-    rate = val.round_half_even(F.col("precision"), 6)
-    # Rows, a rate that no model decides, and whether the other measures are shares.
-    known = (
-        F.when(counted, F.col("support"))
-        .when(F.col("class") == "Churn Rate", rate)
-        .otherwise(F.col("precision").between(0.0, 1.0).cast("double"))
-    )
-    return rows.select("class", known.alias("known"))
+    fitted, training, _ = _calibrated(m, ONE)
+    return model.evaluate(fitted, training)
+
+
+@query
+def model_samples(m):
+    """The nested samples of the search: the first rung that holds each row, and its fold."""
+    rows = sampling.balance_classes(m.training)
+    train = sampling.split_by_hash(rows).where(F.col("part") == "train")
+    return model.rung_samples(store(train, "balanced"), GRID).select(*KEYS, "target", "fold", "rung")
+
+
+@query
+def model_rungs(m):
+    """What each rung fits: how many draws, and on how many rows."""
+    rows = sampling.balance_classes(m.training)
+    train = store(sampling.split_by_hash(rows).where(F.col("part") == "train"), "balanced")
+    sampled = store(model.rung_samples(train, GRID), "sampled")
+    kept = m.spark.createDataFrame(
+        list(enumerate(GRID.survivors())), "rung int, draws int"
+    )
+    counts = sampled.select(F.col("rung").alias("_first"), "target")
+    return (
+        kept.join(F.broadcast(counts.groupBy("_first").agg(
+            F.count(F.lit(1)).alias("_n"), F.sum("target").alias("_t"))), F.col("_first") <= F.col("rung"))
+        .groupBy("rung", "draws")
+        .agg(F.sum("_n").alias("rows"), F.sum("_t").cast("long").alias("churners"))
+    )
+
+
+def _planted(rows):
+    """A label that the features decide, so that SQL knows what a model must find."""
+    return rows.withColumn("target", (F.col("frequency") >= 5).cast("int"))
+
+
+@query
+def model_learns(m):
+    """The test rows of a search whose label the features decide: label and prediction."""
+    fitted, _, _ = _calibrated(m, GRID, _planted)
+    scored = model.score(model.ChurnModel(fitted.encoder, fitted.held_out), fitted.test)
+    return metrics.with_prediction(scored).select(*KEYS, "frequency", "target", "prediction")
+
+
+@query
+def model_reload(m):
+    """A model fitted and stored, then loaded and used: its predictions, and whether its
+    probabilities are those from before."""
+    rows = store(_planted(m.training_features.where(F.col("frequency") > 3)), "planted")
+    encoder = model.fit_encoder(rows, ["branch", "product"])
+    params = dict(numTrees=200, maxDepth=10, minInstancesPerNode=1, bootstrap=True)
+    fitted = model.fit_forest(encoder, rows, params)
+    path = scratch_path(m.spark, "model")
+    model.save_model(fitted, path)
+    before = model.score(fitted, rows).select(*KEYS, F.col("churn_probability").alias("before"))
+    after = metrics.with_prediction(model.score(model.load_model(path), rows))
+    same = F.abs(F.col("churn_probability") - F.col("before")) < 1e-12
+    return joins.join_back(after, before, list(KEYS), "inner").select(
+        *KEYS, "frequency", "prediction", same.alias("same")
+    )
+
+
+@query
+def category_codes(m):
+    """Codes of a few and of many values; rare ones share a code, as does null."""
+    columns = ["product", "segment", "client_name"]
+    m.share_raw()
+    dictionary = store(categories.category_dictionary(m.raw, columns, 20, 60), "dictionary")
+    sizes = categories.dictionary_sizes(dictionary, columns)
+    coded = categories.encode_categories(m.raw, dictionary, sizes)
+    return coded.groupBy(*columns).agg(
+        F.count(F.lit(1)).alias("lines"),
+        *[F.max(categories.code_name(c)).cast("long").alias(f"{c}_code") for c in columns],
+    )
+
+
+@query
+def category_dictionary(m):
+    return categories.category_dictionary(m.raw, ["product", "client_name"], 20, 60)
+
+
+@query
+def mid_ranks(m):
+    rows = m.training.withColumn("churn_probability", s.synthetic_probability())
+    return roc.mid_ranks(rows, "churn_probability").select(*KEYS, "churn_probability", "mid_rank")
+
+
+@query
+def score_auc(m):
+    rows = m.training.withColumn("churn_probability", s.synthetic_probability())
+    found = roc.roc_auc(rows, "churn_probability")
+    return found.withColumn("auc", val.round_half_even(F.col("auc"), 9))

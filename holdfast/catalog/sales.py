@@ -77,6 +77,11 @@ def sales_lines(spark: SparkSession, folder: str, months: int | None = None) ->
     orders = table(spark, folder, "orders")
     if months:
         orders = trailing_months(orders, "o_orderdate", AS_OF, months)
+    return lines_of(spark, folder, orders)
+
+
+def lines_of(spark: SparkSession, folder: str, orders: DataFrame) -> DataFrame:
+    """The invoice lines of some orders."""
     c = F.col
     # Small tables are joined to each other and to the orders first, so the lines, the
     # largest table, take part in as few exchanges as possible.

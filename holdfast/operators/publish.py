@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from holdfast.functions.predicates import apply_rules, in_previous_month
 from holdfast.functions.values import round_half_even
 from holdfast.operators.joins import join_back
-from holdfast.sources.feedback import split_feedback
+from holdfast.sources.feedback import Feedback, split_feedback
 from holdfast.spec import Rule
 
 PARTITIONS = ("country", "period")
@@ -35,18 +35,6 @@ def write_result(
     writer.parquet(path)
 
 
-def replace_country(df: DataFrame, path: str, country: str) -> None:
-    """Write a country's rows in place of all its months."""
-    (
-        df.drop("country")
-        .hint("rebalance", "period")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "static")
-        .partitionBy("period")
-        .parquet(f"{path}/country={country}")
-    )
-
-
 def write_jdbc(df: DataFrame, table: str, options: Mapping[str, str], mode: str = "append") -> None:
     """Append to or replace a database table; connection options come from the caller."""
     save_mode = {"append": "append", "replace": "overwrite"}[mode]
@@ -74,10 +62,15 @@ def history_view(
     return apply_rules(sales, rules).where(in_previous_month(F.col(date), as_of))
 
 
-def load_feedback(feedback: DataFrame, path: str) -> DataFrame:
-    """Replace each present country's last list by its edited one; returns rejected rows."""
-    good, bad = split_feedback(feedback)
+def load_feedback(feedback: Feedback, path: str) -> DataFrame:
+    """Replace each present country's last list by its edited one; returns rejected rows.
+
+    The files held back, with their reasons, take the place of the last load's in the table
+    beside the lists, ``path`` and ``_quarantine``.  Their countries keep the list they have.
+    """
+    good, bad = split_feedback(feedback.rows)
     write_result(good, path, "replace", ("country",))
+    feedback.quarantine.coalesce(1).write.mode("overwrite").parquet(f"{path}_quarantine")
     return bad
 
 

@@ -13,6 +13,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from holdfast.operators.sketches import sketch_quantiles
+
 # Buckets per factor e of the value; amounts below 1e12 fill at most about 230,000 buckets.
 _PER_FACTOR = 4096
 
@@ -104,17 +106,39 @@ def interpolate(low, high, fraction):
     return low + (high - low) * fraction
 
 
+Statistics = dict[tuple[str, str, float], tuple[float, float, float]]
+
+
+def sketched_statistics(sketches: DataFrame, probs: Sequence[float], by: str | None = None) -> Statistics:
+    """As ``order_statistics``, from merged sketches (``operators.sketches``): approximate, and
+    without a look at any row."""
+    found = sketch_quantiles(sketches, probs).collect()
+    return {
+        ((r[by] or "") if by else "", r["column"], r["prob"]): (r["value"], r["value"], 0.0)
+        for r in found
+    }
+
+
 def cap_floor(
-    df: DataFrame, columns: Sequence[str], cap: float, floor: float, by: str | None = None
+    df: DataFrame,
+    columns: Sequence[str],
+    cap: float,
+    floor: float,
+    by: str | None = None,
+    sketches: DataFrame | None = None,
 ) -> DataFrame:
     """Cap columns at their upper quantile, then raise them to the lower quantile of the
     capped column; nulls stay null.
 
     Capping never changes the order of values, so the capped column's lower quantile lies
     between the same two neighbours, each capped.  One search thus serves both limits, which
-    are then constants in a projection.
+    are then constants in a projection.  With ``sketches`` of the groups ``by`` (text) the
+    limits are those sketches' quantiles.
     """
-    found = order_statistics(df, columns, [cap, floor], by)
+    if sketches is None:
+        found = order_statistics(df, columns, [cap, floor], by)
+    else:
+        found = sketched_statistics(sketches, [cap, floor], by)
     changes = {}
     for column in columns:
         value = result = F.col(column)

@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from holdfast.operators.commit import read_published
 from holdfast.operators.publish import export_tables, load_feedback
 from holdfast.operators.rollup import band_clients
 from holdfast.sources.feedback import read_feedback
@@ -19,9 +20,10 @@ BY_CLIENT = ("pe",)
 
 
 def _results(spark: SparkSession, root: str, name: str, period: str) -> DataFrame:
-    # Partition folders are text; markets' lists differ in their further columns.
-    stored = spark.read.option("mergeSchema", "true").parquet(f"{root}/{name}")
-    stored = stored.withColumn("period", F.col("period").cast("string"))
+    # Of one commit per market; markets' lists differ in their further columns.
+    stored = read_published(spark, root, name)
+    if stored is None:
+        raise ValueError(f"nothing is published under {root}")
     return period_slice(stored, period)
 
 
@@ -63,6 +65,11 @@ def reload_lists(spark: SparkSession, drop_folder: str, target: str) -> DataFram
     return load_feedback(read_feedback(spark, drop_folder), target)
 
 
+def quarantined(spark: SparkSession, target: str) -> DataFrame:
+    """Files that the last load held back, with the reasons."""
+    return spark.read.parquet(f"{target}_quarantine")
+
+
 def last_list(spark: SparkSession, target: str, country: str) -> DataFrame:
     """One country's edited list, for the next run's carry-over."""
     return spark.read.parquet(target).where(F.col("country") == country).drop("country")

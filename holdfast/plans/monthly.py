@@ -6,12 +6,15 @@ import datetime as dt
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field, replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from holdfast.operators import assign, model, publish
+from holdfast.operators import assign, model
+from holdfast.operators import publish as views
 from holdfast.operators.activity import monthly_activity, newest_period, sales_total
+from holdfast.operators.commit import Output, publish
 from holdfast.operators.features import attach_label, features_for_cuts, label_window
+from holdfast.operators.increments import MonthlyParts
 from holdfast.operators.joins import join_back, latest_values, lookup
 from holdfast.operators.margins import join_margin, unpivot_margin
 from holdfast.operators.prepare import prepare_sales, scope_sales, set_flags
@@ -221,13 +224,13 @@ def build_risk_view(
         taken = {c for _, cols in spec.views for c in cols}
         attributes = _attributes(spec, raw, scoped)
         extras.append(attributes.drop(*taken))
-    return publish.risk_view(risk.drop("total_value"), *extras)
+    return views.risk_view(risk.drop("total_value"), *extras)
 
 
 def build_history_view(
     spec: MarketSpec, raw: DataFrame, scoped: DataFrame, inputs: Inputs, as_of: dt.date
 ) -> DataFrame:
-    df = publish.history_view(raw, as_of, spec.history_date, spec.history_rules)
+    df = views.history_view(raw, as_of, spec.history_date, spec.history_rules)
     for item in spec.lookups:
         if item.table in spec.history_lookups:
             df = lookup(df, inputs.tables[item.table], item)
@@ -300,15 +303,28 @@ def _run_month(spec: MarketSpec, inputs: Inputs, as_of: dt.date, scorer: Scorer)
     )
 
 
-def publish_month(spec: MarketSpec, results: Results, root: str) -> None:
-    """Write the result tables by country and month; a rerun replaces that month's rows only.
+def publish_month(spec: MarketSpec, results: Results, root: str) -> int:
+    """Publish the result tables by country and month in one commit, see ``operators.commit``;
+    a rerun replaces that month's rows only.  Read them with ``read_published``.
 
     The views carry the market's own columns, so each market has its own folder for them.
     """
-    for name, df in results.tables().items():
-        own = name.endswith("_view")
-        path = f"{root}/{name}/{spec.code}" if own else f"{root}/{name}"
-        if name in spec.newest_only:
-            publish.replace_country(df, path, spec.code)
-        else:
-            publish.write_result(df, path)
+    tables = {
+        name: Output(df, not name.endswith("_view"), name in spec.newest_only)
+        for name, df in results.tables().items()
+    }
+    return publish(results.client_list.sparkSession, root, spec.code, tables)
+
+
+def load_parts(spec: MarketSpec, inputs: Inputs, parts: MonthlyParts, lines: DataFrame) -> None:
+    """Take whole months of a market's raw lines into its monthly sums."""
+    raw = store(prepare_sales(lines, spec, inputs.tables), "lines")
+    scoped = scope_sales(raw, spec, inputs.tables)
+    parts.load(scoped, scoped if spec.sales_total_scoped else raw)
+
+
+def market_parts(spec: MarketSpec, spark: SparkSession, root: str) -> MonthlyParts:
+    """A market's monthly sums under ``root``."""
+    return MonthlyParts(
+        spark, f"{root}/{spec.code}", spec.measures, spec.sales_total_rules, spec.list_branch
+    )

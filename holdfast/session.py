@@ -60,6 +60,29 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/holdfast-{name}-{uuid.uuid4().hex[:12]}"
 
 
+def _file_system(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    place, files = _file_system(spark, path)
+    return files.exists(place)
+
+
+def list_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder, in order; none if there is no such folder."""
+    place, files = _file_system(spark, path)
+    if not files.exists(place):
+        return []
+    return sorted(s.getPath().getName() for s in files.listStatus(place) if s.isDirectory())
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    place, files = _file_system(spark, path)
+    files.delete(place, True)
+
+
 _stored: list[str] = []
 _owner: ContextVar[list[str]] = ContextVar("owner", default=_stored)
 
@@ -89,10 +112,8 @@ def store(df: DataFrame, name: str) -> DataFrame:
 def release_stored(spark: SparkSession, paths: list[str] | None = None) -> int:
     """Delete one run's tables, or without ``paths`` those that no run owns, once nothing
     that reads them is needed any more; returns how many there were."""
-    hadoop = spark._jvm.org.apache.hadoop
     paths = _stored if paths is None else paths
     count = len(paths)
     while paths:
-        path = hadoop.fs.Path(paths.pop())
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        delete_path(spark, paths.pop())
     return count

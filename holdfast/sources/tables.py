@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Mapping
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,10 +56,31 @@ def window_start(as_of, months: int = 27) -> Column:
     return F.add_months(F.trunc(F.lit(as_of).cast("date"), "month"), -months)
 
 
+def month_marks(start: dt.date) -> list[str]:
+    """Texts of which every ``dd/MM/yyyy`` or ``MM/yyyy`` date from the month of ``start`` on
+    holds one, and no earlier date any.
+
+    The months left of that year are listed.  Later years differ from it in one digit first,
+    which is higher: the digits up to there, behind a slash, stand for all of them, so the
+    list is short and has no end date.
+    """
+    year = f"{start.year:04d}"
+    marks = [f"{month:02d}/{year}" for month in range(start.month, 13)]
+    for place in reversed(range(4)):
+        marks += [f"/{year[:place]}{digit}" for digit in range(int(year[place]) + 1, 10)]
+    return marks
+
+
+def _window_start(as_of: dt.date | str, months: int) -> dt.date:
+    day = dt.date.fromisoformat(as_of) if isinstance(as_of, str) else as_of
+    count = day.year * 12 + day.month - 1 - months
+    return dt.date(count // 12, count % 12 + 1, 1)
+
+
 def trailing_months(
     df: DataFrame,
     date_column: str,
-    as_of,
+    as_of: dt.date | str,
     months: int = 27,
     pattern: str | None = None,
     after: bool = False,
@@ -65,8 +88,10 @@ def trailing_months(
     """Rows from the last ``months`` months, with ``after`` less the first day of them.
 
     A native date column is compared bare, and a day key of pattern ``yyyyMMdd`` as a
-    number, so both reach the source's own filter.  Other text dates have no such order
-    and are parsed first.
+    number, so both reach the source's own filter.  Text of pattern ``dd/MM/yyyy`` or
+    ``MM/yyyy`` has no such order; the source is asked for the texts that hold one of the
+    window's ``month_marks``, and only what it returns is parsed.  Other text dates are
+    parsed first.
     """
     start = F.date_add(window_start(as_of, months), 1 if after else 0)
     column = F.col(date_column)
@@ -74,9 +99,18 @@ def trailing_months(
         return df.where(column >= start)
     if pattern == "yyyyMMdd":
         return df.where(column >= F.date_format(start, pattern).cast("int"))
+    if pattern in ("dd/MM/yyyy", "MM/yyyy"):
+        marks = [column.contains(m) for m in month_marks(_window_start(as_of, months))]
+        df = df.where(reduce(lambda a, b: a | b, marks))
     return df.where(F.to_date(F.trim(column), pattern) >= start)
 
 
+def one_month(df: DataFrame, date_column: str, month: dt.date | str) -> DataFrame:
+    """Rows of a native date column's month, by two bare comparisons that reach the source."""
+    first, column = F.trunc(F.lit(month).cast("date"), "month"), F.col(date_column)
+    return df.where((column >= first) & (column < F.add_months(first, 1)))
+
+
 def period_slice(
     df: DataFrame, period: str, period_column: str = "period", countries: list[str] | None = None
 ) -> DataFrame:
