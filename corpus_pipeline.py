@@ -9,8 +9,8 @@ from holdfast.llm.packing import pack_documents
 from holdfast.llm.quality import keep_good
 from holdfast.llm.rows import documents
 from holdfast.llm.secrets import redact_documents
-from holdfast.llm.simhash import drop_similar
-from holdfast.session import store
+from holdfast.llm.simhash import drop_near_duplicates
+from holdfast.session import hand_over, owned_tables, release_stored, store
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -19,9 +19,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, that with the smallest id: five-word shingles,
-    Jaccard similarity of 0.8 or more, which fingerprints a few bits apart do not find."""
-    return drop_similar(docs)
+    """One document of each group of near copies, that with the smallest id: fingerprints of
+    three-word shingles, linked at three or fewer differing bits."""
+    return drop_near_duplicates(docs)
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,8 +52,18 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each result is stored and read again by the next."""
-    docs = documents(spark, sf_dir)
+    """All stages over ``documents``; each result is stored and read again by the next.
+
+    What a stage stores for itself goes when its result is stored, and that result when the
+    next one is, so the disk holds one stage's tables at a time.
+    """
+    docs, before = documents(spark, sf_dir), []
     for name, stage in STAGES[:-1]:
-        docs = store(stage(spark, docs, sf_dir), name)
+        with owned_tables() as inner:
+            plan = stage(spark, docs, sf_dir)
+        with owned_tables() as result:
+            docs = store(plan, name)
+        release_stored(spark, inner + before)
+        before = result
+    hand_over(before)  # the last stage's plan reads it
     return STAGES[-1][1](spark, docs, sf_dir)
