@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from holdfast.llm import shingles
 from holdfast.llm.batches import annotate, by_runs, column, expand, free_name
 from holdfast.llm.groups import blocks_of, components, roots
 from holdfast.llm.rows import documents
@@ -201,20 +200,10 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     documents have no id at all, one stays too.
     """
     found, by_value = _classified(docs, "text", "doc_id", DISTANCE)
-    return _one_of_each(docs, found, by_value, fingerprints)
+    return _one_of_each(docs, found, by_value)
 
 
-def drop_similar(docs: DataFrame) -> DataFrame:
-    """As ``drop_near_duplicates``, with links between texts whose sets of five-word shingles
-    have a Jaccard similarity of 0.8 or more in place of those between fingerprints."""
-    found = shingles.banded(docs, carry=["doc_id"], result="set")
-    found = store(found.select("doc_id", "set.*"), "sets-banded")
-    classes = store(found.groupBy("value").agg(F.min("doc_id").alias("first_id")), "classes")
-    by_value = _components_of(classes, shingles.linked_sets(docs, found, "text"))
-    return _one_of_each(docs, found.select("doc_id", "value"), by_value, shingles.set_values)
-
-
-def _one_of_each(docs: DataFrame, found: DataFrame, by_value: DataFrame, prints) -> DataFrame:
+def _one_of_each(docs: DataFrame, found: DataFrame, by_value: DataFrame) -> DataFrame:
     ids = found.join(by_value, "value").groupBy("doc_id")
     ids = ids.agg(F.count(F.lit(1)).alias("n"), F.min("component_id").alias("component_id"))
     # The ids that go, or need a second look, are fewer than those that stay.
@@ -226,7 +215,7 @@ def _one_of_each(docs: DataFrame, found: DataFrame, by_value: DataFrame, prints)
     once = docs.where(column("doc_id").isNotNull()).join(others, same, "left_anti")
     again = docs.join(ids.where(stays).select(F.col("doc_id").alias("_id")), same, "left_semi")
     again = again.withColumn(mark, column("doc_id")).dropDuplicates([mark])
-    nameless = prints(
+    nameless = fingerprints(
         docs.where(column("doc_id").isNull()), carry=docs.columns, result=name
     ).withColumn(mark, column(name)["value"])
     alone = by_value.where("component_id IS NULL").select(

@@ -352,46 +352,14 @@ def test_simhash_against_brute_force(spark):
     assert simhash.drop_near_duplicates(empty(spark)).count() == 0
 
 
-def brute_shingles(text):
-    words = [w.lower() for w in WORD.findall(text or "")]
-    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
-
-
-def similar_kept(source):
-    """Smallest id of each component of five-word Jaccard similarity 0.8 or more."""
-    sets = [brute_shingles(r[1]) for r in source]
-    label = list(range(len(source)))
-    for i in range(len(source)):
-        for j in range(i):
-            both, either = len(sets[i] & sets[j]), len(sets[i] | sets[j])
-            if label[i] != label[j] and 5 * both >= 4 * either:
-                label = [label[j] if x == label[i] else x for x in label]
+def simhash_kept(source):
+    """Smallest id of each component of fingerprints at most 3 bits apart."""
     ids = defaultdict(list)
-    for r, x in zip(source, label):
+    for r, x in zip(source, brute_components([brute_print(r[1]) for r in source])):
         ids[x] += [r[0]] if r[0] is not None else []
     return {min(v, default=None) for v in ids.values()}
 
 
-def test_similar_documents_against_brute_force(spark):
-    rng = random.Random(12)
-    source = [r for r in rows() if r[0] != 6]
-    for n in range(40):  # copies with 1 to 6 of 150 words replaced: similarity 0.67 to 0.94
-        words = prose(100 + n, 150).split()
-        source.append((1000 + 2 * n, " ".join(words), *source[0][2:]))
-        for at in rng.sample(range(8, 142), 1 + n % 6):
-            words[at] = "other"
-        source.append((1001 + 2 * n, " ".join(words), *source[0][2:]))
-    want = similar_kept(source)
-    kept = simhash.drop_similar(spark.createDataFrame(source, SCHEMA))
-    assert kept.columns == SCHEMA.names
-    ids = [r.doc_id for r in kept.collect()]
-    assert set(ids) == want and len(ids) == len(want)
-    assert 40 < len([i for i in ids if i is not None and i >= 1000]) < 80
-    by_prints = simhash.drop_near_duplicates(spark.createDataFrame(source, SCHEMA))
-    assert by_prints.count() > len(ids)  # fingerprints miss most of them
-    assert simhash.drop_similar(empty(spark)).count() == 0
-
-
 def test_anchors_meet_all_close_fingerprints(spark):
     rng = random.Random(8)
     centres = [rng.getrandbits(64) for _ in range(60)] + [0, (1 << 64) - 1]

@@ -329,7 +329,7 @@ def test_pipeline_on_awkward_rows(spark):
 def test_pipeline_against_a_brute_force_chain(spark, tmp_path):
     from holdfast.llm.mixing import BLOCK_WORDS, mix
     from holdfast.session import store
-    from tests.llm.test_documents import brute_quality, similar_kept
+    from tests.llm.test_documents import brute_quality, simhash_kept
 
     rng, key, rest = random.Random(21), "q7Zr2Xw9Lk4Vb8Nt3Ms6Pd1Hf5", ("en",)
     source = []
@@ -349,7 +349,7 @@ def test_pipeline_against_a_brute_force_chain(spark, tmp_path):
     frame.write.parquet(f"{tmp_path}/documents.parquet")
 
     good = [r for r in source if not brute_quality(r[1])[-1]]
-    kept = similar_kept(good)
+    kept = simhash_kept(good)
     assert 60 < len(kept) < len(good) < len(source)
     want = {r[0]: r[1].replace(f"token={key}", "token=[secret]") for r in good if r[0] in kept}
     docs_ = frame
