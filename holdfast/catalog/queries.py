@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -975,6 +976,7 @@ def export_bands(m):
 # The default search but for forests of hundreds of trees and, for tables as small as these,
 # smaller samples; both only set how long a search takes.
 GRID = model.SearchGrid(trees=(100, 200, 300), least_rows=64, parallelism=8)
+FEW = replace(GRID, draws=6, folds=3)
 # No search, for queries that show what comes after it.
 ONE = model.SearchGrid(
     trees=(300,), depths=(10,), leaf_rows=(1,), bootstrap=(True,), draws=1, folds=2, rungs=1
@@ -1067,7 +1069,7 @@ def _planted(rows):
 @query
 def model_learns(m):
     """The test rows of a search whose label the features decide: label and prediction."""
-    fitted, _, _ = _calibrated(m, GRID, _planted)
+    fitted, _, _ = _calibrated(m, FEW, _planted)
     scored = model.score(model.ChurnModel(fitted.encoder, fitted.held_out), fitted.test)
     return metrics.with_prediction(scored).select(*KEYS, "frequency", "target", "prediction")
 

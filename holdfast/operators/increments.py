@@ -64,7 +64,8 @@ class MonthlyParts:
         )
         counted = apply_rules(counted, self.total_rules).where(F.col("period").isNotNull())
         branch = F.col(self.total_branch).alias("branch")
-        totals = counted.groupBy("client_id", branch, "period").agg(
+        sold = F.trunc("sale_date", "month").cast("date").alias("sold")
+        totals = counted.groupBy("client_id", branch, "period", sold).agg(
             *_sum_columns("amount", "sales_12m")
         )
         for name, parts in (("activity", activity), ("totals", totals)):
@@ -122,7 +123,7 @@ class MonthlyParts:
         start = F.add_months(newest_period(parts), -(months - 1))
         return (
             parts.na.drop(subset=["client_id", "branch"])
-            .where((F.col("month") >= period_text(start)) & (F.col("period") >= start))
+            .where(F.col("sold") >= start)
             .groupBy("client_id", "branch")
             .agg(_merged("sales_12m"))
         )

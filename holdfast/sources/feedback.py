@@ -95,7 +95,9 @@ def read_feedback(spark: SparkSession, folder: str) -> Feedback:
         (r["country"], unquote(r["file"]), r["header"])
         for r in first_lines(spark, folder).collect()
     ]
-    empty = {unquote(f) for f in spark.read.text(folder).inputFiles()} - {f for _, f, _ in files}
+    seen = {_plain(file) for _, file, _ in files}
+    given = [unquote(f) for f in spark.read.text(folder).inputFiles()]
+    empty = [file for file in given if _plain(file) not in seen]
     faults = {file: header_fault(header_names(header)) for _, file, header in files}
     held = {country: fault for country, file, _ in sorted(files) if (fault := faults[file])}
     quarantine = [
@@ -127,6 +129,12 @@ def read_feedback(spark: SparkSession, folder: str) -> Feedback:
     )
 
 
+def _plain(path: str) -> str:
+    """A path's two spellings, with one slash after the scheme and with more, as one."""
+    scheme, _, rest = path.partition(":")
+    return f"{scheme}:/{rest.lstrip('/')}"
+
+
 def _schema(names: Sequence[str]) -> StructType:
     return StructType([StructField(c, StringType()) for c in (*names, "_corrupt_record", "country")])
 

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from holdfast.catalog.sales import synthetic_probability
 from holdfast.operators.model import SearchGrid
-from holdfast.plans.lists import export_month, last_list, reload_lists
+from holdfast.operators.commit import read_published
+from holdfast.plans.lists import export_month, last_list, quarantined, reload_lists
 from holdfast.plans.markets import MARKETS
 from holdfast.plans.monthly import (
     Inputs,
@@ -260,7 +261,7 @@ def test_publish_export_and_reload(spark, results, tmp_path):
     for code in ("ar", "pe"):
         for _ in range(2):
             publish_month(MARKETS[code], results[code], root)
-    stored = spark.read.option("mergeSchema", "true").parquet(f"{root}/client_list")
+    stored = read_published(spark, root, "client_list")
     want = results["ar"].client_list.count() + results["pe"].client_list.count()
     assert stored.count() == want
     export_month(spark, root, out, "202408")
@@ -289,8 +290,9 @@ def test_publish_export_and_reload(spark, results, tmp_path):
     mine = rows.client_id == int(chosen)
     assert set(rows[mine].observaciones) == {"dos, tres"} and set(rows[~mine].Estado) == {""}
     (edited / "list.csv").write_text("client_id,Estado\n1,x\n")
-    with pytest.raises(ValueError, match="row_no"):
-        reload_lists(spark, str(tmp_path / "edited"), str(tmp_path / "back"))
+    assert reload_lists(spark, str(tmp_path / "edited"), str(tmp_path / "back")).count() == 0
+    assert "row_no" in quarantined(spark, str(tmp_path / "back")).first()["reason"]
+    assert last_list(spark, str(tmp_path / "back"), "ar").count() == len(exported)  # as it was
 
     # An edited list comes back: a good row, a bad line, and another country untouched by it.
     client = results["ar"].client_list.first()["client_id"]
@@ -315,7 +317,7 @@ def _with(inputs, old):
 
 def test_forest_run_and_reuse(spark, tmp_path):
     spec, path = MARKETS["bo"], str(tmp_path / "model")
-    grid = SearchGrid(trees=(10,), depths=(4, 6), leaf_rows=(1,), draws=2, folds=2)
+    grid = SearchGrid(trees=(10,), depths=(4, 6), leaf_rows=(1,), draws=2, folds=2, rungs=2)
     inputs = bolivia(spark)
     found = run_month(spec, inputs, AS_OF, forest_scorer(spec, grid, path))
     report = found.metrics.toPandas()
