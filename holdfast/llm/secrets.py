@@ -31,6 +31,7 @@ CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % LEAST_RANDOM)
 _UUID = re.compile(r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
 _ALL_HEX = re.compile(r"[0-9a-fA-F]+")
 _PART = re.compile(r"[+/_=-]+")
+_BETWEEN = re.compile(r"[^+/_=-]+")
 _NAME = re.compile(r"[A-Za-z]+[0-9]{0,4}|[0-9]+")  # one way to match: time in proportion
 _HUMP = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
 PLACEHOLDER = "[secret]"
@@ -92,6 +93,54 @@ def is_random(candidate: str, coder, most: float = MOST_CHARS_PER_TOKEN) -> bool
     return not is_identifier(candidate, coder, most)
 
 
+LEAST_PLAIN = 4  # letters or digits of a part that parts a string
+PLAIN_CHARS_PER_TOKEN = 3.0  # in which the vocabulary spells such a part at least
+MOST_PLAIN = 0.15  # share of them in a string that is random as a whole
+
+
+def random_spans(
+    text: str, start: int, end: int, coder, most: float = MOST_CHARS_PER_TOKEN
+) -> list[tuple[int, int]]:
+    """What is random of a string of token characters.
+
+    A string is cut at its joiners.  Parts that are words, numbers or digests are plain, and
+    part the string into runs, of which each is tested, without the short names at its ends.
+    Where plain parts are few, as chance makes them in a key, the whole is tested first.
+    """
+    if end - start < LEAST_RANDOM:
+        return []
+    digests = [m.span() for m in _UUID.finditer(text, start, end)]
+    parts = []  # start, end, plain, short name
+    for m in _BETWEEN.finditer(text, start, end):
+        part = m.group()
+        plain = any(s <= m.start() < e for s, e in digests) or is_digest(part)
+        name = not plain and len(part) > 2 and is_identifier(part, coder, PLAIN_CHARS_PER_TOKEN)
+        plain |= name and len(part) >= LEAST_PLAIN
+        parts.append((*m.span(), plain, name and not plain))
+    told = sum(e - s for s, e, plain, _ in parts if plain)
+    named = any(parts[i][2] or parts[i][3] for i in (0, -1)) if parts else True
+    if not named and told <= MOST_PLAIN * (end - start):
+        if is_random(text[start:end], coder, most):
+            return [(start, end)]
+    spans, run = [], []
+    for part in [*parts, (end, end, True, False)]:
+        if not part[2]:
+            run.append(part)
+            continue
+        while run and run[0][3]:
+            run.pop(0)
+        while run and run[-1][3]:
+            run.pop()
+        if run:
+            low, high = run[0][0], run[-1][1]
+            while high < end and text[high] == "=":  # the padding belongs to it
+                high += 1
+            if high - low >= LEAST_RANDOM and is_random(text[low:high], coder, most):
+                spans.append((low, high))
+        run = []
+    return spans
+
+
 def _until(spans: list[tuple[int, int]], at: int, end: int) -> Iterator[tuple[int, int]]:
     while at < len(spans) and spans[at][0] < end:
         yield spans[at]
@@ -119,8 +168,7 @@ def spans_of(text: str, coder, most: float = MOST_CHARS_PER_TOKEN) -> list[tuple
         while at < len(base) and base[at][1] <= start:
             at += 1
         for s, e in [*_until(base, at, end), (end, end)]:
-            if s - start >= LEAST_RANDOM and is_random(text[start:s], coder, most):
-                found.append((start, 3, s, start))
+            found += [(a, 3, b, a) for a, b in random_spans(text, start, s, coder, most)]
             start = max(start, e)
     found.sort()
     return found
@@ -173,7 +221,7 @@ def scan(
     Strings of 20 or more token characters that are no digest or identifier count as random
     if the vocabulary spells them in tokens of at most 2.2 characters on average; they add
     to the base spans and never overlap them: base spans are cut out, and what is left of a
-    string is tested part by part.  Null and empty texts have no spans.  Rows are
+    string is tested whole and, where words are joined to it, run by run (``random_spans``).  Null and empty texts have no spans.  Rows are
     scanned alone and whole: repeated rows repeat, an empty table gives an empty one, other
     columns are not read.
     """
