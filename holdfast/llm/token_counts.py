@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import array
+import bisect
 import functools
+import unicodedata
 from collections.abc import Sequence
 
 import numpy as np
@@ -124,15 +126,27 @@ class PrefixCounter:
             else:
                 spans.append([start, end, 1, 0, word])
         counts = np.zeros(len(text) + 1, np.int64)
-        done = total = 0
-        for n, (start, end, tokens, is_special, _) in enumerate(spans):
+        done = total = n = 0
+        before = (0, -1, 1)  # start, end and kind of the stretch before
+        starts = {0}
+        while n < len(spans):
+            start, end, tokens, is_special, _ = spans[n]
+            first = n
+            # Where a letter grows in lower case, its mark may begin the next word: the two
+            # share a place, and a cut there changes the word before as well.
+            while n + 1 < len(spans) and spans[n + 1][0] < end:
+                n += 1
+                end, tokens = max(end, spans[n][1]), tokens + spans[n][2]
+                is_special |= spans[n][3]
+            shared = n > first
+            n += 1
             start = max(start, done)
             counts[done : start + 1] = total
             piece = text[start:end]
             lower = piece.lower()
-            if is_special:
-                near = n > 0 and spans[n - 1][1] == start and not spans[n - 1][3]
-                base_start = spans[n - 1][0] if near else start
+            if is_special or shared:
+                near = before[1] == start and not before[2]
+                base_start = before[0] if near else start
                 base = int(counts[base_start])
                 for k in range(start + 1, end):
                     counts[k] = base + len(self.coder.whole(text[base_start:k]))
@@ -146,9 +160,33 @@ class PrefixCounter:
             total += tokens
             counts[end] = total
             done = end
+            before = (start, end, is_special)
+            starts.add(start)
         counts[done:] = total
+        self._mend(text, counts, sorted(starts), spans)
         return counts
 
+    def _mend(
+        self, text: str, counts: np.ndarray, starts: list[int], spans: list[list[int]]
+    ) -> None:
+        """Count anew in words with a mark, or a letter that grows in lower case, and beside
+        them, where a cut changes what is before it: from the start of the word before, or of
+        one further back whose start no such cut can change."""
+        loose = [unicodedata.category(c)[0] == "M" or len(c.lower()) > 1 for c in text]
+        if not any(loose):
+            return
+        for start, end, *_ in spans:
+            if any(loose[start:end]):
+                loose[start:end] = [True] * (end - start)
+        for k in range(1, len(text)):
+            if not (loose[k - 1] or loose[k]):
+                continue
+            at = max(0, bisect.bisect_left(starts, k) - 2)
+            while at and (loose[starts[at]] or loose[starts[at] - 1]):
+                at -= 1
+            base = starts[at]
+            counts[k] = counts[base] + len(self.coder.whole(text[base:k]))
+
 
 class _Pieces(dict):
     """Counts of the prefixes of a word with the white space before it, packed."""
