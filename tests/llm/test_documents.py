@@ -53,6 +53,19 @@ def test_counts_at_every_prefix(library):
             assert counts[k] == want, (text, k)
 
 
+def test_counts_at_prefixes_with_growing_letters(library):
+    """Letters that grow in lower case, marks of their own, and special tokens beside them."""
+    counter, rng = token_counts.PrefixCounter(), random.Random(3)
+    parts = ["İ", "İ", "a", "B", ".", ",", "!?", "<|", "x", " ", "é", "'", "s", "1", "\u0307", "ΑΣ"]
+    parts += ["ẞ", "ŉ", "ǰ", "ﬁ", "<|endoftext|>", "हिन्दी", "ไทย"]
+    for _ in range(1200):
+        text = "".join(rng.choice(parts) for _ in range(rng.randint(1, 9)))
+        counts = counter.counts(text)
+        for k in range(len(text) + 1):
+            want = len(library.encode(text[:k], add_special_tokens=False).ids)
+            assert counts[k] == want, (text, k)
+
+
 def test_words_merge_as_in_the_library(library):
     counter = token_counts.PrefixCounter()
     rng = random.Random(7)
@@ -181,6 +194,8 @@ def test_quality_against_brute_force(spark):
         (20, prose(11, 60) + f"\n{line}\n{line}\n", "en", "a", 1, *["x"] * 16),
         (21, "\n".join([prose(12, 20)] * 9), "en", "a", 1, *["x"] * 16),
         (22, " ".join(f"w{i}%%%" for i in range(80)), "en", "a", 1, *["x"] * 16),
+        (23, f"{prose(13, 75)} {prose(14, 55)} {prose(15, 75)} {prose(14, 55)}", "en", "a", 1, *["x"] * 16),
+        (24, prose(16, 80) + f"\n{line} {line[::-1]}" * 3, "en", "a", 1, *["x"] * 16),
     ]
     frame = docs(spark).unionByName(spark.createDataFrame(more, SCHEMA))
     got = quality.assess(frame).select("doc_id", "quality.*").collect()
@@ -194,8 +209,19 @@ def test_quality_against_brute_force(spark):
     assert by_id[20].line_share == pytest.approx(
         sum(map(len, line.split())) / sum(map(len, more[0][1].split()))
     )
-    assert not by_id[21].kept and not by_id[22].kept and by_id[0].kept and by_id[20].kept
+    assert by_id[0].kept and by_id[20].kept and by_id[22].kept  # symbols decide nothing
+    assert not by_id[21].kept and by_id[21].base_failed
+    for i in (23, 24):  # repetition alone
+        assert not by_id[i].kept and not by_id[i].base_failed
+    for r in got:  # whoever goes has a reason, whoever stays has none
+        shares = zip(r.ngram_shares, quality.NGRAM_LIMITS.values())
+        exceeds = any(a > b for a, b in shares) or r.line_share > quality.LINE_LIMIT
+        assert r.kept == (not r.base_failed and not exceeds)
+    limits = list(quality.NGRAM_LIMITS.values())
+    assert limits == sorted(limits, reverse=True)
     good = quality.keep_good(frame)
+    some = quality.keep_good(frame, quality.SYMBOL_LIMIT)
+    assert {r.doc_id for r in good.collect()} - {r.doc_id for r in some.collect()} == {22}
     assert good.columns == SCHEMA.names
     kept = {r.doc_id for r in got if r.kept}
     assert {r.doc_id for r in good.collect()} == kept
@@ -283,6 +309,70 @@ def test_random_parts_beside_base_spans():
         assert key[:20] not in secrets.redacted(text, spans)
 
 
+ALPHABETS = {
+    "base62": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789",
+    "lower36": "abcdefghijklmnopqrstuvwxyz0123456789",
+    "base32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567",
+    "letters": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz",
+    "base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/",
+    "urlsafe": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_",
+}
+CONTEXTS = (
+    "use {} now",
+    "/home/service/application/current/configuration/production/{}",
+    "/home/service/{}/application/current/config",
+    "see https://example.com/files/archive/latest/{} today",
+    "user_profile_settings_default_value_{}",
+    "https://example.com/search?key={}&lang=en",
+    "my-service-account-{}-production",
+)
+
+
+@pytest.mark.parametrize("name", ALPHABETS)
+def test_planted_keys_are_found_where_they_are(name):
+    """Found whole in 95 of 100 and more, 85 where the alphabet has joiners itself, and without
+    the words that they are joined to."""
+    coder, rng = secrets.efficiency_coder(None), random.Random(3)
+    least = 0.85 if name in ("base64", "urlsafe") else 0.95
+    for size in (20, 24, 32, 40, 64):
+        for context in CONTEXTS:
+            whole = near = 0
+            for _ in range(60):
+                key = "".join(rng.choices(ALPHABETS[name], k=size))
+                text = context.format(key)
+                at, spans = text.index(key), secrets.spans_of(text, coder)
+                whole += any(s <= at and e >= at + size for s, _, e, _ in spans)
+                near += any(abs(s - at) <= 4 and abs(e - at - size) <= 4 for s, _, e, _ in spans)
+            assert whole >= least * 60 and near >= least * 60, (size, context, whole, near)
+
+
+def test_joined_words_are_no_keys():
+    coder, rng = secrets.efficiency_coder(None), random.Random(4)
+    words = (
+        "home service application current configuration production user profile settings default "
+        "value archive report final example project implementation execution memory controller "
+        "network request response manager index database version server client message account"
+    ).split()
+    alarms = 0
+    for _ in range(2000):
+        made = rng.choices(words, k=rng.randint(3, 8))
+        made += [str(rng.randint(1, 2030))] * (rng.random() < 0.4)
+        made = [w.title() if rng.random() < 0.2 else w for w in made]
+        alarms += bool(secrets.spans_of(rng.choice("/_-=+").join(made), coder))
+    assert alarms <= 2
+    for name in (
+        "src/main/java/com/example/project/service/impl/UserServiceImpl.java",
+        "550e8400-e29b-41d4-a716-446655440000/and/some/path",
+        "x86_64-unknown-linux-gnu-gcc-12.2.0-1",
+        "sha256sum-of-the-file-and-more",
+        "utf8mb4_unicode_520_ci_collation",
+        "------------------------------",
+        "======/======/=======/====",
+        "photo_2023_11_25_18_04_33_IMG0042",
+    ):
+        assert secrets.spans_of(name, coder) == [], name
+
+
 def test_long_letter_runs_are_tested_in_linear_time():
     import subprocess
     import sys
