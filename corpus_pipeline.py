@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from holdfast.llm.mixing import mixed_documents
 from holdfast.llm.packing import pack_documents
-from holdfast.llm.quality import keep_good
+from holdfast.llm.quality import SYMBOL_LIMIT, keep_good
 from holdfast.llm.rows import documents
 from holdfast.llm.secrets import redact_documents
 from holdfast.llm.simhash import drop_near_duplicates
@@ -14,8 +14,9 @@ from holdfast.session import hand_over, owned_tables, release_stored, store
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that pass the base and repetition rules."""
-    return keep_good(docs)
+    """The documents that pass the base and repetition rules and hold few symbols, a step of
+    its own, since repetition does not find symbol noise."""
+    return keep_good(docs, SYMBOL_LIMIT)
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
