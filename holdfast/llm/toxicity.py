@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import functools
 import math
 import re
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,20 +20,42 @@ from holdfast.llm.rows import documents
 from holdfast.session import store
 
 FIT_ROWS = 20_000  # labelled rows that the classifier is fitted on, at most
-LEXICON = 4_096  # features of the classifier, at most
+LEXICON = 65_536  # features of the classifier, at most, the strongest by evidence
 LEAST_TOXIC_DOCS = 5  # documents with label 1 that hold a feature
 LEAST_EVIDENCE = 24.0  # likelihood ratio statistic of a feature
 PREFIXES = (4, 5, 6)
 MOST_COUNTED = 400_000  # features that a task counts before it hands them on
 
-# Letters of the language model: the lower case of Latin-1, all else is a break.
-LETTERS = [chr(c) for c in range(256) if chr(c).isalpha() and chr(c).islower() and c not in (170, 186)]
-_CODES = np.zeros(256, np.int64)
-_CODES[[ord(c) for c in LETTERS]] = np.arange(1, len(LETTERS) + 1)
+MOST_TRIGRAMS = 1 << 18  # kept of the language model, the most frequent; others back off
+MOST_PAIRS = 1 << 17
+MOST_HELD = 1 << 20  # trigrams that a task holds before it hands them on
+_PRIOR = 8.0  # weight of the shorter context
+
+# Letters of the language model: letters and marks of any script in lower case; all else is a
+# break.  Latin-1 letters have small numbers besides, for which counting is one pass.
+_NO_LETTERS = "\xaa\xba"  # fixed values: ordinal signs
+
+
+@functools.lru_cache(maxsize=1 << 16)
+def is_letter(c: str) -> bool:
+    return (c.isalpha() and c not in _NO_LETTERS) or unicodedata.category(c)[0] == "M"
+
+
+class _Breaks(dict):
+    """Code points of letters as themselves, of all else as a blank."""
+
+    def __missing__(self, code: int) -> int:
+        self[code] = found = code if is_letter(chr(code)) else 32
+        return found
+
+
+_BREAKS = _Breaks()
+_LATIN = [chr(c) for c in range(256) if is_letter(chr(c)) and chr(c).islower()]
 WIDTH = 64
-assert len(LETTERS) < WIDTH
-_TO_LETTERS = bytes(c if _CODES[c] else 32 for c in range(256))
-CODE = {c: int(_CODES[ord(c)]) for c in LETTERS}
+assert len(_LATIN) < WIDTH
+_TO_LETTERS = bytes(c if chr(c) in _LATIN else 32 for c in range(256))
+_BITS = 21  # of a code point
+_POINT = (1 << _BITS) - 1
 
 # The letters that other characters stand for.
 LEET = {
@@ -46,57 +70,148 @@ _JUNK = re.compile(r"([^\w\s])\1{2,}")
 CACHE = 100_000  # decoded tokens kept in a worker
 
 
-def folded(text: str) -> bytes:
-    """Lower case as single bytes; characters beyond Latin-1 become breaks."""
-    return text.lower().encode("latin-1", "replace")
+@functools.lru_cache(maxsize=1)
+def _numbers() -> np.ndarray:
+    """By code point: 0 for a break, below ``WIDTH`` for a Latin-1 letter, else ``WIDTH``."""
+    found = np.zeros(0x110000, np.uint8)
+    found[[c for c in range(0x110000) if is_letter(chr(c))]] = WIDTH
+    found[[ord(c) for c in _LATIN]] = np.arange(1, len(_LATIN) + 1)
+    return found
 
 
-def trigram_counts(docs: DataFrame, text: str = "text") -> np.ndarray:
-    """Counts of the letter trigrams of all texts, as many numbers as the alphabet has
-    trigrams, whatever the input."""
+def _packed(a, b, c):
+    return (a << 2 * _BITS) | (b << _BITS) | c
+
+
+class _Trigrams:
+    """Counts of letter trigrams, with 0 for a break, by their packed code points."""
+
+    def __init__(self):
+        self.latin = np.zeros(WIDTH**3, np.int64)
+        self.keys: list[np.ndarray] = []
+        self.counts: list[np.ndarray] = []
+        self.held = 0
+
+    def add(self, texts: Sequence[str]) -> None:
+        joined = f"\n\n{'\n\n'.join(texts).lower()}\n\n"  # no trigram spans two texts
+        points = np.frombuffer(joined.encode("utf-32-le", "replace"), np.uint32).astype(np.int64)
+        numbers = _numbers()[points].astype(np.int64)
+        if len(points) < 3:
+            return
+        a, b, c = numbers[:-2], numbers[1:-1], numbers[2:]
+        small = (a < WIDTH) & (b < WIDTH) & (c < WIDTH)
+        keys = (a * WIDTH + b) * WIDTH + c
+        self.latin += np.bincount(keys[small], minlength=WIDTH**3)
+        if small.all():
+            return
+        points[numbers == 0] = 0
+        a, b, c = points[:-2][~small], points[1:-1][~small], points[2:][~small]
+        keys, counts = np.unique(_packed(a, b, c), return_counts=True)
+        self.keys.append(keys)
+        self.counts.append(counts)
+        self.held += len(keys)
+        if self.held > MOST_HELD:
+            self._merge()
+
+    def _merge(self) -> None:
+        keys, where = np.unique(np.concatenate(self.keys), return_inverse=True)
+        counts = np.bincount(where, np.concatenate(self.counts)).astype(np.int64)
+        self.keys, self.counts, self.held = [keys], [counts], len(keys)
+
+    def taken(self) -> tuple[np.ndarray, np.ndarray]:
+        """All counts so far, which start anew."""
+        at = np.flatnonzero(self.latin)
+        points = np.array([0, *map(ord, _LATIN)], np.int64)
+        latin = _packed(points[at // WIDTH**2], points[at // WIDTH % WIDTH], points[at % WIDTH])
+        if self.keys:
+            self._merge()
+        made = (
+            np.concatenate([latin, *self.keys]),
+            np.concatenate([self.latin[at], *self.counts]),
+        )
+        self.__init__()
+        return made
+
+
+class LanguageModel:
+    """Counts of trigrams, pairs and single letters, and what follows a pair or a letter."""
+
+    def __init__(self, three: dict, two: dict, one: dict, after_two: dict, after_one: dict):
+        self.three, self.two, self.one = three, two, one
+        self.after_two, self.after_one = after_two, after_one
+        self.all = sum(one.values()) + max(WIDTH, len(one))
+
+    def log_p(self, key: int) -> float:
+        """log p(third letter | two before), interpolated with shorter contexts."""
+        pair = key & (1 << 2 * _BITS) - 1
+        p1 = (self.one.get(key & _POINT, 0) + 1) / self.all
+        p2 = (self.two.get(pair, 0) + _PRIOR * p1) / (
+            self.after_one.get(pair >> _BITS, 0) + _PRIOR
+        )
+        p3 = (self.three.get(key, 0) + _PRIOR * p2) / (
+            self.after_two.get(key >> _BITS, 0) + _PRIOR
+        )
+        return math.log(p3)
+
+
+def language_model(docs: DataFrame, text: str = "text") -> LanguageModel:
+    """The letters of all texts, in any script, counted where they are read.
+
+    The number of trigrams grows with the texts and their scripts.  The most frequent
+    ``MOST_TRIGRAMS`` and ``MOST_PAIRS`` are kept, as the model goes to every task; rarer ones
+    get what their pair, or their last letter, makes of them.
+    """
     limit_batches(docs)
-    schema = "trigram int, n long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(WIDTH**3, np.int64)
+        trigrams = _Trigrams()
+
+        def counts() -> pa.RecordBatch:
+            keys, n = trigrams.taken()
+            return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n)], names=["key", "n"])
+
         for batch in batches:
             for low in range(0, batch.num_rows, SLICE):
                 texts = batch.column(0).slice(low, SLICE).to_pylist()
-                raw = b"\n".join(folded(t) for t in texts if t)
-                c = _CODES[np.frombuffer(b"\n" + raw + b"\n", np.uint8)]
-                if len(c) > 2:
-                    total += np.bincount(
-                        c[:-2] * WIDTH * WIDTH + c[1:-1] * WIDTH + c[2:], minlength=WIDTH**3
-                    )
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(at, pa.int32()), pa.array(total[at])], names=["trigram", "n"]
-        )
-
-    parts = docs.select(column(text)).mapInArrow(run, schema)
-    rows = parts.groupBy("trigram").agg(F.sum("n").alias("n")).toPandas()
-    counts = np.zeros(WIDTH**3)
-    counts[rows["trigram"].to_numpy(np.int64)] = rows["n"]
-    return counts.reshape(WIDTH, WIDTH, WIDTH)
-
+                trigrams.add([t for t in texts if t])
+            if trigrams.held > MOST_HELD // 2:
+                yield counts()
+        yield counts()
 
-def log_probabilities(counts: np.ndarray) -> np.ndarray:
-    """log p(third letter | two before), interpolated with shorter contexts."""
-    pairs = counts.sum(axis=0)
-    singles = pairs.sum(axis=0)
-    p1 = (singles + 1) / (singles.sum() + WIDTH)
-    p2 = (pairs + 8 * p1) / (pairs.sum(axis=1, keepdims=True) + 8)
-    p3 = (counts + 8 * p2[None]) / (counts.sum(axis=2, keepdims=True) + 8)
-    return np.log(p3).astype(np.float32)
+    parts = docs.select(column(text)).mapInArrow(run, "key long, n long")
+    counted = store(parts.groupBy("key").agg(F.sum("n").alias("n")), "trigrams")
+
+    def summed(key, most: int) -> dict[int, int]:
+        rows = counted.groupBy(key.alias("key")).agg(F.sum("n").alias("n"))
+        kept = rows.orderBy(F.desc("n"), "key").limit(most).toPandas()
+        return dict(zip(kept["key"].tolist(), kept["n"].tolist()))
+
+    key, pair = F.col("key"), F.lit((1 << 2 * _BITS) - 1)
+    return LanguageModel(
+        summed(key, MOST_TRIGRAMS),
+        summed(key.bitwiseAND(pair), MOST_PAIRS),
+        summed(key.bitwiseAND(F.lit(_POINT)), 0x110000),
+        summed(F.shiftright(key, _BITS), MOST_PAIRS),
+        summed(F.shiftright(key, _BITS).bitwiseAND(F.lit(_POINT)), 0x110000),
+    )
 
 
 class Decoder:
     """Restores obfuscated words: the likeliest path through a lattice of readings."""
 
-    def __init__(self, log_p: np.ndarray):
-        self.log_p = log_p.ravel().tolist()
+    def __init__(self, model: LanguageModel):
+        self.model = model
+        self.costs: dict[int, float] = {}
         self.known: dict[str, str] = {}
 
+    def log_p(self, key: int) -> float:
+        found = self.costs.get(key)
+        if found is None:
+            if len(self.costs) >= CACHE:
+                self.costs.clear()
+            found = self.costs[key] = self.model.log_p(key)
+        return found
+
     def edges(self, noisy: str) -> list[list[tuple[int, str, float]]]:
         """From each position: next position, letters read, cost.
 
@@ -109,7 +224,7 @@ class Decoder:
             if i and c != noisy[i - 1]:
                 start_of_run = i
             options = out[i]
-            if c in CODE:
+            if is_letter(c):
                 options.append((i + 1, c, 0.0))
                 if i == start_of_run:
                     j = i + 1
@@ -135,15 +250,15 @@ class Decoder:
                 for to, read, cost in options:
                     total, now, way = score - cost, state, path
                     for letter in read:
-                        symbol = CODE.get(letter, 0)
-                        total += log_p[now * WIDTH + symbol]
-                        now = now % WIDTH * WIDTH + symbol
+                        symbol = ord(letter) if letter != " " else 0
+                        total += log_p(now << _BITS | symbol)
+                        now = (now & _POINT) << _BITS | symbol
                         way = (letter, way)
                     best = states[to].get(now)
                     if best is None or total > best[0]:
                         states[to][now] = (total, way)
             states[i] = {}
-        finals = [(s + log_p[state * WIDTH], state, way) for state, (s, way) in states[-1].items()]
+        finals = [(s + log_p(state << _BITS), state, way) for state, (s, way) in states[-1].items()]
         way = max(finals, key=lambda f: f[:2])[2]
         letters = []
         while way:
@@ -183,7 +298,7 @@ class Decoder:
                 edge = token[:1] in LEET or token[-1:] in "$@+"
                 if not edge:
                     continue
-            if any(c in CODE for c in token):
+            if any(map(is_letter, token)):
                 changed[token] = self.word(token)
         if not changed:
             return low
@@ -192,33 +307,49 @@ class Decoder:
 
 def spaced_letters(restored: str) -> str:
     """Words of letters, with a blank before, between and after them."""
-    words = folded(restored).translate(_TO_LETTERS).split()
-    return (b" " + b" ".join(words) + b" ").decode("latin-1")
+    try:
+        words = restored.encode("latin-1").translate(_TO_LETTERS).split()
+        return (b" " + b" ".join(words) + b" ").decode("latin-1")
+    except UnicodeEncodeError:
+        return " " + " ".join(restored.translate(_BREAKS).split()) + " "
+
+
+# Scripts that set no blanks between words.
+_UNSPACED = re.compile(
+    "[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u2e80-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]"
+)
 
 
 def features(letters: str) -> set[str]:
-    """Whole words and word beginnings, each with the blanks that bound it."""
+    """Whole words and word beginnings, each with the blanks that bound it; of scripts without
+    blanks also all stretches of two and three letters."""
     found = set()
     for word in set(letters.split()):
         if len(word) > 2:
             found.add(f" {word} ")
             found.update(f" {word[:k]}" for k in PREFIXES if len(word) > k)
+        if len(word) > 1 and not word.isascii() and _UNSPACED.search(word):
+            found.update(word[i : i + k] for k in (2, 3) for i in range(len(word) - k + 1))
     return found
 
 
-def evidence(toxic: float, clean: float, all_toxic: float, all_clean: float) -> float:
-    """Likelihood ratio statistic of a feature's table; 0 unless it leans to label 1."""
-    if toxic * all_clean <= clean * all_toxic:
-        return 0.0
-    total = all_toxic + all_clean
-    seen = toxic + clean
+def evidence(all_toxic: int, all_clean: int) -> Column:
+    """Likelihood ratio statistic of a feature's table, from its columns ``toxic`` and
+    ``clean``; 0 unless it leans to label 1."""
+    toxic, clean = F.col("toxic").cast("double"), F.col("clean").cast("double")
+    yes, no = F.lit(float(all_toxic)), F.lit(float(all_clean))
+    total, seen = yes + no, toxic + clean
     cells = (
-        (toxic, seen * all_toxic),
-        (clean, seen * all_clean),
-        (all_toxic - toxic, (total - seen) * all_toxic),
-        (all_clean - clean, (total - seen) * all_clean),
+        (toxic, seen * yes),
+        (clean, seen * no),
+        (yes - toxic, (total - seen) * yes),
+        (no - clean, (total - seen) * no),
     )
-    return 2 * sum(n * math.log(n * total / e) for n, e in cells if n > 0 and e > 0)
+    parts = [
+        F.when((n > 0) & (e > 0), n * F.log(F.try_divide(n * total, e))).otherwise(0.0)
+        for n, e in cells
+    ]
+    return F.when(toxic * no > clean * yes, 2 * sum(parts[1:], parts[0])).otherwise(0.0)
 
 
 class Matcher:
@@ -290,8 +421,8 @@ def held_out():
 class Model:
     """All that scoring needs, small enough to go to each task."""
 
-    def __init__(self, log_p: np.ndarray, lexicon: dict[str, float], weights: np.ndarray):
-        self.log_p, self.lexicon, self.weights = log_p, lexicon, weights
+    def __init__(self, language: LanguageModel, lexicon: dict[str, float], weights: np.ndarray):
+        self.language, self.lexicon, self.weights = language, lexicon, weights
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
@@ -299,11 +430,13 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
 
     Without labels of both kinds the lexicon is empty and all scores equal the share of 1s.
     """
-    log_p = log_probabilities(trigram_counts(docs))
+    language = language_model(docs)
     chosen = store(labelled_texts(docs, labels, rows), "labelled-texts")
 
+    shared = docs.sparkSession.sparkContext.broadcast(language)  # bounded, see language_model
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        decoder = Decoder(log_p)
+        decoder = Decoder(shared.value)
         seen: list[Counter] = [Counter(), Counter()]
 
         def counts() -> pa.RecordBatch:
@@ -328,27 +461,27 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
         .groupBy("feature")
         .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     )
-    usable = counted.where((F.col("toxic") >= LEAST_TOXIC_DOCS) | (F.col("feature") == ""))
-    # More toxic than clean documents per document, by a factor that no chance match has.
-    table = usable.orderBy(
-        (F.col("feature") != ""), F.desc(F.col("toxic") - F.col("clean")), "feature"
-    ).limit(16 * LEXICON + 1)
-    rows_ = [tuple(r) for r in table.collect()]
-    sums = next((r for r in rows_ if r[0] == ""), ("", 0, 0))
-    all_toxic, all_clean = float(sums[1]), float(sums[2])
-    scored = sorted(
-        ((evidence(t, c, all_toxic, all_clean), f, t, c) for f, t, c in rows_ if f), reverse=True
+    counted = store(counted, "features")
+    sums = counted.where("feature = ''").first()
+    all_toxic, all_clean = (sums["toxic"], sums["clean"]) if sums else (0, 0)
+    # The evidence of every feature is known before any is left out.
+    strong = (
+        counted.where((F.col("toxic") >= LEAST_TOXIC_DOCS) & (F.col("feature") != ""))
+        .withColumn("evidence", evidence(all_toxic, all_clean))
+        .where(F.col("evidence") >= LEAST_EVIDENCE)
+        .orderBy(F.desc("evidence"), "feature")
+        .limit(LEXICON)
+        .select("feature", "toxic", "clean")
     )
     lexicon = {
         f: math.log((t + 0.5) / (all_toxic + 1)) - math.log((c + 0.5) / (all_clean + 1))
-        for e, f, t, c in scored[:LEXICON]
-        if e >= LEAST_EVIDENCE
+        for f, t, c in strong.collect()
     }
 
     fields = T.StructType([T.StructField(f"x{i}", T.DoubleType(), False) for i in range(3)])
 
     def start():
-        decoder, matcher = Decoder(log_p), Matcher(lexicon)
+        decoder, matcher = Decoder(shared.value), Matcher(lexicon)
         return lambda texts: [
             matcher.numbers(spaced_letters(decoder.restore(t or ""))) for t in texts
         ]
@@ -359,9 +492,9 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
     if not len(y) or y.min() == y.max() or not lexicon:
         share = float(y.mean()) if len(y) else 0.0
         share = min(max(share, 1e-6), 1 - 1e-6)
-        return Model(log_p, {}, np.array([math.log(share / (1 - share)), 0.0, 0.0, 0.0]))
+        return Model(language, {}, np.array([math.log(share / (1 - share)), 0.0, 0.0, 0.0]))
     x = frame[["x0", "x1", "x2"]].to_numpy(float)
-    return Model(log_p, lexicon, fit_logistic(x, y))
+    return Model(language, lexicon, fit_logistic(x, y))
 
 
 SCORE = T.StructType([T.StructField("score", T.DoubleType(), False)])
@@ -382,8 +515,11 @@ def score(
     other columns are not read.
     """
 
+    shared = docs.sparkSession.sparkContext.broadcast((model.language, model.lexicon))
+
     def start():
-        decoder, matcher = Decoder(model.log_p), Matcher(model.lexicon)
+        language, lexicon = shared.value
+        decoder, matcher = Decoder(language), Matcher(lexicon)
         bias, *slopes = model.weights.tolist()
 
         def compute(texts):
