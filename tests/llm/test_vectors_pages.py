@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 import corpus_pipeline
 from holdfast.llm import groups, lattice, toxicity, warc
-from tests.llm.fixtures import SCHEMA, docs, empty, prose
+from tests.llm.fixtures import SCHEMA, docs, empty, prose, rows
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -249,7 +249,7 @@ def toxic_documents(spark):
 def test_obfuscated_words_are_restored_and_scored(spark):
     frame, labels = toxic_documents(spark)
     model = toxicity.fit(frame, labels)
-    decoder = toxicity.Decoder(model.log_p)
+    decoder = toxicity.Decoder(model.language)
     for noisy in ("z0rgl3", "qu1mby!", "f a r n o k", "z.o.r.g.l.e", "farnooooook", "f@rn0k"):
         assert decoder.restore(noisy).strip(" !") in ("zorgle", "quimby", "farnok"), noisy
     test = spark.createDataFrame(
@@ -293,12 +293,101 @@ def test_fit_takes_one_row_of_each_labelled_id(spark, monkeypatch):
     assert 9 <= len(rows) <= 10 and all(r.text for r in rows)
 
 
-def test_held_out_accuracy(spark):
+def held_out_rates(rows):
+    """Share of toxic rows found, and of clean rows called toxic."""
+    toxic = [r.predicted for r in rows if r.toxic]
+    clean = [r.predicted for r in rows if not r.toxic]
+    return sum(toxic) / len(toxic), sum(clean) / len(clean)
+
+
+def test_held_out_recall_and_false_alarms(spark):
     got = entry.queries()["op6_toxicity"](spark, "/root/testdata/sf0.1")
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
     rows = got.where("held_out").join(labels, "doc_id").select("predicted", "toxic").collect()
-    right = sum(r.predicted == r.toxic for r in rows) / len(rows)
-    assert right >= 0.97
+    recall, alarms = held_out_rates(rows)
+    assert recall >= 0.9 and alarms <= 0.01
+
+
+def every_reading(decoder, noisy):
+    """All paths through the lattice with their scores."""
+    edges = decoder.edges(noisy)
+    todo, found = [(0, "", 0.0)], []
+    while todo:
+        at, read, cost = todo.pop()
+        if at == len(noisy):
+            found.append((read, cost))
+        else:
+            todo += [(to, read + more, cost + price) for to, more, price in edges[at]]
+    scores = {}
+    for read, cost in found:
+        state, total = 0, -cost
+        for c in read + " ":
+            symbol = 0 if c == " " else ord(c)
+            total += decoder.model.log_p(state << 21 | symbol)
+            state = (state & (1 << 21) - 1) << 21 | symbol
+        scores[read] = max(total, scores.get(read, -1e300))
+    return scores
+
+
+def test_decoding_is_the_best_of_all_readings(spark):
+    frame = spark.createDataFrame(
+        [(1, "the silly idiot is a bad person"), (2, "Это плохой дурак"), (3, "łódź œuvre straße")],
+        "doc_id long, text string",
+    )
+    decoder = toxicity.Decoder(toxicity.language_model(frame))
+    rng = random.Random(2)
+    words = ["id10t", "b@d", "s1lly", "pеrson", "дур@@к", "łó0dź", "1", "++", "aaa", "ddduuurrr"]
+    words += ["".join(rng.choice("abdiot0146$@!|дк") for _ in range(rng.randint(1, 8))) for _ in range(150)]
+    for noisy in words:
+        scores = every_reading(decoder, noisy)
+        assert scores[decoder.decode(noisy)] == pytest.approx(max(scores.values()), abs=1e-9), noisy
+    assert decoder.decode("id10t") == "idiot" and decoder.decode("дуууурак") == "дурак"
+
+
+def test_letters_of_every_script_are_counted(spark):
+    texts = ["Ab ab ÉÉ", "日本語 日本", "ab\u0301c", None, "", "12 ªº"]
+    frame = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
+    model = toxicity.language_model(frame)
+    want: dict = {}
+    for t in texts:
+        points = [ord(c) if toxicity.is_letter(c) else 0 for c in (t or "").lower()]
+        points = [0, 0, *points, 0, 0]
+        for abc in zip(points, points[1:], points[2:]):
+            if any(abc):
+                want[toxicity._packed(*abc)] = want.get(toxicity._packed(*abc), 0) + 1
+    assert {k: n for k, n in model.three.items() if k} == want
+
+
+def test_toxic_words_in_other_scripts(spark):
+    """Words beyond Latin-1 carry evidence, with blanks between them and without."""
+    bad = {"ru": "тупица негодяй", "pl": "głupiec łajdak", "ja": "馬鹿野郎だね", "hi": "मूर्ख गधा"}
+    good = {"ru": "добрый день", "pl": "dzień łąka żółw", "ja": "今日は良い天気", "hi": "अच्छा दिन"}
+    source, labels = [], []
+    for i in range(480):
+        lang, toxic = list(bad)[i % 4], i // 4 % 3 == 0
+        text = f"{good[lang]} {i} {(bad if toxic else good)[lang]} {good[lang]}"
+        source.append((i, text))
+        labels.append((i, int(toxic)))
+    frame = spark.createDataFrame(source, "doc_id long, text string").repartition(4)
+    model = toxicity.fit(frame, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    scores = {r.doc_id: r.toxicity.score for r in toxicity.score(frame, model).collect()}
+    for i, toxic in labels:
+        assert (scores[i] >= 0.5) == bool(toxic), source[i]
+
+
+def test_toxicity_of_awkward_rows(spark):
+    """Null, empty, very long and repeated rows, clashing names, labels that repeat an id."""
+    frame, _ = toxic_documents(spark)
+    made = [(r[0], 1, int(r[0] == 2), "x") for r in rows() if r[0] is not None]
+    labels = spark.createDataFrame([*made, (None, 1, 1, "x"), (2, 1, 0, "y")],
+                                   "doc_id long, quality int, toxic int, text string")
+    model = toxicity.fit(docs(spark), labels)
+    got = toxicity.score(docs(spark), model).collect()
+    assert sorted(str(r.doc_id) for r in got) == sorted(str(r[0]) for r in rows())
+    assert all(0 <= r.toxicity.score <= 1 for r in got)
+    assert len({r.toxicity.score for r in got if r.doc_id in (3, 4, 5, None)}) >= 1
+    assert toxicity.score(empty(spark), model).count() == 0
+    assert toxicity.fit(empty(spark), labels).lexicon == {}
 
 
 # Pipeline
