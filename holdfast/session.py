@@ -56,10 +56,6 @@ def scratch_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{scratch_root(spark)}/holdfast-{name}-{uuid.uuid4().hex[:12]}"
-
-
 def _file_system(spark: SparkSession, path: str):
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -98,6 +94,13 @@ def owned_tables() -> Iterator[list[str]]:
         _owner.reset(token)
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new folder name, which belongs to whoever owns the tables stored now."""
+    path = f"{scratch_root(spark)}/holdfast-{name}-{uuid.uuid4().hex[:12]}"
+    _owner.get().append(path)
+    return path
+
+
 def hand_over(paths: list[str]) -> None:
     """Give stored tables to whoever owns those stored now."""
     _owner.get().extend(paths)
@@ -110,7 +113,6 @@ def store(df: DataFrame, name: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, name)
     df.write.mode("errorifexists").parquet(path)
-    _owner.get().append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
