@@ -66,11 +66,13 @@ def test_lattice_dedup_against_brute_force(spark):
         [(*r, "x") for r in rows], "vec_id long, label int, embedding array<double>, cell string"
     ).repartition(4)
     links, label = brute_links(rows)
-    got = {r.vec_id: r for r in lattice.near_vectors(frame).collect()}
-    assert len(got) == len(rows)
-    for n in range(len(rows)):
-        assert got[n].n_links == links[n] and got[n].component_id == label[n]
-        assert got[n].kept == (label[n] == n)
+    for cells_as in (None, *lattice.SETTINGS[1:]):
+        found = lattice.near_vectors(frame, cells_as=cells_as).collect()
+        got = {r.vec_id: r for r in found}
+        assert len(got) == len(found) == len(rows)
+        for n in range(len(rows)):
+            assert got[n].n_links == links[n] and got[n].component_id == label[n]
+            assert got[n].kept == (label[n] == n)
     assert lattice.near_vectors(frame.limit(0)).count() == 0
 
 
@@ -94,18 +96,35 @@ def test_lattice_points_are_nearest():
     assert len(lattice.STEPS) == 240
 
 
-def test_lattice_recall_at_the_threshold():
+def cells_of(setting, vectors):
+    made = lattice.Cells(
+        vectors.shape[1], setting.tables, setting.probes, setting.scale, lattice.SEED, setting.blocks
+    )
+    return made.of(vectors)
+
+
+@pytest.mark.parametrize("setting", lattice.SETTINGS)
+def test_lattice_recall_at_the_threshold(setting):
     rng = np.random.default_rng(4)
-    a = rng.normal(size=(2000, 64))
+    a = rng.normal(size=(4000, 64))
     a /= np.linalg.norm(a, axis=1)[:, None]
-    u = rng.normal(size=(2000, 64))
+    u = rng.normal(size=(4000, 64))
     u -= (u * a).sum(axis=1)[:, None] * a
     u /= np.linalg.norm(u, axis=1)[:, None]
     b = 0.98 * a + math.sqrt(1 - 0.98**2) * u
-    cells = lattice.Cells(64, lattice.TABLES, lattice.PROBES, lattice.SCALE, lattice.SEED)
-    x, y = cells.of(a), cells.of(b)
+    x, y = cells_of(setting, a), cells_of(setting, b)
     met = (x[:, :, :, None] == y[:, :, None, :]).any(axis=(1, 2, 3))
-    assert met.mean() >= 0.98
+    assert met.mean() >= 0.998
+
+
+def test_lattice_comparisons_follow_the_rows():
+    """Comparisons a row stay few from 2,000 to 32,000 random rows of one label."""
+    rng = np.random.default_rng(5)
+    for count in (2_000, 8_000, 32_000):
+        unit = lattice.unit_rows(rng.normal(size=(count, 64)))
+        cells = cells_of(lattice.setting_for(count), unit).reshape(count, -1)
+        _, sizes = np.unique(np.sort(cells, axis=1).ravel(), return_counts=True)
+        assert (sizes * (sizes - 1) // 2).sum() / count <= 8, count
 
 
 def test_large_groups_are_cut_into_blocks(spark):
