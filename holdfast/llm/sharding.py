@@ -14,6 +14,7 @@ from holdfast.session import store
 SHARD_BYTES = 1 << 20
 BITS = 60  # of the hash; more than any directory needs
 FINER = 3  # bits the first directory has beyond one bucket per filled shard
+LEVELS = 5  # depths that are added up at a time
 STEP = 8  # bits that oversized buckets of the directory get in each further round
 
 
@@ -26,6 +27,29 @@ def prefix(bits: Column, depth: int) -> Column:
     return F.shiftright(bits, BITS - depth)
 
 
+def _levels(fine: DataFrame, top: int, depth: int) -> DataFrame:
+    """Bytes and rows by prefix of each depth from ``top`` to ``depth``.
+
+    A few depths at a time are added up from the highest that is known, so each prefix is
+    read about ``LEVELS`` times however many depths there are.
+    """
+    known, high, all_ = depth, depth, None
+    while True:
+        low = max(top, known - LEVELS)
+        levels = fine.select(
+            F.explode(F.sequence(F.lit(low), F.lit(high))).alias("depth"), "prefix", "bytes", "rows"
+        ).withColumn("prefix", F.expr(f"shiftright(prefix, {known} - depth)"))
+        levels = levels.groupBy("depth", "prefix").agg(
+            F.sum("bytes").alias("bytes"), F.sum("rows").alias("rows")
+        )
+        levels = store(levels, "levels")
+        all_ = levels if all_ is None else all_.unionByName(levels)
+        if low == top:
+            return all_
+        fine = levels.where(F.col("depth") == low).drop("depth")
+        known, high = low, low - 1
+
+
 def _leaves(
     fine: DataFrame, top: int, depth: int, limit: int
 ) -> tuple[DataFrame, DataFrame]:
@@ -35,13 +59,7 @@ def _leaves(
 
     A bucket fits within the byte limit, or if one row is all it holds.
     """
-    levels = fine.select(
-        F.explode(F.sequence(F.lit(top), F.lit(depth))).alias("depth"), "prefix", "bytes", "rows"
-    ).withColumn("prefix", F.expr(f"shiftright(prefix, {depth} - depth)"))
-    levels = levels.groupBy("depth", "prefix").agg(
-        F.sum("bytes").alias("bytes"), F.sum("rows").alias("rows")
-    )
-    levels = store(levels, "levels")
+    levels = _levels(fine, top, depth)
     fits = (F.col("bytes") <= limit) | (F.col("rows") == 1)
     above = levels.where(fits).select(
         (F.col("depth") + 1).alias("depth"), F.col("prefix").alias("_above")
@@ -91,7 +109,7 @@ def shard(
         *map(column, carry),
         F.coalesce(F.octet_length(column(text)), F.lit(0)).cast("long").alias("n_bytes"),
     )
-    named = numbered(sized, "_digest", "_copy")
+    named = numbered(store(sized, "sized"), "_digest", "_copy")
     named = named.withColumn("_bits", hash_bits(F.md5(F.concat("_digest", F.lit(":"), "_copy"))))
     rows = store(named.drop("_digest", "_copy"), "to-shard")
     total = rows.agg(F.sum("n_bytes")).first()[0] or 0
