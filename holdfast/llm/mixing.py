@@ -11,8 +11,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from holdfast.llm.batches import column
-from holdfast.llm.rows import documents, numbered, row_digest
+from holdfast.llm.rows import MOST_EQUAL, documents, numbered, row_digest, running_sums
 from holdfast.llm.text import WORD_PATTERN
+from holdfast.operators.ranking import global_row_number
 from holdfast.session import store
 
 WEIGHTS = (5, 2, 1)
@@ -38,7 +39,7 @@ def sized_rows(docs: DataFrame, *, text: str, doc_id: str, source: str) -> DataF
         .cast("long")
         .alias("size"),
     )
-    return store(numbered(sized, "digest", "copy"), "sized")
+    return store(numbered(store(sized, "unnumbered"), "digest", "copy"), "sized")
 
 
 def source_targets(
@@ -56,36 +57,35 @@ def source_targets(
     before it have stopped rises while they do and falls afterwards; its highest value is
     the level at which the excess has been shared again until none is above.
 
-    The windows run over one row per source, after the documents are summed.
+    Sources may be many (hosts, say): they are numbered and added up by sorted ranges, in
+    whole numbers, sources of a weight being counted.
     """
     sources = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
-    numbered_ = sources.withColumn(
-        "source_no",
-        F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1,
-    )
-    weight = F.element_at(
-        F.array(*map(F.lit, map(float, weights))), (F.col("source_no") % len(weights) + 1).cast("int")
-    )
+    ranked = global_row_number(sources, [F.col("source").asc_nulls_last()], "source_no")
+    kind = (F.col("source_no") % len(weights)).cast("int")
+    ready = ranked.withColumn("source_no", F.col("source_no") - 1).withColumn("kind", kind)
+    weight = F.element_at(F.array(*map(F.lit, map(float, weights))), F.col("kind") + 1)
     stop = (most_repeats * F.col("source_size")).cast("double")
-    ready = numbered_.withColumns({"weight": weight, "stop": stop})
-    before = Window.orderBy(F.col("stop") / F.col("weight"), "source_no").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    everything = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    left = share * F.sum("source_size").over(everything) - F.coalesce(
-        F.sum("stop").over(before), F.lit(0.0)
+    ready = store(ready.withColumns({"weight": weight, "stop": stop}), "sources")
+    of_kind = {f"kind_{k}": (F.col("kind") == k).cast("long") for k in range(len(weights))}
+    whole_sums = [F.sum(c).alias(n) for n, c in of_kind.items()]
+    all_ = ready.agg(F.sum("source_size").alias("size"), *whole_sums).first().asDict()
+    before = running_sums(
+        ready,
+        [F.col("stop") / F.col("weight"), F.col("source_no")],
+        {"size_before": F.col("source_size"), **of_kind},
     )
-    weight_left = F.sum("weight").over(everything) - F.coalesce(
-        F.sum("weight").over(before), F.lit(0.0)
+    left = share * (all_["size"] or 0) - most_repeats * F.col("size_before")
+    weight_left = sum(
+        ((all_[f"kind_{k}"] or 0) - F.col(f"kind_{k}")) * float(w) for k, w in enumerate(weights)
     )
-    leveled = ready.withColumn("level", left / weight_left)
-    highest = F.max("level").over(everything)
+    highest = F.lit(before.agg(F.max(left / weight_left)).first()[0]).cast("double")
     target = F.least("stop", highest * F.col("weight"))
     blocks = F.ceil(F.col("source_size") / block_words).cast("long")
     whole = F.floor(F.try_divide("target", F.col("source_size"))).cast("long")
     rest = F.col("target") - F.col("whole") * F.col("source_size")
     return (
-        leveled.withColumn("target", target)
+        ready.withColumn("target", target)
         .withColumns({"blocks": blocks, "whole": F.coalesce(whole, F.lit(0))})
         .withColumn(
             "slots",
@@ -112,10 +112,10 @@ def drawn_slots(
     handed, by rank, to the sources that were drawn too seldom.
     """
     total = targets.agg(F.sum("slots")).first()[0] or 0
-    order = Window.orderBy("source_no").rowsBetween(Window.unboundedPreceding, -1)
-    lower = F.coalesce(F.sum("slots").over(order), F.lit(0))
+    lower = F.col("lower")
     edge = lambda c: F.rint(c * (BINS / max(total, 1))).cast("long")
-    bins = targets.select(
+    by_number = targets.select("source_no", "slots")
+    bins = running_sums(by_number, [F.col("source_no")], {"lower": F.col("slots")}).select(
         "source_no", edge(lower).alias("low"), edge(lower + F.col("slots")).alias("high")
     ).where("low < high")
     bins = bins.select("source_no", F.explode(F.sequence("low", F.col("high") - 1)).alias("bin"))
@@ -135,21 +135,15 @@ def drawn_slots(
     )
     over = F.greatest(F.col("drawn") - F.col("slots"), F.lit(0))
     under = F.greatest(F.col("slots") - F.col("drawn"), F.lit(0))
-    state = store(
-        state.withColumns(
-            {
-                "over_before": F.coalesce(F.sum(over).over(order), F.lit(0)),
-                "under_before": F.coalesce(F.sum(under).over(order), F.lit(0)),
-            }
-        ),
-        "draw-state",
-    )
-    earlier = (
-        Window.partitionBy("source_no").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    runs = counts.withColumn("from", F.coalesce(F.sum("n").over(earlier), F.lit(0))).join(
-        state, "source_no"
+    state = running_sums(
+        state,
+        [F.col("source_no")],
+        {"over_before": over, "under_before": under, "drawn_before": F.col("drawn")},
     )
+    state = store(state, "draw-state")
+    # Draws of all sources one after the other, less those of the sources before.
+    runs = running_sums(counts, [F.col("source_no"), F.col("shard")], {"from": F.col("n")})
+    runs = runs.join(state, "source_no").withColumn("from", F.col("from") - F.col("drawn_before"))
     # A few rows that become many: spread before they do.
     tasks = max(spark.sparkContext.defaultParallelism, -(-total // 500_000))
     runs = runs.repartition(tasks, "shard", "source_no")
@@ -323,7 +317,13 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     single = named.join(repeated, "_digest", "left_anti").join(
         parts.where("copy = 0").select(F.col("digest").alias("_digest"), "_parts"), "_digest"
     )
-    several = numbered(named.join(repeated, "_digest", "left_semi"), "_digest", "_copy")
+    counts = rows.where(F.col("copy") >= MOST_EQUAL).groupBy(F.col("digest").alias("_digest"))
+    several = numbered(
+        named.join(repeated, "_digest", "left_semi"),
+        "_digest",
+        "_copy",
+        counts.agg((F.max("copy") + 1).alias("n")),
+    )
     several = several.join(
         parts.select(F.col("digest").alias("_digest"), F.col("copy").alias("_copy"), "_parts"),
         ["_digest", "_copy"],
