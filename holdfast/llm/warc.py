@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import gzip
+import re
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -23,6 +25,13 @@ END = "\r\n\r\n"
 # Fixed values of the format.
 VERSION = "WARC/1.1"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+NAMES = (
+    "Content-Length", "Content-Type", "WARC-Type", "WARC-Record-ID", "WARC-Date",
+    "WARC-Target-URI", "WARC-Payload-Digest", "WARC-Block-Digest", "WARC-Profile",
+    "WARC-Refers-To", "WARC-Refers-To-Target-URI", "WARC-Refers-To-Date",
+    "WARC-Segment-Number", "WARC-Segment-Origin-ID", "WARC-Segment-Total-Length",
+)
+OWN_NAMES = ("X-Page-ID", "X-Refers-To-Page-ID")
 HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
 
 
@@ -51,12 +60,20 @@ def record(headers: list[tuple[str, object]], block: str) -> str:
     return "\r\n".join(lines) + END + block
 
 
-def record_id(row: int, segment: int) -> str:
-    return f"<urn:uuid:{uuid.UUID(int=row << 32 | segment)}>"
+def record_id(row: int, segment: int, name: str | None = None) -> str:
+    """An identifier by the row's number, or by a name that revisits know too."""
+    if name is None:
+        return f"<urn:uuid:{uuid.UUID(int=row << 32 | segment)}>"
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_OID, f'{name}:{segment}')}>"
 
 
-def records(row, page_id, url, html, digest, length, refers_to) -> list[str]:
-    """The records of one page, without the line feeds that end a record."""
+def records(
+    row, page_id, url, html, digest, length, refers_to, name=None, target=None, target_uri=None
+) -> list[str]:
+    """The records of one page, without the line feeds that end a record.
+
+    ``name`` stands for the row in its identifiers; a revisit tells those of ``target``.
+    """
     common = [
         ("WARC-Date", DATE),
         ("WARC-Target-URI", header_value(url or f"urn:page:{page_id}")),
@@ -69,15 +86,19 @@ def records(row, page_id, url, html, digest, length, refers_to) -> list[str]:
         block = f"{HTTP}Content-Length: {length}{END}"
         head = [("WARC-Type", "revisit"), ("WARC-Record-ID", record_id(row, 1)), *common]
         head += [("WARC-Profile", PROFILE), ("X-Refers-To-Page-ID", refers_to), kind]
+        if target is not None:
+            uri = header_value(target_uri or f"urn:page:{refers_to}")
+            head += [("WARC-Refers-To", record_id(row, 1, target))]
+            head += [("WARC-Refers-To-Target-URI", uri), ("WARC-Refers-To-Date", DATE)]
         return [record(head, block)]
     block = f"{HTTP}Transfer-Encoding: chunked{END}{chunked(html)}"
     parts = [block[i : i + SEGMENT_CHARS] for i in range(0, len(block), SEGMENT_CHARS)]
-    origin = record_id(row, 1)
+    origin = record_id(row, 1, name)
     made = []
     for n, part in enumerate(parts, 1):
         head = [
             ("WARC-Type", "response" if n == 1 else "continuation"),
-            ("WARC-Record-ID", record_id(row, n)),
+            ("WARC-Record-ID", record_id(row, n, name)),
             *common,
         ]
         if len(parts) > 1:
@@ -110,14 +131,25 @@ def write_archives(pages: DataFrame, path: str) -> None:
     response, and rows without an id revisit unless no copy has one.  Null payloads are
     empty, other columns are not read, and an empty table writes no record.  Repeated
     payloads are counted before they are joined, so a large group of copies is one row.
+    Revisits name the record they refer to, unless rows repeat its ``page_id``.
     """
     sized = with_digests(pages)
     first = (
         sized.where(F.col("length") >= LEAST_REVISIT_BYTES)
+        .groupBy("digest", "page_id")
+        .agg(F.count(F.lit(1)).alias("rows"), F.min("url").alias("url"))
         .groupBy("digest")
-        .agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("copies"))
-        .where("copies > 1 AND first IS NOT NULL")
-        .select(F.col("digest").alias("_digest"), "first")
+        .agg(
+            F.sum("rows").alias("copies"),
+            F.min(F.when(F.col("page_id").isNotNull(), F.struct("page_id", "rows", "url"))).alias("of"),
+        )
+        .where("copies > 1 AND of IS NOT NULL")
+        .select(
+            F.col("digest").alias("_digest"),
+            F.col("of.page_id").alias("first"),
+            (F.col("of.rows") == 1).alias("alone"),
+            F.col("of.url").alias("first_url"),
+        )
     )
     first = store(first, "first-copies")
     joined = sized.join(first, F.col("digest") == F.col("_digest"), "left")
@@ -130,6 +162,9 @@ def write_archives(pages: DataFrame, path: str) -> None:
         "digest",
         "length",
         F.when(other, F.col("first")).alias("refers_to"),
+        F.when(~other & F.col("alone"), F.col("digest")).alias("name"),
+        F.when(other & F.col("alone"), F.col("digest")).alias("target"),
+        F.when(other, F.col("first_url")).alias("target_uri"),
     )
     fields = T.StructType([T.StructField("records", T.ArrayType(T.StringType(), False), False)])
 
@@ -142,21 +177,66 @@ def write_archives(pages: DataFrame, path: str) -> None:
     ).option("maxRecordsPerFile", FILE_RECORDS).text(path)
 
 
-def parsed(data: bytes) -> Iterator[tuple[dict[str, str], int, int]]:
-    """Headers, start and end of the block of each record."""
+_CANONICAL = {name.lower(): name for name in (*NAMES, *OWN_NAMES)}
+_VERSION = re.compile(rb"WARC/[0-9]+\.[0-9]+\r?\n")
+_HEADERS_END = re.compile(rb"\r?\n\r?\n")
+_RECORD_END = re.compile(rb"(?:\r?\n){2}|[\r\n]*\Z")
+_NEXT = re.compile(rb"\n(?=WARC/[0-9]+\.[0-9]+\r?\n)")
+
+
+def header_fields(text: str) -> dict[str, str]:
+    """Fields by name, known names as the format writes them, whatever their case.
+
+    Lines that start with a blank go on the field before; lines without a colon are skipped;
+    of a field that comes twice the first counts.
+    """
+    fields: dict[str, str] = {}
+    name = None
+    for line in re.split(r"\r?\n", text):
+        if line[:1] in (" ", "\t") and name is not None:
+            fields[name] = f"{fields[name]} {line.strip()}".strip()
+            continue
+        key, colon, value = line.partition(":")
+        name = _CANONICAL.get(key.strip().lower(), key.strip()) if colon else None
+        if name in fields:
+            name = None
+        elif name is not None:
+            fields[name] = value.strip()
+    return fields
+
+
+def _record_at(data: bytes, at: int) -> tuple[dict[str, str], int, int] | None:
+    version = _VERSION.match(data, at)
+    stop = version and _HEADERS_END.search(data, version.end() - 1)
+    if not stop:
+        return None
+    headers = header_fields(data[version.end() : stop.start()].decode(errors="replace"))
+    length = headers.get("Content-Length", "")
+    if not (length.isascii() and length.isdigit()):
+        return None
+    end = stop.end() + int(length)
+    if end > len(data) or not _RECORD_END.match(data, end):
+        return None  # cut short, or followed by more than the end of a record
+    return headers, stop.end(), end
+
+
+def parsed(data: bytes) -> Iterator[tuple[dict[str, str] | None, int, int]]:
+    """Headers, start and end of the block of each record of any version.
+
+    Of a damaged stretch the headers are None; the next line that starts a record ends it.
+    """
     at = 0
-    while at < len(data):
-        stop = data.index(b"\r\n\r\n", at)
-        version, *lines = data[at:stop].decode().split("\r\n")
-        if version != VERSION:
-            raise ValueError(f"no WARC record at byte {at}: {version[:40]!r}")
-        headers = dict(line.split(": ", 1) for line in lines)
-        begin = stop + 4
-        end = begin + int(headers["Content-Length"])
-        yield headers, begin, end
-        if data[end : end + 4] != b"\r\n\r\n":
-            raise ValueError(f"the record that ends at byte {end} has another length")
-        at = end + 4
+    while True:
+        while data[at : at + 1] in (b"\r", b"\n"):
+            at += 1
+        if at >= len(data):
+            return
+        found = _record_at(data, at)
+        if found is None:
+            after = _NEXT.search(data, at + 1)
+            found = None, at, after.end() if after else len(data)
+        yield found
+        at = found[2]
 
 
 def dechunked(body: bytes) -> bytes | None:
@@ -185,89 +265,115 @@ def payload_of(block: bytes) -> bytes | None:
     return dechunked(body) if b"transfer-encoding: chunked" in head.lower() else body
 
 
-def page_number(headers: dict[str, str], name: str) -> int | None:
-    return int(headers[name]) if name in headers else None
+def whole_number(headers: dict[str, str], name: str) -> int | None:
+    """The value of a field if it is a whole number of 64 bits."""
+    value = headers.get(name, "")
+    if not re.fullmatch(r"-?[0-9]{1,19}", value, re.ASCII):
+        return None
+    number = int(value)
+    return number if -(1 << 63) <= number < 1 << 63 else None
 
 
 PAGE = T.StructType(
     [
         T.StructField("page_id", T.LongType()),
+        T.StructField("uri", T.StringType()),
         T.StructField("record_type", T.StringType(), False),
         T.StructField("refers_to", T.LongType()),
-        T.StructField("declared_digest", T.StringType(), False),
+        T.StructField("refers_to_record", T.StringType()),
+        T.StructField("declared_digest", T.StringType()),
         T.StructField("declared_bytes", T.LongType()),
         T.StructField("payload", T.BinaryType()),
     ]
 )
-SEGMENT = T.StructType(
+#: A page, or a segment of one: then ``payload`` is its part of the block.
+RECORD = T.StructType(
     [
-        T.StructField("origin", T.StringType(), False),
-        T.StructField("segment", T.IntegerType(), False),
+        *PAGE.fields,
+        T.StructField("origin", T.StringType()),
+        T.StructField("segment", T.LongType()),
         T.StructField("total", T.LongType()),
-        T.StructField("page_id", T.LongType()),
-        T.StructField("declared_digest", T.StringType(), False),
-        T.StructField("block", T.BinaryType(), False),
     ]
 )
 
 
-def _contents(batch: pa.RecordBatch) -> Iterator[bytes]:
-    for value in batch.column(0):
-        data = value.as_py()
-        yield gzip.decompress(data) if data[:2] == b"\x1f\x8b" else data
-
-
-def _whole_pages(batch: pa.RecordBatch) -> list[list]:
-    rows: list[list] = [[] for _ in PAGE]
-    for data in _contents(batch):
-        for headers, begin, end in parsed(data):
-            if "WARC-Segment-Number" in headers:
-                continue
-            block = data[begin:end]
-            declared = payload = None
-            if headers["WARC-Type"] == "revisit":
-                declared = int(block.split(b"Content-Length: ")[1].split(b"\r\n")[0])
-            else:
-                payload = payload_of(block)
-            values = (
-                page_number(headers, "X-Page-ID"),
-                headers["WARC-Type"],
-                page_number(headers, "X-Refers-To-Page-ID"),
-                headers["WARC-Payload-Digest"].removeprefix("sha256:"),
-                declared,
-                payload,
-            )
-            for out, value in zip(rows, values):
-                out.append(value)
-    return rows
+def unpacked(data: bytes) -> bytes:
+    """An archive file as bytes; of a gzip file with a damaged member what comes before."""
+    if data[:2] != b"\x1f\x8b":
+        return data
+    try:
+        return gzip.decompress(data)
+    except (OSError, EOFError, zlib.error):
+        parts = []
+        while data[:2] == b"\x1f\x8b":
+            member = zlib.decompressobj(31)
+            try:
+                parts.append(member.decompress(data))
+            except zlib.error:
+                break
+            data = member.unused_data if member.eof else b""
+        return b"".join(parts) + b"\r\n\r\n(damaged)"
+
+
+def record_row(headers: dict[str, str] | None, block: bytes) -> tuple | None:
+    """A row of ``RECORD``, None for records that hold no page."""
+    if headers is None:
+        return (None, None, "damaged", *[None] * (len(RECORD) - 3))
+    kind = headers.get("WARC-Type", "").lower()
+    segment = whole_number(headers, "WARC-Segment-Number")
+    if kind not in ("response", "resource", "revisit", "continuation"):
+        return None
+    name = headers.get("WARC-Record-ID")
+    if kind == "continuation":
+        name = headers.get("WARC-Segment-Origin-ID")
+    declared, payload, origin = None, block, None
+    if segment is not None and name is not None:
+        origin = name
+    elif kind == "continuation":
+        return record_row(None, block)  # it cannot be told where it belongs
+    else:
+        segment = None
+        if kind == "revisit":
+            fields = header_fields(_HEADERS_END.split(block, 1)[0].decode(errors="replace"))
+            declared, payload = whole_number(fields, "Content-Length"), None
+        elif kind == "response":
+            payload = payload_of(block)
+    digest = headers.get("WARC-Payload-Digest")
+    return (
+        whole_number(headers, "X-Page-ID"),
+        headers.get("WARC-Target-URI"),
+        kind,
+        whole_number(headers, "X-Refers-To-Page-ID"),
+        headers.get("WARC-Refers-To"),
+        digest and digest.removeprefix("sha256:"),
+        declared,
+        payload,
+        origin,
+        segment,
+        whole_number(headers, "WARC-Segment-Total-Length"),
+    )
 
 
-def _segments(batch: pa.RecordBatch) -> list[list]:
-    rows: list[list] = [[] for _ in SEGMENT]
-    for data in _contents(batch):
+def _rows(batch: pa.RecordBatch) -> list[list]:
+    rows: list[list] = [[] for _ in RECORD]
+    for value in batch.column(0):
+        data = unpacked(value.as_py())
         for headers, begin, end in parsed(data):
-            if "WARC-Segment-Number" not in headers:
-                continue
-            values = (
-                headers.get("WARC-Segment-Origin-ID", headers["WARC-Record-ID"]),
-                int(headers["WARC-Segment-Number"]),
-                page_number(headers, "WARC-Segment-Total-Length"),
-                page_number(headers, "X-Page-ID"),
-                headers["WARC-Payload-Digest"].removeprefix("sha256:"),
-                data[begin:end],
-            )
-            for out, value in zip(rows, values):
-                out.append(value)
+            row = record_row(headers, data[begin:end])
+            for out, item in zip(rows, row or ()):
+                out.append(item)
     return rows
 
 
-def reassembled(parts: list[dict]) -> bytes | None:
+def reassembled(parts: list[dict], http: bool = True) -> bytes | None:
     """The payload of segments in order; None unless they are numbered 1, 2, ... without a
     gap, the last one tells the total length, and that is their length."""
     if [p["segment"] for p in parts] != list(range(1, len(parts) + 1)):
         return None
     block = b"".join(p["block"] for p in parts)
-    return payload_of(block) if parts[-1]["total"] == len(block) else None
+    if parts[-1]["total"] != len(block):
+        return None
+    return payload_of(block) if http else block
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
@@ -277,27 +383,45 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     are grouped by the origin's identifier, a group being one page.  A page whose segments
     or chunks are incomplete has a null payload.  Revisits have no payload but the digest
     and length that they declare.
+
+    Archives of others are read too: any version, fields in any case, folded or unknown, no
+    page number (null), payloads of ``resource`` records as they stand, digests of other
+    kinds with their prefix.  Records that hold no page (``warcinfo``, ``request`` and such)
+    are skipped.  A damaged stretch of an archive, or a continuation that names no origin,
+    is one row of type ``damaged``, all else in it null, and reading goes on at the next
+    record.  Each file is unpacked and parsed once, into a stored table.
     """
     schema = T.StructType([T.StructField("content", T.BinaryType())])
     files = (
         spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     ).select("content")
     assert files.schema.simpleString() == schema.simpleString()
-    whole = expand(files, PAGE, lambda: _whole_pages)
-    segments = expand(files, SEGMENT, lambda: _segments)
-    grouped = segments.groupBy("origin").agg(
-        F.min("page_id").alias("page_id"),
-        F.lit("response").alias("record_type"),
-        F.lit(None).cast("long").alias("refers_to"),
-        F.min("declared_digest").alias("declared_digest"),
-        F.lit(None).cast("long").alias("declared_bytes"),
-        F.sort_array(F.collect_list(F.struct("segment", "total", "block"))).alias("parts"),
+    read = store(expand(files, RECORD, lambda: _rows), "warc-records")
+    whole = read.where("segment IS NULL").select(*PAGE.fieldNames())
+    # All but the payload is told by the first segment.
+    told = [n for n in PAGE.fieldNames() if n not in ("payload", "record_type")]
+    first = F.min(F.when(F.col("segment") == 1, F.struct("record_type", *told)))
+    other = F.min(F.struct(F.lit("response").alias("record_type"), *told))
+    grouped = (
+        read.where("segment IS NOT NULL")
+        .groupBy("origin")
+        .agg(
+            F.coalesce(first, other).alias("told"),
+            F.sort_array(
+                F.collect_list(F.struct("segment", "total", F.col("payload").alias("block")))
+            ).alias("parts"),
+        )
+        .select("told.*", "parts")
     )
     fields = T.StructType([T.StructField("payload", T.BinaryType())])
     names = PAGE.fieldNames()[:-1]
-    joined = annotate(
-        grouped, ["parts"], names, "made", fields, lambda: lambda all_: [(reassembled(p),) for p in all_]
-    )
+
+    def start():
+        return lambda all_, kinds: [
+            (reassembled(parts, kind != "resource"),) for parts, kind in zip(all_, kinds)
+        ]
+
+    joined = annotate(grouped, ["parts", "record_type"], names, "made", fields, start)
     return whole.unionByName(joined.select(*names, "made.payload"))
 
 
