@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gzip
+import hashlib
 import math
 import random
 from collections import Counter
@@ -243,6 +245,58 @@ def test_broken_segments_have_no_payload():
     assert warc.dechunked(b"4\r\nabc\r\n0\r\n\r\n") is None and warc.dechunked(b"") is None
 
 
+FOREIGN = (
+    b"WARC/1.0\r\nwarc-type: warcinfo\r\ncontent-length: 5\r\n\r\nhello\r\n\r\n"
+    b"WARC/1.0\r\nWARC-TYPE:response\r\nWarc-Record-Id: <urn:a>\r\nX-Note: one\r\n  two\r\n"
+    b"no colon here\r\nWARC-Payload-Digest: sha1:ABC\r\nWARC-Target-URI: http://x/\r\n /y\r\n"
+    b"content-LENGTH: 24\r\n\r\nHTTP/1.0 200 OK\r\n\r\nbody!\r\n\r\n"
+    b"WARC/0.18\nWARC-Type: resource\nContent-Length: 3\n\nabc\n\n"
+    b"WARC/1.1\r\nWARC-Type: response\r\nContent-Length: 999999\r\n\r\nshort\r\n\r\n"
+    b"WARC/1.1\r\nWARC-Type: continuation\r\nContent-Length: 1\r\n\r\nx\r\n\r\n"
+    b"WARC/1.1\r\nWARC-Type: revisit\r\nContent-Length: 0\r\nX-Page-ID: many\r\n\r\n\r\n\r\n"
+)
+
+
+def test_archives_of_others_are_read(spark, tmp_path):
+    members = [m.encode() + b"\r\n\r\n" for m in warc.records(1, 7, "u", "q" * 40_000, "00", 1, None)]
+    packed = gzip.compress(members[0]) + gzip.compress(members[1])
+    (tmp_path / "a.warc").write_bytes(FOREIGN)
+    (tmp_path / "b.warc.gz").write_bytes(packed)
+    (tmp_path / "c.warc.gz").write_bytes(gzip.compress(members[2]) + gzip.compress(b"lost")[:-9])
+    (tmp_path / "d.warc").write_bytes(b"")
+    got = Counter(
+        (r.page_id, r.uri, r.record_type, r.declared_digest, r.payload and bytes(r.payload))
+        for r in warc.read_archives(spark, str(tmp_path)).collect()
+    )
+    assert got == Counter(
+        {
+            (None, "http://x/ /y", "response", "sha1:ABC", b"body!"): 1,
+            (None, None, "resource", None, b"abc"): 1,
+            (None, None, "damaged", None, None): 3,
+            (None, None, "revisit", None, None): 1,
+            (7, "u", "response", "00", b"q" * 40_000): 1,
+        }
+    )
+
+
+def test_revisits_name_their_record(spark, tmp_path):
+    same, twice = "s" * 50_000, "t" * 200
+    rows = [(1, "u1", same), (2, "u2", same), (3, "u3", same), (4, "v", twice), (4, "v", twice),
+            (5, "w", twice)]
+    path = str(tmp_path / "warc")
+    warc.write_archives(spark.createDataFrame(rows, "page_id long, url string, html string"), path)
+    ids, refers = {}, Counter()
+    for file in (tmp_path / "warc").glob("*.gz"):
+        for headers, _, _ in warc.parsed(gzip.decompress(file.read_bytes())):
+            assert ids.setdefault(headers["WARC-Record-ID"], headers) is headers
+            if headers["WARC-Type"] == "revisit":
+                at = headers.get("WARC-Refers-To"), headers.get("WARC-Refers-To-Target-URI")
+                refers[headers["X-Page-ID"], headers["X-Refers-To-Page-ID"], *at] += 1
+    name = warc.record_id(0, 1, hashlib.sha256(same.encode()).hexdigest())
+    assert refers == {("2", "1", name, "u1"): 1, ("3", "1", name, "u1"): 1, ("5", "4", None, None): 1}
+    assert ids[name]["WARC-Type"] == "response" and ids[name]["X-Page-ID"] == "1"
+
+
 # Toxicity
 
 
