@@ -161,6 +161,29 @@ def test_search_finds_what_a_constant_model_cannot(spark):
     assert roc_auc(blind, "churn_probability").first()["auc"] == 0.5
 
 
+def test_fits_of_a_search_run_side_by_side(spark):
+    """All folds at once, and the forests of a draw without rivals with them."""
+    import threading
+    from unittest import mock
+
+    rows = labelled(spark, "frequency >= 8")
+    alone = SearchGrid(
+        trees=(5,), depths=(4,), leaf_rows=(1,), bootstrap=(True,), draws=1, folds=2, rungs=1
+    )
+    meet, plain = threading.Barrier(4, timeout=60), model._forest
+
+    def forest(*args):
+        made = plain(*args)
+        fit = made.fit
+        made.fit = lambda data: (meet.wait(), fit(data))[1]
+        return made
+
+    with mock.patch.object(model, "_forest", forest):
+        fitted = model.calibrate(encoder_of(rows), rows, grid=alone)
+    assert [t["draw"] for t in fitted.search] == [0] and 0 <= fitted.search[0]["accuracy"] <= 1
+    assert fitted.held_out.getNumTrees == fitted.classifier.getNumTrees == 5
+
+
 def test_stored_model_scores_as_before_and_refuses_other_features(spark, tmp_path):
     rows = labelled(spark, "frequency >= 8")
     path = str(tmp_path / "model")
