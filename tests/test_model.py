@@ -161,6 +161,14 @@ def test_search_finds_what_a_constant_model_cannot(spark):
     assert roc_auc(blind, "churn_probability").first()["auc"] == 0.5
 
 
+def test_draws_of_one_rung_are_all_fitted_whole():
+    from holdfast.catalog.queries import GRID, WHOLE
+
+    assert WHOLE.sample() == GRID.sample() and WHOLE.folds == GRID.folds
+    assert WHOLE.survivors() == [20] and WHOLE.shares(10**7) == [1.0]
+    assert all(WHOLE.thinned(d, 0) == d for d in WHOLE.sample())
+
+
 def test_fits_of_a_search_run_side_by_side(spark):
     """All folds at once, and the forests of a draw without rivals with them."""
     import threading
