@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import itertools
 from dataclasses import dataclass
 
@@ -61,22 +62,25 @@ class Cells:
     """Cell numbers of vectors of one dimension: ``tables`` x (own cell, then probes).
 
     A cell is a lattice point in each of ``blocks`` times 8 projected dimensions; a probe
-    steps to a neighbour in one of them.
+    steps to a neighbour in one of them.  Vectors and projections are rounded to whole numbers
+    whose products and sums doubles hold exactly, so a vector has the same cells in any batch.
     """
 
     def __init__(
         self, dimension: int, tables: int, probes: int, scale: float, seed: int, blocks: int = 1
     ):
         rng = np.random.default_rng([seed, dimension])
-        self.projections = rng.normal(size=(tables, dimension, 8 * blocks)) * scale
+        normal = rng.normal(size=(tables, dimension, 8 * blocks)) * scale
+        self.projections = np.rint(normal * 2.0**14)
         self.factors = rng.integers(1, 1 << 62, size=(tables, 8 * blocks), dtype=np.int64) | 1
         self.tables, self.probes, self.blocks = tables, probes, blocks
 
     def of(self, unit: np.ndarray) -> np.ndarray:
         out = np.empty((len(unit), self.tables, 1 + self.probes), np.int64)
         doubled = np.rint(2 * STEPS).astype(np.int64)  # whole numbers, as points have halves
+        whole = np.rint(unit * 2.0**28)
         for t in range(self.tables):
-            x = unit @ self.projections[t]
+            x = np.rint(whole @ self.projections[t] * 2.0**-22) * 2.0**-20
             own = np.zeros(len(unit), np.int64)
             toward, steps = [], []
             for k in range(0, 8 * self.blocks, 8):
@@ -93,11 +97,9 @@ class Cells:
 
 @dataclass(frozen=True)
 class Setting:
-    """Cells for labels of up to ``most`` different vectors.  More vectors need more cells, or
-    each would be compared with a share of all; of pairs at the limit of 0.98 every setting
-    lets at least 0.998 meet."""
+    """Cells: more blocks of a smaller scale make more of them, so that fewer vectors meet in
+    one; of pairs at the limit of 0.98 every setting lets at least 0.998 meet."""
 
-    most: float
     blocks: int
     tables: int
     probes: int
@@ -105,14 +107,17 @@ class Setting:
 
 
 SETTINGS = (
-    Setting(1 << 13, 1, TABLES, PROBES, SCALE),
-    Setting(1 << 21, 2, 4, 4, 0.7),
-    Setting(float("inf"), 3, 4, 8, 0.5),
+    Setting(1, TABLES, PROBES, SCALE),
+    Setting(2, 4, 4, 0.7),
+    Setting(3, 4, 8, 0.5),
 )
+DEFAULT = SETTINGS[1]
 
 
 def setting_for(count: int) -> Setting:
-    return next(s for s in SETTINGS if count <= s.most)
+    """The same for every number of vectors: which pairs meet must not hang on how many other
+    rows a table has."""
+    return DEFAULT
 
 
 MEMBERS = T.StructType(
@@ -123,7 +128,6 @@ MEMBERS = T.StructType(
         T.StructField("class_id", T.LongType(), False),
         T.StructField("copies", T.LongType(), False),
         T.StructField("vector", T.BinaryType(), False),
-        T.StructField("cells", T.BinaryType(), False),
     ]
 )
 FOUND = T.StructType(
@@ -141,11 +145,29 @@ def unit_rows(vectors: np.ndarray) -> np.ndarray:
     return scaled / np.sqrt((scaled * scaled).sum(axis=1))[:, None]
 
 
+def _makers(cells_as: Setting, seed: int):
+    """The ``Cells`` of a dimension, made once in a task."""
+
+    @functools.lru_cache(maxsize=None)
+    def maker(dimension: int) -> Cells:
+        return Cells(
+            dimension, cells_as.tables, cells_as.probes, cells_as.scale, seed, cells_as.blocks
+        )
+
+    return maker
+
+
+def _bytes_as(classes: DataFrame) -> str:
+    """How vectors travel: as their own floats where these are of single precision."""
+    return "<f4" if classes.schema["embedding"].dataType.elementType == T.FloatType() else "<f8"
+
+
 def cell_members(classes: DataFrame, cells_as: Setting, seed: int):
     """A row of ``MEMBERS`` for every cell that a class of equal vectors enters."""
+    kind = _bytes_as(classes)
 
     def start():
-        made: dict[int, Cells] = {}
+        maker_of = _makers(cells_as, seed)
 
         def compute(batch: pa.RecordBatch):
             label, ident, copies = (np.asarray(batch.column(i)) for i in (0, 1, 2))
@@ -157,19 +179,12 @@ def cell_members(classes: DataFrame, cells_as: Setting, seed: int):
             for size in np.unique(sizes):
                 rows = np.flatnonzero(sizes == size)
                 vectors = flat[offsets[rows][:, None] + np.arange(size)]
-                if int(size) not in made:
-                    made[int(size)] = Cells(
-                        int(size), cells_as.tables, cells_as.probes, cells_as.scale, seed,
-                        cells_as.blocks,
-                    )
-                maker = made[int(size)]
-                cells = maker.of(unit_rows(vectors)).reshape(len(rows), -1)
-                vector_bytes = [v.astype("<f8").tobytes() for v in vectors]
-                cell_bytes = [c.astype("<i8").tobytes() for c in cells]
+                cells = maker_of(int(size)).of(unit_rows(vectors)).reshape(len(rows), -1)
+                vector_bytes = [v.astype(kind).tobytes() for v in vectors]
                 for n, row in enumerate(rows):
                     for cell in set(cells[n].tolist()):
                         values = (cell, label[row], size, ident[row], copies[row])
-                        for store_, value in zip(out, (*values, vector_bytes[n], cell_bytes[n])):
+                        for store_, value in zip(out, (*values, vector_bytes[n])):
                             store_.append(value)
             return out
 
@@ -179,9 +194,10 @@ def cell_members(classes: DataFrame, cells_as: Setting, seed: int):
     return expand(source, MEMBERS, start)
 
 
-def _linked(group: pa.Table, cosine: float, tables: int):
+def _linked(group: pa.Table, cosine: float, maker_of, kind: str):
     """Links inside one cell.  A pair meets in every cell that both vectors enter; it counts
-    in the first of them alone, so sums over cells count each pair once."""
+    in the first of them alone, so sums over cells count each pair once.  For that the cells
+    of linked vectors are found again, which costs less than carrying those of all."""
     size = group.column("size")[0].as_py()
     count = group.num_rows
     ident = np.asarray(group.column("class_id"))
@@ -189,11 +205,12 @@ def _linked(group: pa.Table, cosine: float, tables: int):
     own = np.asarray(group.column("own"))
     low, high = group.column("low")[0].as_py(), group.column("high")[0].as_py()
     cell = group.column("cell")[0].as_py()
-    join = lambda name: b"".join(group.column(name).to_pylist())
-    unit = unit_rows(np.frombuffer(join("vector"), "<f8").reshape(count, size))
-    cells = np.frombuffer(join("cells"), "<i8").reshape(count, tables, -1)
+    vectors = np.frombuffer(b"".join(group.column("vector").to_pylist()), kind)
+    unit = unit_rows(vectors.reshape(count, size).astype(np.float64))
     order = np.argsort(ident, kind="stable")
-    ident, copies, own, unit, cells = (x[order] for x in (ident, copies, own, unit, cells))
+    ident, copies, own, unit = (x[order] for x in (ident, copies, own, unit))
+    cells = None  # of the vectors that link, at their places
+    known = np.zeros(count, bool)
     links = np.zeros(count, np.int64)
     label = np.arange(count)
     for at in range(0, count, 256):
@@ -207,6 +224,14 @@ def _linked(group: pa.Table, cosine: float, tables: int):
         if not len(x):
             continue
         label = np.minimum(label, roots(count, np.r_[x, np.arange(count)], np.r_[y, label]))
+        new = np.zeros(count, bool)
+        new[x] = new[y] = True
+        new = np.flatnonzero(new & ~known)
+        if len(new):
+            made = maker_of(size).of(unit[new])
+            if cells is None:
+                cells = np.zeros((count, *made.shape[1:]), np.int64)
+            cells[new], known[new] = made, True
         for part in range(0, len(x), 20_000):
             i, j = x[part : part + 20_000], y[part : part + 20_000]
             same = (cells[i][:, :, :, None] == cells[j][:, :, None, :]).any(axis=3)
@@ -231,8 +256,8 @@ def near_vectors(
 
     Random projections take unit vectors to 8 dimensions, where the nearest E8 point is the
     cell, or to several times 8, where the points together are.  A vector enters that cell and
-    the nearest neighbouring ones in each table, all by the setting for the largest label if
-    none is given; those that meet are compared exactly, in double precision, and link at ``cosine``
+    the nearest neighbouring ones in each table, by ``DEFAULT`` for tables of any size if no
+    setting is given; those that meet are compared exactly, in double precision, and link at ``cosine``
     or more if labels and dimensions are equal.  Equal vectors are one class: its copies
     link with each other and with all copies of linked classes, without being listed.
 
@@ -242,6 +267,7 @@ def near_vectors(
     has none but such links, when its component is null.  An empty table gives an empty one;
     other columns are not read.
     """
+    cells_as = cells_as or DEFAULT
     base = vectors.select(
         column("vec_id").alias("vec_id"),
         column("label").cast("long").alias("label"),
@@ -268,14 +294,16 @@ def near_vectors(
         .withColumn("class_id", F.monotonically_increasing_id())
     )
     classes = store(classes, "vector-classes")
-    if cells_as is None:
-        largest = classes.groupBy("label").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n"))
-        cells_as = setting_for(largest.first()[0] or 0)
     members = blocks_of(cell_members(classes, cells_as, seed), "cell", "class_id")
-    tables = cells_as.tables
+    kind = _bytes_as(classes)
     keys = ["cell", "label", "size", "low", "high"]
+
+    def start():
+        maker_of = _makers(cells_as, seed)
+        return lambda group: _linked(group, cosine, maker_of, kind)
+
     found = store(
-        by_runs(members, keys, FOUND, lambda: lambda group: _linked(group, cosine, tables)),
+        by_runs(members, keys, FOUND, start),
         "vector-links",
     )
     linked = components(found.where("class_id <> root").select("class_id", "root"), "vectors")

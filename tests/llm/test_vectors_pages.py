@@ -129,6 +129,28 @@ def test_lattice_comparisons_follow_the_rows():
         assert (sizes * (sizes - 1) // 2).sum() / count <= 8, count
 
 
+def test_lattice_links_do_not_hang_on_the_number_of_rows(spark):
+    """A label of many vectors beside them changes nothing for the others."""
+    assert {lattice.setting_for(n) for n in (0, 100, 10_000, 10**8)} == {lattice.DEFAULT}
+    rng = np.random.default_rng(9)
+    few = [(i, 0, rng.normal(size=4).tolist()) for i in range(150)]
+    many = [(1000 + i, 1, rng.normal(size=16).tolist()) for i in range(8_300)]
+    found = []
+    for rows in (few, few + many):
+        frame = spark.createDataFrame(rows, "vec_id long, label int, embedding array<double>")
+        got = lattice.near_vectors(frame).where("vec_id < 1000").collect()
+        found.append(sorted(map(tuple, got)))
+    assert found[0] == found[1]
+
+
+def test_lattice_cells_are_the_same_in_any_batch():
+    unit = lattice.unit_rows(np.random.default_rng(6).normal(size=(300, 64)))
+    for setting in lattice.SETTINGS:
+        whole = cells_of(setting, unit)
+        for at in range(0, 300, 7):
+            assert (cells_of(setting, unit[at : at + 1]) == whole[at]).all()
+
+
 def test_large_groups_are_cut_into_blocks(spark):
     frame = spark.range(100).select(F.lit(1).alias("key"), F.col("id").alias("member"))
     frame = frame.union(spark.sql("SELECT 2, 7L"))
