@@ -72,27 +72,33 @@ class Cells:
         rng = np.random.default_rng([seed, dimension])
         normal = rng.normal(size=(tables, dimension, 8 * blocks)) * scale
         self.projections = np.rint(normal * 2.0**14)
+        self.flat = self.projections.transpose(1, 0, 2).reshape(dimension, -1)
         self.factors = rng.integers(1, 1 << 62, size=(tables, 8 * blocks), dtype=np.int64) | 1
         self.tables, self.probes, self.blocks = tables, probes, blocks
 
     def of(self, unit: np.ndarray) -> np.ndarray:
-        out = np.empty((len(unit), self.tables, 1 + self.probes), np.int64)
+        parts = [self._of(unit[at : at + 512]) for at in range(0, len(unit), 512)]
+        return np.concatenate(parts) if parts else np.empty((0, *self.shape), np.int64)
+
+    @property
+    def shape(self) -> tuple[int, int]:
+        return self.tables, 1 + self.probes
+
+    def _of(self, unit: np.ndarray) -> np.ndarray:
+        """All tables and blocks at once, as this is called for a few vectors at a time too."""
         doubled = np.rint(2 * STEPS).astype(np.int64)  # whole numbers, as points have halves
-        whole = np.rint(unit * 2.0**28)
-        for t in range(self.tables):
-            x = np.rint(whole @ self.projections[t] * 2.0**-22) * 2.0**-20
-            own = np.zeros(len(unit), np.int64)
-            toward, steps = [], []
-            for k in range(0, 8 * self.blocks, 8):
-                part, factors = x[:, k : k + 8], self.factors[t, k : k + 8]
-                point = nearest_lattice_point(part)
-                own += np.rint(2 * point).astype(np.int64) @ factors
-                toward.append((part - point) @ STEPS.T)
-                steps.append(doubled @ factors)
-            order = np.argsort(-np.concatenate(toward, axis=1), axis=1, kind="stable")
-            probed = own[:, None] + np.concatenate(steps)[order[:, : self.probes]]
-            out[:, t] = np.concatenate([own[:, None], probed], axis=1) * 64 + t
-        return out
+        factors = self.factors.reshape(self.tables, self.blocks, 8)
+        x = np.rint(np.rint(unit * 2.0**28) @ self.flat * 2.0**-22) * 2.0**-20
+        part = x.reshape(-1, 8)
+        point = nearest_lattice_point(part)
+        whole = np.rint(2 * point).astype(np.int64).reshape(-1, self.tables, self.blocks, 8)
+        own = (whole * factors).sum(axis=(2, 3))[:, :, None]
+        toward = ((part - point) @ STEPS.T).reshape(len(unit), self.tables, -1)
+        order = np.argsort(-toward, axis=2, kind="stable")[:, :, : self.probes]
+        steps = (factors @ doubled.T).reshape(self.tables, -1)
+        probed = own + steps[np.arange(self.tables)[None, :, None], order]
+        table = np.arange(self.tables)[None, :, None]
+        return np.concatenate([own, probed], axis=2) * 64 + table
 
 
 @dataclass(frozen=True)
