@@ -79,7 +79,7 @@ Scorer = Callable[[DataFrame, DataFrame], tuple[DataFrame, DataFrame | None]]
 
 
 def forest_scorer(
-    spec: MarketSpec, grid: model.SearchGrid = model.SearchGrid(), save_to: str | None = None
+    spec: MarketSpec, grid: model.SearchGrid = model.SearchGrid(rungs=1), save_to: str | None = None
 ) -> Scorer:
     """Train on labelled rows, evaluate on a held-out part, score the production rows."""
 

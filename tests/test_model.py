@@ -169,6 +169,38 @@ def test_draws_of_one_rung_are_all_fitted_whole():
     assert all(WHOLE.thinned(d, 0) == d for d in WHOLE.sample())
 
 
+def test_search_fits_all_training_rows_whatever_their_number(spark):
+    """By default no draw is thinned out, and no setting bounds the rows that are fitted."""
+    import inspect
+    from dataclasses import replace
+
+    default = inspect.signature(model.calibrate).parameters["grid"].default
+    assert default.survivors() == [20] and default.shares(10**9) == [1.0]
+    assert all(default.thinned(d, 0) == d for d in default.sample())
+    grid = replace(SMALL, draws=2, rungs=1)
+    object.__setattr__(grid, "most_rows", 100)  # rows beyond a bound, which there was once
+    rows = labelled(spark, "frequency >= 8")
+    churners = rows.where("frequency > 3 and target = 1").count()
+    others = min(churners, rows.where("frequency > 3 and target = 0").count())
+    fitted = model.calibrate(encoder_of(rows), rows, grid=grid)
+    tested = fitted.test.count()
+    assert 0 < tested < (churners + others) / 2
+    assert {t["rows"] for t in fitted.search} == {churners + others - tested}
+
+
+def test_rows_in_hash_order_do_not_hang_on_their_order_before(spark):
+    from holdfast.operators.ranking import order_by_hash
+
+    rows = labelled(spark, "frequency >= 8")
+
+    def places(df):
+        return [r.client_id for r in order_by_hash(df, KEYS, 42).collect()]
+
+    found = places(rows)
+    assert found == places(rows.orderBy(F.desc("client_id")).repartition(5))
+    assert sorted(found) == list(range(400)) != found
+
+
 def test_fits_of_a_search_run_side_by_side(spark):
     """All folds at once, and the forests of a draw without rivals with them."""
     import threading
