@@ -201,6 +201,13 @@ def test_rows_in_hash_order_do_not_hang_on_their_order_before(spark):
     assert sorted(found) == list(range(400)) != found
 
 
+def test_learning_query_fits_every_draw_on_all_rows():
+    from holdfast.catalog.queries import FEW, GRID
+
+    assert FEW.sample() == GRID.sample()[:6] and FEW.survivors() == [6]
+    assert FEW.shares(10**7) == [1.0] and all(FEW.thinned(d, 0) == d for d in FEW.sample())
+
+
 def test_fits_of_a_search_run_side_by_side(spark):
     """All folds at once, and the forests of a draw without rivals with them."""
     import threading
