@@ -208,6 +208,28 @@ def test_learning_query_fits_every_draw_on_all_rows():
     assert FEW.shares(10**7) == [1.0] and all(FEW.thinned(d, 0) == d for d in FEW.sample())
 
 
+def test_forests_send_no_trees_with_tasks_and_wrap_none_unasked(spark):
+    from unittest import mock
+
+    from pyspark.ml.classification import DecisionTreeClassificationModel, RandomForestClassifier
+
+    rows = labelled(spark, "frequency >= 8")
+    coded = encoder_of(rows).transform(rows).coalesce(1)
+    params = dict(numTrees=9, maxDepth=12, minInstancesPerNode=1, bootstrap=True)
+    wrap = DecisionTreeClassificationModel.__init__
+    with mock.patch.object(
+        DecisionTreeClassificationModel, "__init__", autospec=True, side_effect=wrap
+    ) as wrapped:
+        forest = model._forest(42, params)
+        fitted = forest.fit(coded)
+        assert forest.getCacheNodeIds() and wrapped.call_count == 0
+        assert len(fitted.trees) == wrapped.call_count == 9
+    plain = RandomForestClassifier(
+        labelCol="target", featuresCol="features", featureSubsetStrategy="sqrt", seed=42, **params
+    ).fit(coded)
+    assert fitted.toDebugString.split("\n")[1:] == plain.toDebugString.split("\n")[1:]
+
+
 def test_fits_of_a_search_run_side_by_side(spark):
     """All folds at once, and the forests of a draw without rivals with them."""
     import threading
